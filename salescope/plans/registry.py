@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from salescope.plans import queries_cleaning, queries_grouped  # noqa: F401
+from salescope.plans import queries_cleaning, queries_drift, queries_grouped, queries_profile  # noqa: F401
 from salescope.plans.catalog import ENTRIES
 
 __all__ = ["ENTRIES"]
