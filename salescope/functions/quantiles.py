@@ -9,24 +9,34 @@ the sketch's accuracy: a poor sketch makes a bracket wider, never wrong.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salescope.functions.bins import bin_closed_left
 from salescope.functions.scalar import finite
-from salescope.session import held, localize
+from salescope.session import LOCAL_ROW_LIMIT, held
 
 SKETCH_ACCURACY = 10_000
 
-# A rank rule maps the group size to a 0-based position, possibly fractional.
-RankRule = Callable[[Column], Column]
+@dataclass(frozen=True)
+class RankRule:
+    """0-based position (possibly fractional) within a group of ``n``: for numbers on
+    the driver, and as SQL text with ``{n}`` for the size."""
+
+    at: Callable[[int], float]
+    sql: str
 
 
 def linear_rank(prob: float) -> RankRule:
     """Position of the linearly interpolated quantile."""
-    return lambda n: (n - 1) * F.lit(float(prob))
+    p = float(prob)
+    return RankRule(lambda n: (n - 1) * p, f"(({{n}} - 1) * {p!r}D)")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -54,82 +64,136 @@ def exact_ranks(
     NULL values.
     """
     by = list(by)
-    keys = by + ["feature"]
     narrow = df.select(*by, *[finite(F.col(c)).alias(c) for c in columns])
 
     eps = 1.0 / accuracy
     probes = sorted({min(1.0, max(0.0, p + s * eps)) for p, _ in rules for s in (-2, 2)})
 
     with held(narrow) as src:
+        listed = ", ".join(f"{p!r}D" for p in probes)
         parts = [
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.count(c).alias("n"),
-                F.percentile_approx(c, probes, accuracy).alias("edges"),
-            ).alias(c)
+            F.expr(
+                f"named_struct('feature', '{c}', 'n', count(`{c}`), "
+                f"'edges', percentile_approx(`{c}`, array({listed}), {accuracy})) AS `{c}`"
+            )
             for c in columns
         ]
         grouped = src.groupBy(*by).agg(*parts) if by else src.agg(*parts)
-        sketch, small = localize(grouped.select(*by, F.inline(F.array(*columns))))
-        if small:
-            picks, _ = localize(_pick(src, sketch, columns, rules, by, keys, len(probes), small))
-            return picks
+        sketch = grouped.select(*by, F.inline(F.array(*[f"`{c}`" for c in columns])))
+        local = (sketch.limit(LOCAL_ROW_LIMIT + 1) if by else sketch).toArrow()
+        if local.num_rows <= LOCAL_ROW_LIMIT:
+            return _pick_local(src, local, columns, rules, by, sketch.schema)
     # Too many groups to broadcast: the caller's plan runs every pass, joined by shuffle.
-    return _pick(narrow, sketch, columns, rules, by, keys, len(probes), small)
-
+    return _pick_lazy(narrow, sketch, columns, rules, by, len(probes))
+
+
+def _pick_local(src, sketch: pa.Table, columns, rules, by, schema) -> DataFrame:
+    """Three passes over ``src``; between them only counts per bracket and the picked
+    entries (a few numbers per group and column) come to the driver."""
+    spark, keys = src.sparkSession, by + ["feature"]
+    ids = pa.array(range(sketch.num_rows), pa.int32())
+    named = spark.createDataFrame(
+        sketch.drop_columns(["n"]).append_column("gid", ids),
+        T.StructType([schema[k] for k in keys] + [schema["edges"], T.StructField("gid", T.IntegerType())]),
+    ).where("edges IS NOT NULL")
+    sizes, edges = sketch["n"].to_pylist(), sketch["edges"].to_pylist()
+    n_edges = max((len(e) for e in edges if e), default=0)
+
+    long = src.unpivot(by, list(columns), "feature", "value").where("value IS NOT NULL")
+    bucket = bin_closed_left("value", [f"edges[{i}]" for i in range(n_edges)]).alias("bucket")
+    tagged = null_safe_join(long, F.broadcast(named), keys).select("gid", "value", bucket)
+
+    counts: dict[int, list] = {}
+    for g, b, rows in zip(*tagged.groupBy("gid", "bucket").agg(F.expr("count(1) AS rows")).toArrow().to_pydict().values()):
+        counts.setdefault(g, []).append((b, rows))
+    positions = [[rule.at(n) for _, rule in rules] if n else [] for n in sizes]
+    needed = []
+    for g, buckets in counts.items():
+        ranks = [math.floor(p) for p in positions[g]] + [math.ceil(p) for p in positions[g]]
+        below = 0
+        for b, rows in sorted(buckets):
+            needed += [(g, b, k - below, k) for k in sorted(set(ranks)) if below <= k < below + rows]
+            below += rows
+    names = ("gid", "bucket", "offset", "k")
+    wanted = spark.createDataFrame(
+        pa.table([pa.array([row[i] for row in needed], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names),
+        "gid int, bucket int, offset long, k long",
+    )
 
-def _pick(src, sketch, columns, rules, by, keys, n_edges, small) -> DataFrame:
-    ranks = F.array(
-        *[
-            F.struct(F.lit(2 * i + j).alias("slot"), side(rule(F.col("n"))).cast("bigint").alias("k"))
-            for i, (_, rule) in enumerate(rules)
-            for j, side in enumerate((F.floor, F.ceil))
-        ]
+    order = Window.partitionBy("gid", "bucket").orderBy("value")
+    inside = tagged.join(F.broadcast(wanted.select("gid", "bucket").distinct()), ["gid", "bucket"], "left_semi")
+    picked = (
+        inside.groupBy("gid", "bucket", "value")
+        .agg(F.expr("count(1) AS rows"))
+        .select("gid", "bucket", "value", "rows", F.sum("rows").over(order).alias("upto"))
+        .join(F.broadcast(wanted), ["gid", "bucket"])
+        .where("offset >= upto - rows AND offset < upto")
+        .select("gid", "k", "value")
+        .toArrow()
+        .to_pydict()
     )
-    targets = sketch.where("n > 0").select(*keys, F.inline(ranks))
+    entry = {(g, k): v for g, k, v in zip(picked["gid"], picked["k"], picked["value"])}
+
+    def blend(g: int, pos: float) -> float:
+        low, high = entry[g, math.floor(pos)], entry[g, math.ceil(pos)]
+        return low + (high - low) * (pos - math.floor(pos))
+
+    values = [[blend(g, p) for p in at] if at else [None] * len(rules) for g, at in enumerate(positions)]
+    out = sketch.drop_columns(["edges"]).append_column("values", pa.array(values, pa.list_(pa.float64())))
+    fields = [schema[k] for k in keys] + [schema["n"], T.StructField("values", T.ArrayType(T.DoubleType()))]
+    return F.broadcast(spark.createDataFrame(out, T.StructType(fields)))
 
-    long = src.unpivot(by, list(columns), "feature", "value").where(F.col("value").isNotNull())
-    edges = sketch.where("n > 0").select(*keys, "edges")
-    tagged = null_safe_join(long, edges, keys).select(
-        *keys, "value", bin_closed_left(F.col("value"), [F.col("edges")[i] for i in range(n_edges)]).alias("bucket")
+
+def _pick_lazy(src, sketch, columns, rules, by, n_edges) -> DataFrame:
+    """The same three passes as one plan, for any number of groups."""
+    keys = by + ["feature"]
+    wanted = ", ".join(
+        f"named_struct('slot', {2 * i + j}, 'k', CAST({side}({rule.sql.format(n='n')}) AS BIGINT))"
+        for i, (_, rule) in enumerate(rules)
+        for j, side in enumerate(("floor", "ceil"))
     )
+    filled = sketch.where("n > 0")
+    targets = filled.selectExpr(*_quoted(keys), f"inline(array({wanted}))")
+
+    long = src.unpivot(by, list(columns), "feature", "value").where("value IS NOT NULL")
+    bucket = bin_closed_left("value", [f"edges[{i}]" for i in range(n_edges)]).alias("bucket")
+    tagged = null_safe_join(long, filled.select(*keys, "edges"), keys).select(*keys, "value", bucket)
 
     running = Window.partitionBy(*keys).orderBy("bucket")
     counts = (
         tagged.groupBy(*keys, "bucket")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(1) AS rows"))
         .select(*keys, "bucket", "rows", F.sum("rows").over(running).alias("upto"))
     )
     needed = (
         null_safe_join(counts, targets, keys)
-        .where("k >= upto - rows and k < upto")
-        .select(*keys, "bucket", "slot", (F.col("k") - (F.col("upto") - F.col("rows"))).alias("offset"))
+        .where("k >= upto - rows AND k < upto")
+        .selectExpr(*_quoted(keys), "bucket", "slot", "k - (upto - rows) AS offset")
     )
-    if small:
-        needed, _ = localize(needed)
-
     inside = null_safe_join(tagged, needed.select(*keys, "bucket").distinct(), keys + ["bucket"], "left_semi")
     order = Window.partitionBy(*keys, "bucket").orderBy("value")
     by_value = (
         inside.groupBy(*keys, "bucket", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(1) AS rows"))
         .select(*keys, "bucket", "value", "rows", F.sum("rows").over(order).alias("upto"))
     )
     slots = (
         null_safe_join(by_value, needed, keys + ["bucket"])
-        .where("offset >= upto - rows and offset < upto")
+        .where("offset >= upto - rows AND offset < upto")
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("slot") == s, F.col("value"))).alias(f"s{s}") for s in range(2 * len(rules))])
+        .agg(*[F.expr(f"max(CASE WHEN slot = {s} THEN value END) AS s{s}") for s in range(2 * len(rules))])
+    )
+    blended = ", ".join(
+        f"s{2 * i} + (s{2 * i + 1} - s{2 * i}) * ({rule.sql.format(n='n')} - floor({rule.sql.format(n='n')}))"
+        for i, (_, rule) in enumerate(rules)
+    )
+    return null_safe_join(sketch.select(*keys, "n"), slots, keys, "left").selectExpr(
+        *_quoted(keys), "n", f"array({blended}) AS values"
     )
 
-    def blend(i: int, rule: RankRule) -> Column:
-        pos = rule(F.col("n")).cast("double")
-        low, high = F.col(f"s{2 * i}"), F.col(f"s{2 * i + 1}")
-        return low + (high - low) * (pos - F.floor(pos))
 
-    return null_safe_join(sketch.select(*keys, "n"), slots, keys, "left").select(
-        *keys, "n", F.array(*[blend(i, rule) for i, (_, rule) in enumerate(rules)]).alias("values")
-    )
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
 
 
 def exact_quantiles(

@@ -65,7 +65,7 @@ def psi_bins(reference: DataFrame, current: DataFrame, features: Sequence[str],
     usable = [c for c in features if edges[c][0] is not None]
     both = two_samples(reference, current, usable)
     binned = both.select(
-        "is_current", *[F.when(F.col(c).isNotNull(), bin_closed_left(F.col(c), edges[c])).alias(c) for c in usable]
+        "is_current", *[F.when(F.col(c).isNotNull(), bin_closed_left(c, edges[c])).alias(c) for c in usable]
     )
     counts = (
         binned.unpivot(["is_current"], usable, "feature", "bin")
@@ -366,7 +366,7 @@ def psi_per_period(
     """Stability index of each period against fixed reference edges and shares."""
     counts = (
         df.where(finite(F.col(column)).isNotNull())
-        .groupBy(period.alias("period"), bin_closed_left(F.col(column), inner_edges).alias("bin"))
+        .groupBy(period.alias("period"), bin_closed_left(column, inner_edges).alias("bin"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     return psi_from_counts(counts, reference_shares)
@@ -395,7 +395,7 @@ def reference_profile(df: DataFrame, column: str, bins: int = 10) -> tuple[list[
     inner = column_quantiles(df, [column], [i / bins for i in range(1, bins)])[column]
     rows = (
         df.where(finite(F.col(column)).isNotNull())
-        .groupBy(bin_closed_left(F.col(column), inner).alias("bin"))
+        .groupBy(bin_closed_left(column, inner).alias("bin"))
         .count()
         .collect()
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.bins import bin_closed_right
-from salescope.functions.quantiles import column_quantiles, exact_quantiles, exact_ranks
+from salescope.functions.quantiles import RankRule, column_quantiles, exact_quantiles, exact_ranks
 
 
 def regression_metrics(df: DataFrame, actual: str = "SALES", predicted: str = "prediction") -> DataFrame:
@@ -29,7 +31,7 @@ def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10)
         raise ValueError("calibration needs at least one row")
     return (
         df.select(
-            F.col(actual).alias("a"), F.col(predicted).alias("p"), bin_closed_right(F.col(predicted), inner).alias("bin")
+            F.col(actual).alias("a"), F.col(predicted).alias("p"), bin_closed_right(predicted, inner).alias("bin")
         )
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("rows"), F.avg("a").alias("mean_true"), F.avg("p").alias("mean_pred"))
@@ -60,9 +62,10 @@ def fit_conformal(df: DataFrame, actual: str = "SALES", predicted: str = "predic
     if checks["bad"]:
         raise ValueError("conformal calibration needs finite residuals")
 
-    def rank(n):
-        level = F.least(F.lit(1.0), F.ceil((n + 1) * F.lit(1 - alpha)) / n)
-        return F.ceil((n - 1) * level)
+    rank = RankRule(
+        lambda n: math.ceil((n - 1) * min(1.0, math.ceil((n + 1) * (1 - alpha)) / n)),
+        f"ceil(({{n}} - 1) * least(1.0D, ceil(({{n}} + 1) * {1 - alpha!r}D) / {{n}}))",
+    )
 
     q_hat = exact_ranks(errors, ["error"], [(1 - alpha, rank)]).first()["values"][0]
     return errors.agg(

@@ -222,7 +222,7 @@ def bin_assignment(spark, sf):
     view = sales_view(spark, sf, ["SALES"])
     edges = column_quantiles(view, ["SALES"], [i / 10 for i in range(1, 10)])["SALES"]
     return view.groupBy(
-        bin_closed_left(F.col("SALES"), edges).alias("bin_left"), bin_closed_right(F.col("SALES"), edges).alias("bin_right")
+        bin_closed_left("SALES", edges).alias("bin_left"), bin_closed_right("SALES", edges).alias("bin_right")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from salescope.plans import queries_cleaning, queries_drift, queries_grouped, queries_profile  # noqa: F401
+from salescope.plans import (  # noqa: F401
+    queries_cleaning,
+    queries_drift,
+    queries_grouped,
+    queries_profile,
+    queries_series,
+)
 from salescope.plans.catalog import ENTRIES
 
 __all__ = ["ENTRIES"]

@@ -71,10 +71,14 @@ def held(df: DataFrame):
         kept.unpersist()
 
 
-def localize(df: DataFrame, limit: int = LOCAL_ROW_LIMIT) -> tuple[DataFrame, bool]:
+def localize(df: DataFrame, limit: int | None = LOCAL_ROW_LIMIT) -> tuple[DataFrame, bool]:
     """Run ``df`` once; when it has at most ``limit`` rows return it as a local,
-    broadcast table (size checked), otherwise return it unchanged."""
-    table = df.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
+    broadcast table (size checked), otherwise return it unchanged.
+
+    ``limit=None`` is for tables whose size is bounded by their construction, such as
+    one row per column.
+    """
+    table = (df if limit is None else df.limit(limit + 1)).toArrow()
+    if limit is not None and table.num_rows > limit:
         return df, False
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), True
