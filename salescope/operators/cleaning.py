@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from salescope.functions.quantiles import RankRule, column_quantiles, exact_ranks
 from salescope.functions.scalar import (
-    UNKNOWN,
     finite,
     flag_iqr,
     parse_order_date,
@@ -38,9 +37,9 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_unknown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """NULL text becomes 'Unknown' in those of the columns that exist."""
+    """NULL becomes the text 'Unknown' in those of the columns that exist."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in present}) if present else df
+    return df.withColumns({c: text_or_unknown(F.col(c)) for c in present}) if present else df
 
 
 def postal_code_text(df: DataFrame, column: str = "POSTALCODE") -> DataFrame:
