@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -55,13 +56,14 @@ def exact_ranks(
     rules: Sequence[tuple[float, RankRule]],
     by: Sequence[str] = (),
     accuracy: int = SKETCH_ACCURACY,
+    hold: bool = True,
 ) -> DataFrame:
     """One row per group and column: ``by..., feature, n, values``.
 
     ``rules`` holds pairs (probability near which the rank lies, rank rule). A
     fractional rank is interpolated between its two neighbours. NULL, NaN and
     infinite entries are left out; a column without entries has ``n = 0`` and
-    NULL values.
+    NULL values. ``hold=False`` is for an input that is cached or stored already.
     """
     by = list(by)
     narrow = df.select(*by, *[finite(F.col(c)).alias(c) for c in columns])
@@ -69,7 +71,7 @@ def exact_ranks(
     eps = 1.0 / accuracy
     probes = sorted({min(1.0, max(0.0, p + s * eps)) for p, _ in rules for s in (-2, 2)})
 
-    with held(narrow) as src:
+    with held(narrow) if hold else nullcontext(narrow) as src:
         listed = ", ".join(f"{p!r}D" for p in probes)
         parts = [
             F.expr(
@@ -197,13 +199,15 @@ def _quoted(names: Sequence[str]) -> list[str]:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), hold: bool = True
 ) -> DataFrame:
     """Linearly interpolated quantiles: ``by..., feature, n, values`` (one entry per prob)."""
-    return exact_ranks(df, columns, [(p, linear_rank(p)) for p in probs], by)
+    return exact_ranks(df, columns, [(p, linear_rank(p)) for p in probs], by, hold=hold)
 
 
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], hold: bool = True
+) -> dict[str, list[float]]:
     """Quantiles of whole columns as plain numbers, for use as literals in a later plan."""
-    rows = exact_quantiles(df, columns, probs).collect()
+    rows = exact_quantiles(df, columns, probs, hold=hold).collect()
     return {r["feature"]: list(r["values"]) for r in rows}

@@ -9,14 +9,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.bins import bin_closed_left, bin_equal_width, search_sorted
-from salescope.functions.quantiles import column_quantiles, null_safe_join
+from salescope.functions.bins import bin_closed_left, bin_equal_width
+from salescope.functions.quantiles import column_quantiles
 from salescope.functions.scalar import finite, to_number, utc_now_text
 from salescope.operators.profiling import is_numeric, value_range
-from salescope.session import localize
+from salescope.session import held, localize
 
 
 def two_samples(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -58,18 +59,24 @@ CLIP_EPSILON = 1e-6
 
 def psi_bins(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Counts and shares per feature and reference-quantile bin, outer bins open."""
+    with held(two_samples(reference, current, features)) as both:
+        return localize(_psi_bins(both, features, bins), None)[0]  # features x bins rows
+
+
+def _psi_bins(both: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     if bins < 2:
         raise ValueError("bins must be at least 2")
-    clean = reference.select(*[to_number(F.col(c)).alias(c) for c in features])
-    edges = column_quantiles(clean, features, [i / bins for i in range(1, bins)])
+    probs = [i / bins for i in range(1, bins)]
+    edges = column_quantiles(both.where("is_current = 0"), features, probs, hold=False)
     usable = [c for c in features if edges[c][0] is not None]
-    both = two_samples(reference, current, usable)
+    if not usable:
+        raise ValueError("no feature has finite values in the reference")
     binned = both.select(
         "is_current", *[F.when(F.col(c).isNotNull(), bin_closed_left(c, edges[c])).alias(c) for c in usable]
     )
     counts = (
         binned.unpivot(["is_current"], usable, "feature", "bin")
-        .where(F.col("bin").isNotNull())
+        .where("bin IS NOT NULL")
         .groupBy("feature", "bin")
         .agg(*_sides())
     )
@@ -81,14 +88,13 @@ def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins:
 
     A feature without finite values in one of the tables has no row.
     """
-    eps = F.lit(ADDITIVE_EPSILON)
-    term = (F.col("cur_share") - F.col("ref_share")) * F.ln((F.col("cur_share") + eps) / (F.col("ref_share") + eps))
-    return (
-        psi_bins(reference, current, features, bins)
-        .where("n_current > 0")
-        .groupBy("feature")
-        .agg(F.sum(term).alias("psi"))
-    )
+    return _psi(psi_bins(reference, current, features, bins))
+
+
+def _psi(shares: DataFrame) -> DataFrame:
+    eps = ADDITIVE_EPSILON
+    term = f"(cur_share - ref_share) * ln((cur_share + {eps!r}D) / (ref_share + {eps!r}D))"
+    return shares.where("n_current > 0").groupBy("feature").agg(F.expr(f"sum({term}) AS psi"))
 
 
 def psi_equal_width(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
@@ -128,23 +134,24 @@ def psi_equal_width(reference: DataFrame, current: DataFrame, column: str, bins:
     return props.withColumn("psi_bin", term).withColumn("psi_total", F.sum("psi_bin").over(whole))
 
 
-def _bucketed(both: DataFrame, features: Sequence[str], levels: int) -> tuple[DataFrame, DataFrame]:
-    """Every value with its bucket among ``2**levels`` buckets of about equal size,
-    and the rows per bucket with running totals (at most ``2**levels`` per feature).
+def _bucketed(both: DataFrame, features: Sequence[str], buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Every value with its bucket among about ``buckets`` of equal size, and the rows
+    per bucket with running totals (at most ``buckets`` rows per feature).
 
     Bucket borders come from a sketch; they steer balance only, never the result.
     """
-    probes = [i / 2**levels for i in range(1, 2**levels)]
+    probes = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     sketch = both.agg(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.percentile_approx(c, probes, 10 * 2**levels).alias("edges")).alias(c)
-            for c in features
-        ]
-    ).select(F.inline(F.array(*features)))
-    edges, _ = localize(sketch)  # one row per feature
-    values = _long(both, features).join(F.broadcast(edges), "feature").select(
-        "feature", "value", "is_current", search_sorted(F.col("value"), F.col("edges"), levels).alias("bucket")
+        *[F.expr(f"percentile_approx(`{c}`, array({probes}), {10 * buckets}) AS `{c}`") for c in features]
+    ).first()
+    usable = [c for c in features if sketch[c]]
+    borders = [[-math.inf, *sorted(set(sketch[c])), math.inf] for c in usable]
+    named = [f"__bucket_{i}" for i in range(len(usable))]
+    cut = Bucketizer(splitsArray=borders, inputCols=usable, outputCols=named, handleInvalid="keep").transform(both)
+    parts = ", ".join(
+        f"named_struct('feature', '{c}', 'value', `{c}`, 'bucket', CAST({b} AS INT))" for c, b in zip(usable, named)
     )
+    values = cut.selectExpr("is_current", f"inline(array({parts}))").where("value IS NOT NULL")
     run = Window.partitionBy("feature").orderBy("bucket")
     whole = Window.partitionBy("feature")
     totals = (
@@ -164,7 +171,7 @@ def _bucketed(both: DataFrame, features: Sequence[str], levels: int) -> tuple[Da
         )
         .where("n_reference > 0 and n_current > 0")
     )
-    return values, totals
+    return values, localize(totals, None)[0]
 
 
 def _cdf_inside(values: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -186,47 +193,50 @@ def _cdf_inside(values: DataFrame, buckets: DataFrame) -> DataFrame:
         F.lead("value").over(order).alias("next_value"),
         F.sum("ref").over(order).alias("ref_in"),
         F.sum("cur").over(order).alias("cur_in"),
-    ).join(buckets, ["feature", "bucket"]).select(
+    ).join(buckets, ["feature", "bucket"]).selectExpr(
         "feature",
         "value",
-        F.coalesce("next_value", "next_first").alias("next_value"),
-        ((F.col("ref_before") + F.col("ref_in")) / F.col("n_reference")).alias("ref_cdf"),
-        ((F.col("cur_before") + F.col("cur_in")) / F.col("n_current")).alias("cur_cdf"),
+        "coalesce(next_value, next_first) AS next_value",
+        "(ref_before + ref_in) / n_reference AS ref_cdf",
+        "(cur_before + cur_in) / n_current AS cur_cdf",
     )
 
 
-def empirical_cdf(reference: DataFrame, current: DataFrame, features: Sequence[str], levels: int = 8) -> DataFrame:
+def empirical_cdf(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
     """``feature, value, next_value, ref_cdf, cur_cdf`` at every distinct value."""
-    values, totals = _bucketed(two_samples(reference, current, features), features, levels)
-    local, _ = localize(totals)
-    return _cdf_inside(values, local)
+    return _cdf_inside(*_bucketed(two_samples(reference, current, features), features, buckets))
 
 
-def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[str], levels: int = 8) -> DataFrame:
+def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
     """``feature, statistic, n_reference, n_current``: the exact two-sample statistic.
 
-    The CDF gap at bucket ends is a lower bound; inside a bucket the gap cannot exceed
+    ``buckets`` bounds the rows one window handles: raise it with the table.
+    """
+    with held(two_samples(reference, current, features)) as both:
+        return _ks(both, features, buckets)
+
+
+def _ks(both: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
+    """The CDF gap at bucket ends is a lower bound; inside a bucket the gap cannot exceed
     what its rows allow. Only buckets that can beat the lower bound are looked into.
     """
-    values, totals = _bucketed(two_samples(reference, current, features), features, levels)
-    f_before, f_upto = F.col("ref_before") / F.col("n_reference"), F.col("ref_upto") / F.col("n_reference")
-    g_before, g_upto = F.col("cur_before") / F.col("n_current"), F.col("cur_upto") / F.col("n_current")
-    whole = Window.partitionBy("feature")
-    bounded = totals.withColumn("at_end", F.abs(f_upto - g_upto)).select(
-        "*",
-        F.max("at_end").over(whole).alias("lower"),
-        F.greatest(f_upto - g_before, g_upto - f_before).alias("upper"),
+    values, totals = _bucketed(both, features, buckets)
+    ends = totals.groupBy("feature").agg(
+        F.expr("max(abs(ref_upto / n_reference - cur_upto / n_current)) AS lower"),
+        F.max("n_reference").alias("n_reference"),
+        F.max("n_current").alias("n_current"),
     )
-    local, _ = localize(bounded)
-    inside = _cdf_inside(values, local.where("upper > lower")).groupBy("feature").agg(
-        F.max(F.abs(F.col("ref_cdf") - F.col("cur_cdf"))).alias("inside")
+    open_buckets = totals.join(F.broadcast(ends.select("feature", "lower")), "feature").where(
+        "greatest(ref_upto / n_reference - cur_before / n_current, cur_upto / n_current - ref_before / n_reference) > lower"
     )
-    ends = local.groupBy("feature").agg(
-        F.max("lower").alias("lower"), F.max("n_reference").alias("n_reference"), F.max("n_current").alias("n_current")
+    # At most ``buckets`` rows per feature.
+    inside = _cdf_inside(values, F.broadcast(open_buckets.drop("lower"))).groupBy("feature").agg(
+        F.max(F.abs(F.col("ref_cdf") - F.col("cur_cdf"))).alias("inside")
     )
-    return ends.join(F.broadcast(inside), "feature", "left").select(
-        "feature", F.greatest("lower", F.coalesce("inside", F.lit(0.0))).alias("statistic"), "n_reference", "n_current"
+    out = ends.join(F.broadcast(inside), "feature", "left").selectExpr(
+        "feature", "greatest(lower, coalesce(inside, 0D)) AS statistic", "n_reference", "n_current"
     )
+    return localize(out, None)[0]  # one row per feature
 
 
 def kolmogorov_p_value(statistic: Column, effective_n: Column, terms: int = 100) -> Column:
@@ -242,15 +252,18 @@ def kolmogorov_p_value(statistic: Column, effective_n: Column, terms: int = 100)
 
 
 def ks_test(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], alpha: float = 0.05, levels: int = 8
+    reference: DataFrame, current: DataFrame, features: Sequence[str], alpha: float = 0.05, buckets: int = 256
 ) -> DataFrame:
     """Statistic, p-value, critical value and decision per feature."""
+    return _ks_decision(ks_statistic(reference, current, features, buckets), alpha)
+
+
+def _ks_decision(statistics: DataFrame, alpha: float) -> DataFrame:
     if not 0 < alpha < 1:
         raise ValueError("alpha must be between 0 and 1")
     n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
     return (
-        ks_statistic(reference, current, features, levels)
-        .withColumn("effective_n", F.sqrt(n * m / (n + m)))
+        statistics.withColumn("effective_n", F.sqrt(n * m / (n + m)))
         .select(
             "feature",
             "statistic",
@@ -270,13 +283,16 @@ def drift_summary(
     features: Sequence[str],
     psi_threshold: float = 0.2,
     ks_alpha: float = 0.05,
-    levels: int = 8,
+    buckets: int = 256,
 ) -> DataFrame:
     """Per feature: stability index, KS test and whether it drifted; empty ones left out."""
-    index = psi(reference, current, features)
-    test = ks_test(reference, current, features, ks_alpha, levels)
-    return test.join(F.broadcast(index), "feature").withColumn(
-        "drifted", (F.col("psi") >= psi_threshold) | F.col("drift_detected")
+    with held(two_samples(reference, current, features)) as both:
+        shares = localize(_psi_bins(both, features), None)[0]  # features x bins rows
+        statistics = _ks(both, features, buckets)
+    return (
+        _ks_decision(statistics, ks_alpha)
+        .join(F.broadcast(_psi(shares)), "feature")
+        .withColumn("drifted", (F.col("psi") >= psi_threshold) | F.col("drift_detected"))
     )
 
 
@@ -292,14 +308,13 @@ def drift_alert(summary: DataFrame, alert_ratio: float = 0.3, project: str | Non
     return row.select(F.lit(project).alias("project_name"), utc_now_text().alias("generated_at"), "*")
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, features: Sequence[str], levels: int = 8) -> DataFrame:
+def wasserstein(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
     """First Wasserstein distance per numeric feature: area between the two CDFs."""
-    area = F.abs(F.col("ref_cdf") - F.col("cur_cdf")) * (F.col("next_value") - F.col("value"))
-    return (
-        empirical_cdf(reference, current, features, levels)
-        .groupBy("feature")
-        .agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("wasserstein"))
-    )
+    with held(two_samples(reference, current, features)) as both:
+        area = _cdf_inside(*_bucketed(both, features, buckets)).groupBy("feature").agg(
+            F.expr("coalesce(sum(abs(ref_cdf - cur_cdf) * (next_value - value)), 0D) AS wasserstein")
+        )
+        return localize(area, None)[0]  # one row per feature
 
 
 def category_shares(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -325,7 +340,7 @@ def category_distances(reference: DataFrame, current: DataFrame, features: Seque
 
 
 def column_drift_report(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.1, levels: int = 8
+    reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.1, buckets: int = 256
 ) -> DataFrame:
     """Per column: distance, method and decision, with the share of drifted columns.
 
@@ -340,7 +355,7 @@ def column_drift_report(
             [], numeric, "feature", "std"
         )
         parts.append(
-            wasserstein(reference, current, numeric, levels)
+            wasserstein(reference, current, numeric, buckets)
             .join(F.broadcast(spread), "feature")
             .select(
                 "feature",
