@@ -55,7 +55,7 @@ def preprocessor_stages(schema: FeatureSchema) -> list:
         stages += [
             StringIndexer(inputCols=list(schema.categorical), outputCols=indexed, handleInvalid="keep",
                           stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),  # the dropped one is "unseen"
         ]
         inputs += hot
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]

@@ -378,7 +378,7 @@ def lazy_scan(spark, sf):
 @query("a07_partitioned_write", with_sales(BACK_SQL))
 def partitioned_write(spark, sf):
     path = new_folder(spark, "by-year")
-    sinks.write_partitioned(_three(spark, sf), path, ["YEAR_ID"], files_per_key=4)
+    sinks.write_partitioned(_three(spark, sf), path, ["YEAR_ID"])
     return _per_year(spark.read.parquet(path))
 
 

@@ -12,19 +12,19 @@ from pyspark.sql import types as T
 from salescope.functions.scalar import finite, utc_now_text
 
 
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = (), files_per_key: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     """Parquet by partition keys; untouched key values of an earlier write stay.
 
-    ``files_per_key`` spreads each key over that many writers, so that one large key
-    is not written by a single task. Without keys: a plain overwrite.
+    The rebalance hint shuffles by key and lets AQE cut a large key into several
+    writers (and files) of the advisory size, and join small keys into one task.
+    Without keys: a plain overwrite.
     """
     if not keys:
         df.write.mode("overwrite").parquet(path)
         return
-    slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-    spread = df.repartition(*[F.col(k) for k in keys], slot) if files_per_key > 1 else df.repartition(*keys)
     (
-        spread.write.mode("overwrite")
+        df.hint("rebalance", *keys)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
