@@ -163,20 +163,21 @@ def remove_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5)
     under literal range filters.
     """
     require_columns(df, columns)
-    rows, bounds = [], {}
-    kept_all = df
+    shapes, kept_all, passing = {}, df, []
     with held(df.select(*[F.col(c).cast("double").alias(c) for c in columns])) as numbers:
         left = numbers
-        before = left.count()
         for c in columns:
-            q1, q3 = column_quantiles(left, [c], [0.25, 0.75])[c]
-            *shape, low, high = _bounds(q1, q3, factor)
-            keep = ~flag_iqr(F.col(c).cast("double"), F.lit(low).cast("double"), F.lit(high).cast("double"))
+            q1, q3 = column_quantiles(left, [c], [0.25, 0.75], hold=False)[c]
+            shapes[c] = _bounds(q1, q3, factor)
+            low, high = (F.lit(v).cast("double") for v in shapes[c][3:])
+            keep = ~flag_iqr(F.col(c).cast("double"), low, high)
             left, kept_all = left.where(keep), kept_all.where(keep)
-            after = left.count()
-            rows.append((len(rows), c, *shape, low, high, before, after, before - after))
-            bounds[c] = (low, high)
-            before = after
+            passing.append(passing[-1] & keep if passing else keep)
+        counts = numbers.agg(F.count(F.lit(1)), *[F.count_if(p) for p in passing]).first()
+    rows = [
+        (i, c, *shapes[c], counts[i], counts[i + 1], counts[i] - counts[i + 1]) for i, c in enumerate(columns)
+    ]
+    bounds = {c: shape[3:] for c, shape in shapes.items()}
     report = df.sparkSession.createDataFrame(
         rows,
         "step int, column_name string, q1 double, q3 double, iqr double, lower_bound double, upper_bound double, "

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -221,22 +222,31 @@ def _ks(both: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
     what its rows allow. Only buckets that can beat the lower bound are looked into.
     """
     values, totals = _bucketed(both, features, buckets)
-    ends = totals.groupBy("feature").agg(
-        F.expr("max(abs(ref_upto / n_reference - cur_upto / n_current)) AS lower"),
-        F.max("n_reference").alias("n_reference"),
-        F.max("n_current").alias("n_current"),
-    )
-    open_buckets = totals.join(F.broadcast(ends.select("feature", "lower")), "feature").where(
-        "greatest(ref_upto / n_reference - cur_before / n_current, cur_upto / n_current - ref_before / n_reference) > lower"
-    )
-    # At most ``buckets`` rows per feature.
-    inside = _cdf_inside(values, F.broadcast(open_buckets.drop("lower"))).groupBy("feature").agg(
-        F.max(F.abs(F.col("ref_cdf") - F.col("cur_cdf"))).alias("inside")
-    )
-    out = ends.join(F.broadcast(inside), "feature", "left").selectExpr(
-        "feature", "greatest(lower, coalesce(inside, 0D)) AS statistic", "n_reference", "n_current"
-    )
-    return localize(out, None)[0]  # one row per feature
+    lower, sizes, possible = {}, {}, []
+    per_bucket = totals.collect()  # at most ``buckets`` rows per feature
+    for t in per_bucket:
+        n, m = sizes[t["feature"]] = t["n_reference"], t["n_current"]
+        gap = abs(t["ref_upto"] / n - t["cur_upto"] / m)
+        lower[t["feature"]] = max(gap, lower.get(t["feature"], 0.0))
+    for t in per_bucket:
+        n, m = sizes[t["feature"]]
+        most = max(t["ref_upto"] / n - t["cur_before"] / m, t["cur_upto"] / m - t["ref_before"] / n)
+        if most > lower[t["feature"]]:
+            possible.append((t["feature"], t["bucket"]))
+    spark = both.sparkSession
+    if possible:
+        names = pa.table({"feature": [f for f, _ in possible], "bucket": pa.array([b for _, b in possible], pa.int32())})
+        chosen = F.broadcast(totals.join(F.broadcast(spark.createDataFrame(names)), ["feature", "bucket"], "left_semi"))
+        inside = _cdf_inside(values, chosen).groupBy("feature").agg(F.expr("max(abs(ref_cdf - cur_cdf)) AS d"))
+        for r in inside.collect():
+            lower[r["feature"]] = max(lower[r["feature"]], r["d"])
+    found = {
+        "feature": pa.array(list(lower), pa.string()),
+        "statistic": pa.array(list(lower.values()), pa.float64()),
+        "n_reference": pa.array([sizes[f][0] for f in lower], pa.int64()),
+        "n_current": pa.array([sizes[f][1] for f in lower], pa.int64()),
+    }
+    return spark.createDataFrame(pa.table(found))
 
 
 def kolmogorov_p_value(statistic: Column, effective_n: Column, terms: int = 100) -> Column:
