@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +91,9 @@ def raw_sales(spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(_
     """The sales table before cleaning."""
     base = [c for c in SALES_COLUMNS if any(c in _RAW[k] for k in columns)]
     return sales_view(spark, sf_dir, base).select(*[F.expr(_RAW[c]).alias(c) for c in columns])
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """Computed on first use and kept (memory, then disk) for later ones; a lost
+    executor's part is computed again from the source."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
