@@ -105,12 +105,13 @@ def psi_equal_width(reference: DataFrame, current: DataFrame, column: str, bins:
     """
     ref = reference.select(F.lit(0).alias("is_current"), finite(F.col(column)).alias("v"))
     cur = current.select(F.lit(1).alias("is_current"), finite(F.col(column)).alias("v"))
-    ends = F.broadcast(value_range(ref.where(F.col("v").isNotNull()), "v"))  # one row
+    ends = value_range(ref, "v")
+    if ends is None:
+        raise ValueError("the reference has no finite value")
     counts = (
         ref.unionByName(cur)
         .where(F.col("v").isNotNull())
-        .crossJoin(ends)
-        .select("is_current", bin_equal_width(F.col("v"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+        .select("is_current", bin_equal_width(F.col("v"), *ends, bins).alias("bin"))
         .where(F.col("bin").isNotNull())
         .groupBy("bin")
         .agg(*_sides())

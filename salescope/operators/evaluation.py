@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.bins import bin_closed_right
 from salescope.functions.quantiles import RankRule, column_quantiles, exact_quantiles, exact_ranks
+from salescope.session import held, localize
 
 
 def regression_metrics(df: DataFrame, actual: str = "SALES", predicted: str = "prediction") -> DataFrame:
@@ -26,16 +27,17 @@ def regression_metrics(df: DataFrame, actual: str = "SALES", predicted: str = "p
 
 def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10) -> DataFrame:
     """Rows and means per quantile bin ``(a, b]`` of the prediction."""
-    inner = column_quantiles(df, [predicted], [i / bins for i in range(1, bins)])[predicted]
-    if inner[0] is None:
-        raise ValueError("calibration needs at least one row")
-    return (
-        df.select(
-            F.col(actual).alias("a"), F.col(predicted).alias("p"), bin_closed_right(predicted, inner).alias("bin")
+    probs = [i / bins for i in range(1, bins)]
+    with held(df.select(F.col(actual).alias("a"), F.col(predicted).alias("p"))) as rows:
+        inner = column_quantiles(rows, ["p"], probs, hold=False)["p"] if probs else []
+        if inner and inner[0] is None:
+            raise ValueError("calibration needs at least one row")
+        out = (
+            rows.select("a", "p", bin_closed_right("p", inner).alias("bin"))
+            .groupBy("bin")
+            .agg(F.count(F.lit(1)).alias("rows"), F.avg("a").alias("mean_true"), F.avg("p").alias("mean_pred"))
         )
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("rows"), F.avg("a").alias("mean_true"), F.avg("p").alias("mean_pred"))
-    )
+        return localize(out, None)[0]  # one row per bin
 
 
 def calibration_error(df: DataFrame, actual: str = "SALES", predicted: str = "prediction", bins: int = 10) -> DataFrame:
@@ -52,29 +54,23 @@ def fit_conformal(df: DataFrame, actual: str = "SALES", predicted: str = "predic
     """Split-conformal fit on absolute residuals: one row with ``q_hat`` and coverage."""
     if not 0 < alpha < 1:
         raise ValueError("alpha must be between 0 and 1")
-    errors = df.select(F.abs(F.col(actual).cast("double") - F.col(predicted).cast("double")).alias("error"))
-    checks = errors.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("error").isNull() | F.isnan("error") | (F.col("error") == F.lit(float("inf")))).alias("bad"),
-    ).first()
-    if checks["n"] == 0:
-        raise ValueError("conformal calibration needs at least one row")
-    if checks["bad"]:
-        raise ValueError("conformal calibration needs finite residuals")
-
     rank = RankRule(
         lambda n: math.ceil((n - 1) * min(1.0, math.ceil((n + 1) * (1 - alpha)) / n)),
         f"ceil(({{n}} - 1) * least(1.0D, ceil(({{n}} + 1) * {1 - alpha!r}D) / {{n}}))",
     )
-
-    q_hat = exact_ranks(errors, ["error"], [(1 - alpha, rank)]).first()["values"][0]
-    return errors.agg(
-        F.lit("split_conformal_abs_residual").alias("method"),
-        F.lit(alpha).alias("alpha"),
-        F.lit(1 - alpha).alias("nominal_coverage"),
-        F.lit(q_hat).alias("q_hat"),
-        F.count(F.lit(1)).alias("calibration_size"),
-        F.avg((F.col("error") <= F.lit(q_hat)).cast("double")).alias("empirical_coverage"),
+    gap = F.abs(F.col(actual).cast("double") - F.col(predicted).cast("double"))
+    with held(df.select(gap.alias("error"))) as errors:
+        fit = exact_ranks(errors, ["error"], [(1 - alpha, rank)], hold=False).first()
+        q_hat, n = fit["values"][0], fit["n"]
+        total, covered = errors.agg(F.count(F.lit(1)), F.count_if(F.col("error") <= F.lit(q_hat))).first()
+    if total == 0:
+        raise ValueError("conformal calibration needs at least one row")
+    if n < total:
+        raise ValueError("conformal calibration needs finite residuals")
+    return df.sparkSession.createDataFrame(
+        [("split_conformal_abs_residual", alpha, 1 - alpha, q_hat, total, covered / total)],
+        "method string, alpha double, nominal_coverage double, q_hat double, calibration_size long, "
+        "empirical_coverage double",
     )
 
 

@@ -13,6 +13,7 @@ from salescope.functions.bins import bin_equal_width
 from salescope.functions.hashing import fingerprint
 from salescope.functions.quantiles import exact_quantiles, null_safe_join
 from salescope.functions.scalar import finite, flag_iqr
+from salescope.session import held, localize
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -23,39 +24,41 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[finite(F.col(c)).alias(c) for c in columns])
 
 
-def _basic(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _basic(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One pass: counts, missing share, moments and range per column."""
     parts = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.count(c).alias("n"),
-            F.avg(c).alias("mean"),
-            F.stddev_pop(c).alias("std"),
-            F.stddev_samp(c).alias("std_sample"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-        ).alias(c)
+        F.expr(
+            f"named_struct('feature', '{c}', 'row_count', count(1), 'n', count(`{c}`), 'mean', avg(`{c}`), "
+            f"'std', stddev_pop(`{c}`), 'std_sample', stddev_samp(`{c}`), 'min', min(`{c}`), 'max', max(`{c}`)) AS `{c}`"
+        )
         for c in columns
     ]
-    wide = _numbers(df, columns).agg(*parts)
+    wide = numbers.agg(*parts)
     return wide.select(F.inline(F.array(*columns))).withColumn(
-        "missing_ratio", F.when(F.col("row_count") > 0, 1 - F.col("n") / F.col("row_count")).otherwise(F.lit(0.0))
+        "missing_ratio", F.expr("CASE WHEN row_count > 0 THEN 1 - n / row_count ELSE 0D END")
     )
 
 
-def _with_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    q = exact_quantiles(df, columns, list(probs.values())).select(
-        "feature", *[F.col("values")[i].alias(name) for i, name in enumerate(probs)]
-    )
-    return F.broadcast(q)  # one row per column
+def _numeric_table(df: DataFrame, columns: Sequence[str], probs: dict[str, float], unique: bool = False) -> DataFrame:
+    """Moments, quantiles and, if asked, distinct counts: one row per column.
+
+    The columns are held for the passes, so what lies upstream runs once.
+    """
+    with held(_numbers(df, columns)) as numbers:
+        q = exact_quantiles(numbers, columns, list(probs.values()), hold=False).selectExpr(
+            "feature", *[f"values[{i}] AS {name}" for i, name in enumerate(probs)]
+        )
+        out = _basic(numbers, columns).join(F.broadcast(q), "feature")
+        if unique:
+            counts = F.broadcast(distinct_counts(numbers, columns))  # one row per column
+            out = out.join(counts, "feature", "left")
+        return localize(out, None)[0]
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, range and quartiles, one row per column."""
-    q = _with_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return _basic(df, columns).join(q, "feature").select(
-        "feature", F.col("n").alias("count"), "mean", F.col("std_sample").alias("std"), "min", "q25", "q50", "q75", "max"
+    return _numeric_table(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}).selectExpr(
+        "feature", "n AS count", "mean", "std_sample AS std", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -72,21 +75,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    q = _with_quantiles(df, columns, {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95})
+    probs = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95}
     types = {c: df.schema[c].dataType.simpleString() for c in columns}
-    unique = F.broadcast(distinct_counts(df, columns))  # one row per column
-    return (
-        _basic(df, columns)
-        .join(q, "feature")
-        .join(unique, "feature", "left")
-        .select(
-            "feature",
-            _type_name(types).alias("dtype"),
-            (F.col("row_count") - F.col("n")).alias("missing_count"),
-            "missing_ratio",
-            F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
-            "mean", "std", "min", "max", "q05", "q25", "q50", "q75", "q95",
-        )
+    return _numeric_table(df, columns, probs, unique=True).select(
+        "feature",
+        _type_name(types).alias("dtype"),
+        (F.col("row_count") - F.col("n")).alias("missing_count"),
+        "missing_ratio",
+        F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
+        "mean", "std", "min", "max", *probs,
     )
 
 
@@ -128,12 +125,11 @@ def categorical_profile(df: DataFrame, columns: Sequence[str], top: int = 10) ->
 
 def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, missing share, moments, range and p10/p50/p90; empty column: count 0, missing 1."""
-    q = _with_quantiles(df, columns, {"p10": 0.1, "p50": 0.5, "p90": 0.9})
-    return _basic(df, columns).join(q, "feature").select(
+    return _numeric_table(df, columns, {"p10": 0.1, "p50": 0.5, "p90": 0.9}).selectExpr(
         "feature",
-        F.lit("numeric").alias("type"),
-        F.col("n").alias("count"),
-        F.when(F.col("n") == 0, 1.0).otherwise(F.col("missing_ratio")).alias("missing_ratio"),
+        "'numeric' AS type",
+        "n AS count",
+        "CASE WHEN n = 0 THEN 1D ELSE missing_ratio END AS missing_ratio",
         "mean", "std", "min", "p10", "p50", "p90", "max",
     )
 
@@ -234,26 +230,28 @@ def pair_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     return _numbers(df, [x, y]).agg(F.corr(x, y).alias("correlation"))
 
 
-def value_range(df: DataFrame, column: str) -> DataFrame:
-    """One row ``lo, hi``; equal ends are widened by a half on both sides."""
-    r = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    widen = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
-    return r.select((F.col("lo") - widen).alias("lo"), (F.col("hi") + widen).alias("hi"))
+def value_range(df: DataFrame, column: str) -> tuple[float, float] | None:
+    """Smallest and largest value; equal ends are widened by a half on both sides."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return None
+    return (low - 0.5, high + 0.5) if low == high else (float(low), float(high))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins ``bin, bin_start, bin_end, rows`` (non-empty ones)."""
     d = _numbers(df, [column]).where(F.col(column).isNotNull())
-    ends = F.broadcast(value_range(d, column))  # one row
-    binned = d.crossJoin(ends).select(
-        bin_equal_width(F.col(column), F.col("lo"), F.col("hi"), bins).alias("bin"), "lo", "hi"
-    )
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return binned.groupBy("bin", "lo", "hi").agg(F.count(F.lit(1)).alias("rows")).select(
-        "bin",
-        (F.col("lo") + F.col("bin") * step).alias("bin_start"),
-        (F.col("lo") + (F.col("bin") + 1) * step).alias("bin_end"),
-        "rows",
+    low, high = value_range(d, column) or (0.0, 1.0)
+    step = (high - low) / bins
+    return (
+        d.groupBy(bin_equal_width(F.col(column), low, high, bins).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(
+            "bin",
+            (F.lit(low) + F.col("bin") * step).alias("bin_start"),
+            (F.lit(low) + (F.col("bin") + 1) * step).alias("bin_end"),
+            "rows",
+        )
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from salescope.functions.quantiles import null_safe_join
 from salescope.functions.scalar import month_from_parts, month_start, safe_ratio
+from salescope.session import materialize, spread
 
 # Smoothing of the volatility estimate, error floor, and the order grid.
 EWMA_ALPHA = 0.06
@@ -242,7 +243,7 @@ def arima_forecast(series: DataFrame, segment: Sequence[str], horizon: int) -> D
             row = [True, None, best["aic"], best["order"], best["seasonal"], [float(v) for v in best["forecast"]]]
         return pd.DataFrame([[*key, *row]], columns=schema.fieldNames())
 
-    return series.select(*segment, "month", "sales").groupBy(*segment).applyInPandas(fit, schema)
+    return spread(series.select(*segment, "month", "sales"), *segment).groupBy(*segment).applyInPandas(fit, schema)
 
 
 # --- risk -----------------------------------------------------------------------------
@@ -322,7 +323,8 @@ def garch_volatility(rets: DataFrame, segment: Sequence[str], min_points: int =
              'h', v0 * (1D - a - b) + a * x * x + b * s.h, 'l', s.l - 0.5D * (ln(s.h) + x * x / s.h)))"""
     )
     return (
-        lists.select("*", F.inline(grid))
+        spread(lists, *segment)
+        .select("*", F.inline(grid))
         .select(*segment, fold.alias("s"), "a", "b")
         .groupBy(*segment)
         .agg(F.max_by(F.struct("s.h", "a", "b"), F.struct(F.col("s.l"), -F.col("a"), -F.col("b"))).alias("best"))
@@ -396,6 +398,8 @@ def segment_report(series: DataFrame, segment: Sequence[str], holdout: int = 6,
     holdout; segments with no more months than the holdout get risk only.
     """
     segment = list(segment)
+    # Every measure below reads the series again: a row per segment and month, written once.
+    series = materialize(series, "series")
     span = series.groupBy(*segment).agg(
         F.count(F.lit(1)).alias("series_points"), F.min("month").alias("series_start"), F.max("month").alias("series_end")
     )

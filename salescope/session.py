@@ -82,3 +82,14 @@ def localize(df: DataFrame, limit: int | None = LOCAL_ROW_LIMIT) -> tuple[DataFr
     if limit is not None and table.num_rows > limit:
         return df, False
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), True
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition rows that are few but costly to work on.
+
+    AQE joins small partitions by their bytes; a fixed number of partitions keeps such
+    rows on all cores.
+    """
+    spark = df.sparkSession
+    count = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(count, *keys)
