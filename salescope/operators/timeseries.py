@@ -310,21 +310,15 @@ def garch_volatility(rets: DataFrame, segment: Sequence[str], min_points: int =
         .withColumn("v0", F.expr("aggregate(xs, 0D, (a, x) -> a + x * x) / size(xs)"))
         .where("v0 > 0")
     )
-    grid = F.array(
-        *[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"))
-            for a in GARCH_ALPHAS
-            for b in GARCH_BETAS
-            if a + b < 0.999
-        ]
-    )
+    points = [(a, b) for a in GARCH_ALPHAS for b in GARCH_BETAS if a + b < 0.999]
+    grid = ", ".join(f"named_struct('a', {a!r}D, 'b', {b!r}D)" for a, b in points)
     fold = F.expr(
         """aggregate(xs, named_struct('h', v0, 'l', 0D), (s, x) -> named_struct(
              'h', v0 * (1D - a - b) + a * x * x + b * s.h, 'l', s.l - 0.5D * (ln(s.h) + x * x / s.h)))"""
     )
     return (
         spread(lists, *segment)
-        .select("*", F.inline(grid))
+        .selectExpr("*", f"inline(array({grid}))")
         .select(*segment, fold.alias("s"), "a", "b")
         .groupBy(*segment)
         .agg(F.max_by(F.struct("s.h", "a", "b"), F.struct(F.col("s.l"), -F.col("a"), -F.col("b"))).alias("best"))

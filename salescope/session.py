@@ -88,8 +88,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition rows that are few but costly to work on.
 
     AQE joins small partitions by their bytes; a fixed number of partitions keeps such
-    rows on all cores.
+    rows on all cores. It differs from the shuffle default, or Spark would take an
+    earlier shuffle by the same keys for it and drop it.
     """
     spark = df.sparkSession
     count = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(count, *keys)
+    return df.repartition(2 * count, *keys)
