@@ -343,8 +343,8 @@ def conformal_interval(spark, sf):
     "m17_residual_interval",
     with_sales(
         PREDICTED_SQL + RESIDUAL_SQL
-        + f""" SELECT {LINE}, round(least(prediction + lo, prediction + hi), 4) AS lower,
-          round(greatest(prediction + lo, prediction + hi), 4) AS upper FROM scored, res"""
+        + f""" SELECT {LINE}, round(least(prediction + lo, prediction + hi), 6) AS lower,
+          round(greatest(prediction + lo, prediction + hi), 6) AS upper FROM scored, res"""
     ),
 )
 def residual_interval(spark, sf):
@@ -353,7 +353,7 @@ def residual_interval(spark, sf):
     out = scoring.residual_interval(rows, q["residual_q10"], q["residual_q90"])
     return rounded(
         out.select("ORDERNUMBER", "ORDERLINENUMBER", "prediction", F.col("residual.lower"), F.col("residual.upper")),
-        prediction=4, lower=4, upper=4,
+        prediction=4, lower=6, upper=6,
     )
 
 
@@ -363,8 +363,8 @@ def residual_interval(spark, sf):
         PREDICTED_SQL + CONFORMAL_SQL + RESIDUAL_SQL
         + f""" SELECT {LINE}, DEALSIZE,
           CASE DEALSIZE WHEN 'MACHINERY' THEN 'residual_quantiles' WHEN 'FURNITURE' THEN NULL ELSE 'conformal_intervals' END AS interval_method,
-          round(CASE DEALSIZE WHEN 'MACHINERY' THEN prediction + lo WHEN 'FURNITURE' THEN NULL ELSE prediction - q_hat END, 4) AS p10,
-          round(CASE DEALSIZE WHEN 'MACHINERY' THEN prediction + hi WHEN 'FURNITURE' THEN NULL ELSE prediction + q_hat END, 4) AS p90
+          round(CASE DEALSIZE WHEN 'MACHINERY' THEN prediction + lo WHEN 'FURNITURE' THEN NULL ELSE prediction - q_hat END, 6) AS p10,
+          round(CASE DEALSIZE WHEN 'MACHINERY' THEN prediction + hi WHEN 'FURNITURE' THEN NULL ELSE prediction + q_hat END, 6) AS p90
           FROM scored, qh, res"""
     ),
 )
@@ -384,7 +384,7 @@ def interval_cascade(spark, sf):
     )
     return rounded(
         out.select("ORDERNUMBER", "ORDERLINENUMBER", "prediction", "DEALSIZE", "interval_method", "p10", "p90"),
-        prediction=4, p10=4, p90=4,
+        prediction=4, p10=6, p90=6,
     )
 
 
