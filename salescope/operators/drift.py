@@ -70,18 +70,13 @@ def _psi_bins(both: DataFrame, features: Sequence[str], bins: int = 10) -> DataF
     probs = [i / bins for i in range(1, bins)]
     edges = column_quantiles(both.where("is_current = 0"), features, probs, hold=False)
     usable = [c for c in features if edges[c][0] is not None]
-    if not usable:
-        raise ValueError("no feature has finite values in the reference")
-    binned = both.select(
-        "is_current", *[F.when(F.col(c).isNotNull(), bin_closed_left(c, edges[c])).alias(c) for c in usable]
-    )
-    counts = (
-        binned.unpivot(["is_current"], usable, "feature", "bin")
-        .where("bin IS NOT NULL")
-        .groupBy("feature", "bin")
-        .agg(*_sides())
-    )
-    return _shares(counts)
+    if usable:
+        binned = both.select(
+            "is_current", *[F.when(F.col(c).isNotNull(), bin_closed_left(c, edges[c])).alias(c) for c in usable]
+        ).unpivot(["is_current"], usable, "feature", "bin")
+    else:
+        binned = both.sparkSession.createDataFrame([], "is_current int, feature string, bin int")
+    return _shares(binned.where("bin IS NOT NULL").groupBy("feature", "bin").agg(*_sides()))
 
 
 def psi(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
@@ -147,13 +142,16 @@ def _bucketed(both: DataFrame, features: Sequence[str], buckets: int) -> tuple[D
         *[F.expr(f"percentile_approx(`{c}`, array({probes}), {10 * buckets}) AS `{c}`") for c in features]
     ).first()
     usable = [c for c in features if sketch[c]]
-    borders = [[-math.inf, *sorted(set(sketch[c])), math.inf] for c in usable]
-    named = [f"__bucket_{i}" for i in range(len(usable))]
-    cut = Bucketizer(splitsArray=borders, inputCols=usable, outputCols=named, handleInvalid="keep").transform(both)
-    parts = ", ".join(
-        f"named_struct('feature', '{c}', 'value', `{c}`, 'bucket', CAST({b} AS INT))" for c, b in zip(usable, named)
-    )
-    values = cut.selectExpr("is_current", f"inline(array({parts}))").where("value IS NOT NULL")
+    if usable:
+        borders = [[-math.inf, *sorted(set(sketch[c])), math.inf] for c in usable]
+        named = [f"__bucket_{i}" for i in range(len(usable))]
+        cut = Bucketizer(splitsArray=borders, inputCols=usable, outputCols=named, handleInvalid="keep").transform(both)
+        parts = ", ".join(
+            f"named_struct('feature', '{c}', 'value', `{c}`, 'bucket', CAST({b} AS INT))" for c, b in zip(usable, named)
+        )
+        values = cut.selectExpr("is_current", f"inline(array({parts}))").where("value IS NOT NULL")
+    else:
+        values = both.sparkSession.createDataFrame([], "is_current int, feature string, value double, bucket int")
     run = Window.partitionBy("feature").orderBy("bucket")
     whole = Window.partitionBy("feature")
     totals = (

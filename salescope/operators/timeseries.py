@@ -27,6 +27,15 @@ SEASONAL_SHORT = ((0, 0, 0, 0),)
 SEASONAL_LONG = ((0, 0, 0, 0), (1, 1, 0, 12), (0, 1, 1, 12))
 MIN_HISTORY, MIN_SEASONAL, MIN_GARCH = 12, 24, 24
 
+# Method names and reasons in the report.
+GARCH, EWMA = "garch_1_1", "ewma_fallback"
+NO_HISTORY = "insufficient history"
+NO_ARIMA_HISTORY = "insufficient history for sarima"
+ARIMA_FAILED = "sarima fitting failed"
+NO_RETURNS = "insufficient returns history"
+FEW_RETURNS = "insufficient observations for stable garch fit; used ewma fallback"
+GARCH_FAILED = "garch fitting failed; used ewma fallback"
+
 
 def monthly_series(df: DataFrame, segment: Sequence[str], value: str = "SALES") -> DataFrame:
     """``segment..., month, sales, filled``: months without rows are zero.
@@ -237,7 +246,7 @@ def arima_forecast(series: DataFrame, segment: Sequence[str], horizon: int) -> D
         y = pdf.sort_values("month")["sales"].to_numpy(dtype=float)
         best = best_arima(y, horizon) if len(y) >= MIN_HISTORY else None
         if best is None:
-            reason = "insufficient history for sarima" if len(y) < MIN_HISTORY else "sarima fitting failed"
+            reason = NO_ARIMA_HISTORY if len(y) < MIN_HISTORY else ARIMA_FAILED
             row = [False, reason, None, None, None, []]
         else:
             row = [True, None, best["aic"], best["order"], best["seasonal"], [float(v) for v in best["forecast"]]]
@@ -349,11 +358,11 @@ def risk_report(series: DataFrame, segment: Sequence[str]) -> DataFrame:
     return parts.select(
         *segment,
         available.alias("available"),
-        F.when(~available, "insufficient returns history")
-        .when(~garch & (F.col("observations") < MIN_GARCH), "insufficient observations for stable garch fit; used ewma fallback")
-        .when(~garch, "garch fitting failed; used ewma fallback")
+        F.when(~available, NO_RETURNS)
+        .when(~garch & (F.col("observations") < MIN_GARCH), FEW_RETURNS)
+        .when(~garch, GARCH_FAILED)
         .alias("reason"),
-        F.when(~available, F.lit(None)).when(garch, "garch_1_1").otherwise("ewma_fallback").alias("method"),
+        F.when(~available, F.lit(None)).when(garch, GARCH).otherwise(EWMA).alias("method"),
         F.coalesce("garch_volatility", "ewma_volatility").alias("next_period_volatility"),
         "volatility_annualized",
         "var_95",
@@ -419,7 +428,7 @@ def segment_report(series: DataFrame, segment: Sequence[str], holdout: int = 6,
     ).otherwise(repeated)
     report = out.select(
         *segment, "series_points", "series_start", "series_end",
-        F.when(F.col("best_model").isNull(), "insufficient history").otherwise("ok").alias("status"),
+        F.when(F.col("best_model").isNull(), NO_HISTORY).otherwise("ok").alias("status"),
         "naive_rmse", "sarima_rmse", "sarima_reason", "best_model", "best_rmse", values.alias("forecast"),
     )
     risk = risk_report(series, segment)

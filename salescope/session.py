@@ -92,5 +92,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     earlier shuffle by the same keys for it and drop it.
     """
     spark = df.sparkSession
-    count = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(2 * count, *keys)
+    count = 2 * spark.sparkContext.defaultParallelism
+    if count == int(spark.conf.get("spark.sql.shuffle.partitions")):
+        count += 1
+    return df.repartition(count, *keys)

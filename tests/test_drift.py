@@ -103,6 +103,14 @@ def test_features_without_values_are_skipped(spark):
     assert out[0]["n_current"] == 1
 
 
+def test_no_feature_has_values(spark):
+    empty = spark.createDataFrame([(None,)], "x double")
+    summary = drift.drift_summary(empty, empty, ["x"])
+    assert summary.count() == 0
+    alert = drift.drift_alert(summary).first()
+    assert (alert["features"], alert["drift_ratio"], alert["alert"]) == (0, 0.0, False)
+
+
 def test_p_value(spark):
     a, b = np.random.default_rng(19).normal(size=(2, 400))
     row = drift.ks_test(frame(spark, x=a), frame(spark, x=b + 0.1), ["x"]).first()
