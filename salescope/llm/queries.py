@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import langid, quality
+from salescope.llm import langid, neardup, quality
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -28,6 +28,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, profiles, {"doc_id": F.col("doc_id"), "held_out": F.coalesce(fold(5) == 0, F.lit(False))})
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links of 85 percent."""
+    return neardup.duplicates(documents(spark, sf_dir), Scratch(spark, "neardup"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and whether it stays."""
     return quality.verdicts(documents(spark, sf_dir), Scratch(spark, "quality"))
@@ -35,5 +40,6 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_near_duplicates": op2_near_duplicates,
     "op4_quality_rules": op4_quality_rules,
 }
