@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import langid, neardup, quality
+from salescope.llm import langid, neardup, quality, substrings
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -33,6 +33,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.duplicates(documents(spark, sf_dir), Scratch(spark, "neardup"))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 20 words that occur earlier."""
+    return substrings.removed(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and whether it stays."""
     return quality.verdicts(documents(spark, sf_dir), Scratch(spark, "quality"))
@@ -41,5 +46,6 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_quality_rules": op4_quality_rules,
 }
