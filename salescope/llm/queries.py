@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import langid, neardup, quality, substrings
+from salescope.llm import chat, langid, neardup, packing, quality, substrings, vptree
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -43,9 +43,38 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir), Scratch(spark, "quality"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector."""
+    return vptree.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SAMPLE_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op9_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of all conversations and one made of control strings, read back from their training examples."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(F.lit(-7), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(SAMPLE_TEXT))
+    return chat.read_back(chat.examples(turns.union(more)))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir), tokenizer_path(), Scratch(spark, "packing"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_quality_rules": op4_quality_rules,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op9_chat_examples": op9_chat_examples,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }

@@ -2,4 +2,37 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+OP7 = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+    AND len(embedding) = (SELECT len(embedding) FROM embeddings WHERE embedding IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+), d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM d
+WINDOW w AS (PARTITION BY query_id ORDER BY score, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+OP9 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p, count(*) OVER (PARTITION BY conv_id) AS n,
+    length('<|turn|><|text|><|end|>') + length(replace(replace(role || text, '\', '\\'), '|', '\p')) AS size
+  FROM t
+), s AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY p) AS upto FROM o)
+SELECT conv_id, max(n) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR p = n) AS BIGINT) AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op7_nearest_neighbours": OP7, "op9_chat_examples": OP9}
