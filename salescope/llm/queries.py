@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import chat, langid, neardup, packing, quality, substrings, vptree
+from salescope.llm import chat, langid, neardup, packing, quality, secret_scan, substrings, vptree
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -43,6 +43,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(documents(spark, sf_dir), Scratch(spark, "quality"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    docs = documents(spark, sf_dir)
+    return secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_sample(docs)))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of every hundredth vector."""
     return vptree.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_quality_rules": op4_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op9_chat_examples": op9_chat_examples,
     "op10_best_fit_packing": op10_best_fit_packing,
