@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import chat, langid, neardup, packing, quality, secret_scan, substrings, vptree
+from salescope.llm import chat, langid, lm, mixing, neardup, packing, quality, secret_scan, substrings, vptree
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -49,11 +49,26 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_sample(docs)))
 
 
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END"
+WEIGHTS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of every document for target weights of good, poor and toxic text."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mix(documents(spark, sf_dir), labels, F.expr(DOMAIN), WEIGHTS, Scratch(spark, "mixing"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of every hundredth vector."""
     return vptree.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by unigrams and by the network, learned from six of seven folds."""
+    return lm.scores(documents(spark, sf_dir), fold(7) != 2, fold(7) == 2, Scratch(spark, "lm"))
+
+
 SAMPLE_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -81,7 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_repeated_passages": op3_repeated_passages,
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op6_soft_mixing": op6_soft_mixing,
     "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_recurrent_lm": op8_recurrent_lm,
     "op9_chat_examples": op9_chat_examples,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
