@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -97,6 +98,9 @@ def boosting(**params) -> Estimator:
     return GBTRegressor(featuresCol="features", predictionCol="prediction", **settings)
 
 
+# The parameter sets and grids below.
+
+
 def sales_candidates() -> list[Candidate]:
     """Linear, forest and boosting with the default parameter sets and search grids."""
     return [
@@ -190,7 +194,8 @@ def train(
 ) -> TrainingResult:
     """Fit the candidates on ``split = 'train'``, score on 'test', keep the best.
 
-    Features are prepared once, fitted on the training side only, and held for all fits.
+    Features are prepared once, fitted on the training side only, and held for all fits;
+    for cross-validation once more for each fold, fitted without its held-out part.
     ``tuned`` searches each grid by cross-validation on the ``fold`` column and refits
     the best point on the whole training side. Fits are independent Spark jobs, so a
     few run side by side.
@@ -209,7 +214,15 @@ def train(
     prep = Pipeline(stages=preprocessor_stages(schema)).fit(data.where("split = 'train'"))
     ready = prep.transform(data).select("features", target, *columns[len(schema.features) + 1 :])
 
-    with held(ready) as rows:
+    def fold_rows(k: int) -> DataFrame:
+        train_side = data.where("split = 'train'")
+        own = Pipeline(stages=preprocessor_stages(schema)).fit(train_side.where(F.col("fold") != k))
+        return own.transform(train_side).select("features", target, "fold")
+
+    with ExitStack() as stack:
+        rows = stack.enter_context(held(ready))
+        folds = sorted({k for c in candidates if c.grid for k in range(c.folds)}) if tuned else []
+        prepared = {k: stack.enter_context(held(fold_rows(k))) for k in folds}
         fit_rows, test_rows = rows.where("split = 'train'"), rows.where("split = 'test'")
 
         def fit(candidate: Candidate, params: Mapping[str, object], frame: DataFrame):
@@ -222,8 +235,8 @@ def train(
 
         def validation(task):
             candidate, params, k = task
-            model = fit(candidate, params, fit_rows.where(F.col("fold") != k))
-            return _metrics(model, fit_rows.where(F.col("fold") == k), target)[primary_metric]
+            model = fit(candidate, params, prepared[k].where(F.col("fold") != k))
+            return _metrics(model, prepared[k].where(F.col("fold") == k), target)[primary_metric]
 
         def search(candidate: Candidate):
             points = candidate.points(seed)

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescope.sources.tables import SCHEMAS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,6 +33,22 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def declared(name: str) -> tuple[list[str], dict[str, str]]:
+    """Names and types of a table's declared columns."""
+    fields = [f.split() for f in SCHEMAS[name].split(",")]
+    return [c for c, _ in fields], {c: {"long": "bigint"}.get(t, t) for c, t in fields}
+
+
+def expected_sql(name: str) -> str:
+    return ", ".join(f"('{c}', '{t}')" for c, t in declared(name)[1].items())
+
+
+def described(name: str) -> str:
+    """SQL for a table's columns, with types by the names used here."""
+    kinds = "{'BIGINT': 'bigint', 'INTEGER': 'int', 'DOUBLE': 'double', 'VARCHAR': 'string', 'TIMESTAMP': 'timestamp_ntz'}"
+    return f"SELECT column_name, coalesce(MAP {kinds}[column_type], column_type) AS kind FROM (DESCRIBE {name})"
+
+
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round the named columns; float sums differ in the last digits between engines."""
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])

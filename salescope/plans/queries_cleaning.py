@@ -8,9 +8,9 @@ from salescope.functions.hashing import hash_bucket, row_text
 from salescope.functions.scalar import safe_ratio
 from salescope.operators import cleaning, contracts
 from salescope.operators.contracts import SALES_SCHEMA, FeatureSchema
-from salescope.plans.catalog import query, r, rounded, with_raw, with_sales
+from salescope.plans.catalog import declared, described, expected_sql, query, r, rounded, with_raw, with_sales
 from salescope.plans.queries_grouped import ROW_KEY, ROW_KEY_SQL
-from salescope.sources.tables import raw_sales, sales_view, table
+from salescope.sources.tables import file_table, raw_sales, sales_view, table
 
 KEY = ["ORDERNUMBER", "ORDERLINENUMBER"]
 
@@ -435,12 +435,10 @@ def hash_buckets(spark, sf):
 
 @query(
     "c05_schema_changes",
-    None,
+    f"""WITH o AS ({described("lineitem")}), e AS (SELECT * FROM (VALUES {expected_sql("lineitem")}) t(column_name, kind))
+    SELECT column_name, o.kind IS NULL AS missing, e.kind IS NULL AS unexpected, coalesce(o.kind <> e.kind, false) AS type_mismatch,
+      e.kind AS expected_type, o.kind AS observed_type, false AS order_changed FROM e FULL JOIN o USING (column_name)""",
 )
 def schema_changes(spark, sf):
-    current = sales_view(spark, sf, ["SALES", "PRICEEACH", "QUANTITYORDERED", "PRODUCTLINE", "STATUS"]).drop("SALES")
-    return contracts.schema_changes(
-        current,
-        ["QUANTITYORDERED", "PRICEEACH", "MSRP", "PRODUCTLINE"],
-        {"QUANTITYORDERED": "int", "PRICEEACH": "double"},
-    )
+    """The schema of the files of ``lineitem`` against the declared one."""
+    return contracts.schema_changes(file_table(spark, sf, "lineitem"), *declared("lineitem"))

@@ -14,15 +14,20 @@ from salescope.sources.tables import sales_view, table
 FEATURES = ["QUANTITYORDERED", "PRICEEACH", "SALES", "MSRP", "MONTH_ID"]
 
 
-def years(spark, sf, columns):
-    """The first year as reference, the last as current."""
+HALF = "(SELECT (min(YEAR_ID) + max(YEAR_ID)) // 2 FROM sales)"
+
+
+def halves(spark, sf, columns):
+    """Lines up to the middle year as reference, later ones as current."""
     view = sales_view(spark, sf, [*columns, "YEAR_ID"])
-    return view.where("YEAR_ID = 1995").drop("YEAR_ID"), view.where("YEAR_ID = 2001").drop("YEAR_ID")
+    low, high = sales_view(spark, sf, ["YEAR_ID"]).agg(F.min("YEAR_ID"), F.max("YEAR_ID")).first()
+    middle = (low + high) // 2 if low is not None else None
+    return view.where(F.col("YEAR_ID") <= middle).drop("YEAR_ID"), view.where(F.col("YEAR_ID") > middle).drop("YEAR_ID")
 
 
 def _sample_sql(c: str) -> str:
-    return f"""SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, CASE WHEN YEAR_ID = 2001 THEN 1 ELSE 0 END AS is_current
-      FROM sales WHERE YEAR_ID IN (1995, 2001) AND {c} IS NOT NULL"""
+    return f"""SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, CASE WHEN YEAR_ID > {HALF} THEN 1 ELSE 0 END AS is_current
+      FROM sales WHERE YEAR_ID IS NOT NULL AND {c} IS NOT NULL"""
 
 
 LONG_SQL = ", long AS (" + " UNION ALL ".join(_sample_sql(c) for c in FEATURES) + ")"
@@ -51,7 +56,7 @@ KS_SQL = """, counts AS (SELECT feature, v, count(*) FILTER (is_current = 0) AS
 
 @query("g27_psi", with_sales(LONG_SQL + PSI_SQL + " SELECT feature, round(psi, 8) AS psi FROM psi"))
 def psi(spark, sf):
-    return rounded(drift.psi(*years(spark, sf, FEATURES), FEATURES), psi=8)
+    return rounded(drift.psi(*halves(spark, sf, FEATURES), FEATURES), psi=8)
 
 
 @query(
@@ -61,11 +66,11 @@ def psi(spark, sf):
     ),
 )
 def psi_bins(spark, sf):
-    out = drift.psi_bins(*years(spark, sf, FEATURES), FEATURES).drop("n_reference", "n_current")
+    out = drift.psi_bins(*halves(spark, sf, FEATURES), FEATURES).drop("n_reference", "n_current")
     return rounded(out, ref_share=8, cur_share=8)
 
 
-EQUAL_WIDTH_SQL = """, s AS (SELECT SALES AS v, YEAR_ID = 2001 AS late FROM sales WHERE YEAR_ID IN (1995, 2001)),
+EQUAL_WIDTH_SQL = f""", s AS (SELECT SALES AS v, YEAR_ID > {HALF} AS late FROM sales WHERE YEAR_ID IS NOT NULL),
   e AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 10 AS w FROM s WHERE NOT late),
   g AS (SELECT v, late, lo, w, least(CAST(floor((v - lo) / w) AS INT), 9) AS k FROM s, e WHERE v BETWEEN lo AND hi),
   b AS (SELECT late, CASE WHEN v < lo + k * w THEN k - 1 WHEN v >= lo + (k + 1) * w AND k < 9 THEN k + 1 ELSE k END AS bin FROM g),
@@ -78,7 +83,7 @@ EQUAL_WIDTH_SQL = """, s AS (SELECT SALES AS v, YEAR_ID = 2001 AS late FROM sale
 
 @query("g28_psi_equal_width", with_sales(EQUAL_WIDTH_SQL))
 def psi_equal_width(spark, sf):
-    out = drift.psi_equal_width(*years(spark, sf, ["SALES"]), "SALES")
+    out = drift.psi_equal_width(*halves(spark, sf, ["SALES"]), "SALES")
     return rounded(out, ref_prop=8, cur_prop=8, psi_bin=8, psi_total=8)
 
 
@@ -90,7 +95,7 @@ def psi_equal_width(spark, sf):
     ),
 )
 def ks_statistic(spark, sf):
-    return rounded(drift.ks_statistic(*years(spark, sf, FEATURES), FEATURES), statistic=10)
+    return rounded(drift.ks_statistic(*halves(spark, sf, FEATURES), FEATURES), statistic=10)
 
 
 @query(
@@ -103,7 +108,7 @@ def ks_statistic(spark, sf):
     ),
 )
 def ks_test(spark, sf):
-    out = drift.ks_test(*years(spark, sf, FEATURES), FEATURES)
+    out = drift.ks_test(*halves(spark, sf, FEATURES), FEATURES)
     return rounded(out, statistic=10, p_value=8, critical_value=8)
 
 
@@ -120,7 +125,7 @@ SUMMARY_SQL = LONG_SQL + PSI_SQL + KS_SQL + """, summary AS (SELECT feature, psi
     ),
 )
 def drift_summary(spark, sf):
-    out = drift.drift_summary(*years(spark, sf, FEATURES), FEATURES)
+    out = drift.drift_summary(*halves(spark, sf, FEATURES), FEATURES)
     return rounded(
         out.select("feature", "psi", "statistic", "p_value", "drift_detected", "drifted"), psi=8, statistic=10, p_value=8
     )
@@ -136,7 +141,7 @@ def drift_summary(spark, sf):
     ),
 )
 def drift_alert(spark, sf):
-    out = drift.drift_alert(drift.drift_summary(*years(spark, sf, FEATURES), FEATURES), 0.3)
+    out = drift.drift_alert(drift.drift_summary(*halves(spark, sf, FEATURES), FEATURES), 0.3)
     return rounded(out, drift_ratio=8)
 
 
@@ -144,7 +149,7 @@ CATEGORIES = ["PRODUCTLINE", "DEALSIZE", "STATUS"]
 CATEGORY_SQL = (
     ", texts AS ("
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {c} AS v, YEAR_ID = 2001 AS late FROM sales WHERE YEAR_ID IN (1995, 2001) AND {c} IS NOT NULL"
+        f"SELECT '{c}' AS feature, {c} AS v, YEAR_ID > {HALF} AS late FROM sales WHERE YEAR_ID IS NOT NULL AND {c} IS NOT NULL"
         for c in CATEGORIES
     )
     + """), tc AS (SELECT feature, v, count(*) FILTER (NOT late) AS ref, count(*) FILTER (late) AS cur FROM texts GROUP BY ALL),
@@ -161,7 +166,7 @@ AREA_SQL = ", area AS (SELECT feature, coalesce(sum(abs(f - g) * (nv - v)), 0) A
     with_sales(LONG_SQL + KS_SQL + AREA_SQL + " SELECT feature, round(area, 6) AS wasserstein FROM area"),
 )
 def wasserstein(spark, sf):
-    return rounded(drift.wasserstein(*years(spark, sf, FEATURES), FEATURES), wasserstein=6)
+    return rounded(drift.wasserstein(*halves(spark, sf, FEATURES), FEATURES), wasserstein=6)
 
 
 @query(
@@ -169,7 +174,7 @@ def wasserstein(spark, sf):
     with_sales(CATEGORY_SQL + " SELECT feature, round(js, 8) AS jensen_shannon, round(psi, 8) AS psi FROM js"),
 )
 def category_distances(spark, sf):
-    out = drift.category_distances(*years(spark, sf, CATEGORIES), CATEGORIES)
+    out = drift.category_distances(*halves(spark, sf, CATEGORIES), CATEGORIES)
     return rounded(out, jensen_shannon=8, psi=8)
 
 
@@ -186,7 +191,7 @@ def category_distances(spark, sf):
 )
 def column_drift_report(spark, sf):
     columns = [*FEATURES, *CATEGORIES]
-    out = drift.column_drift_report(*years(spark, sf, columns), columns)
+    out = drift.column_drift_report(*halves(spark, sf, columns), columns)
     return rounded(out, distance=8, drifted_share=8)
 
 
@@ -195,7 +200,7 @@ def column_drift_report(spark, sf):
     with_sales(LONG_SQL + KS_SQL + " SELECT feature, v AS \"value\", nv AS next_value, round(f, 10) AS ref_cdf, round(g, 10) AS cur_cdf FROM cdf"),
 )
 def empirical_cdf(spark, sf):
-    return rounded(drift.empirical_cdf(*years(spark, sf, FEATURES), FEATURES), ref_cdf=10, cur_cdf=10)
+    return rounded(drift.empirical_cdf(*halves(spark, sf, FEATURES), FEATURES), ref_cdf=10, cur_cdf=10)
 
 
 @query(
@@ -206,7 +211,7 @@ def empirical_cdf(spark, sf):
     ),
 )
 def value_supports(spark, sf):
-    both = drift.two_samples(*years(spark, sf, FEATURES), FEATURES)
+    both = drift.two_samples(*halves(spark, sf, FEATURES), FEATURES)
     return drift._long(both, FEATURES).groupBy("feature", "value").agg(*drift._sides())
 
 

@@ -31,7 +31,6 @@ RANDOM = [
     Candidate("RandomForest", forest, ({"numTrees": 6, "maxDepth": 5},),
               {"numTrees": [4, 6], "maxDepth": [3, 5], "minInstancesPerNode": [1, 4]}, draws=3, folds=2),
 ]
-_trained: dict[tuple, object] = {}
 
 
 def new_folder(spark, label: str) -> str:
@@ -43,28 +42,18 @@ def split_sales(spark, sf):
     return modeling.hash_folds(modeling.hash_split(view, ROW_KEY), ROW_KEY)
 
 
-def _once(spark, key: tuple, make):
-    """One training per session, table folder and purpose."""
-    full = (spark.sparkContext.applicationId, *key)
-    if full not in _trained:
-        _trained[full] = make()
-    return _trained[full]
-
-
 def trained(spark, sf, which: str):
     candidates = {"linear": LIGHT[:1], "forest": LIGHT[1:2], "boosting": LIGHT[2:], "all": LIGHT}[which]
-    return _once(spark, (sf, which), lambda: modeling.train(split_sales(spark, sf), SALES_SCHEMA, candidates, "baseline"))
+    return modeling.train(split_sales(spark, sf), SALES_SCHEMA, candidates, "baseline")
 
 
 def forest_bundle(spark, sf):
-    def make():
-        result = trained(spark, sf, "forest")
-        path = new_folder(spark, "forest")
-        sinks.save_model(result.pipeline, path, modeling.model_metadata(result, spark, "sales"))
-        model, _ = sinks.load_model(spark, path)
-        return model, explain.read_ensemble(spark, f"{path}/model", model)
-
-    return _once(spark, (sf, "bundle"), make)
+    """A forest, saved and loaded again, and its trees."""
+    result = trained(spark, sf, "forest")
+    path = new_folder(spark, "forest")
+    sinks.save_model(result.pipeline, path, modeling.model_metadata(result, spark, "sales"))
+    model, _ = sinks.load_model(spark, path)
+    return model, explain.read_ensemble(spark, f"{path}/model", model)
 
 
 @query("m01_preprocessed_rows")
@@ -129,7 +118,8 @@ def best_model(spark, sf):
 @query("m12_engineered_training")
 def engineered_training(spark, sf):
     data, schema = cleaning.regression_dataset(raw_sales(spark, sf))
-    data = data.where(" AND ".join(f"{c} IS NOT NULL" for c in schema.features)).where("SALES IS NOT NULL")
+    data = cleaning.categories_as_text(cleaning.drop_missing_target(data, "SALES"), schema.categorical)
+    data = cleaning.impute_median(data, schema.numeric)
     key = ["QUANTITYORDERED", "PRICEEACH", "MSRP", "YEAR", "MONTH", "COUNTRY"]
     split = modeling.hash_folds(modeling.hash_split(data, key), key)
     return modeling.train(split, schema, LIGHT, "baseline").leaderboard(spark)
@@ -503,11 +493,6 @@ def model_round_trip(spark, sf):
 # --- streams ---------------------------------------------------------------------------
 
 
-def event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-
-
 @query(
     "r02_stream_daily_psi",
     """WITH ref AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-08'),
@@ -523,14 +508,20 @@ def event_stream(spark, sf):
 def stream_daily_psi(spark, sf):
     reference = table(spark, sf, "events").where("ts < timestamp_ntz'2024-01-08 00:00:00'")
     edges, shares = drift.reference_profile(reference, "value")
-    days = stream_drift.daily_psi(event_stream(spark, sf), "value", edges, shares)
-    name = f"psi_{uuid.uuid4().hex}"
+    # A day is final once a later event has moved the watermark past it: the feed ends with one of a far day.
+    feed = new_folder(spark, "events")
+    events = table(spark, sf, "events").select("ts", "value")
+    events.write.parquet(feed)
+    last = events.agg(F.max(F.col("ts").cast("timestamp")).alias("at"))
+    last.select((F.col("at") + F.expr("INTERVAL 30 DAYS")).cast("timestamp_ntz").alias("ts"), F.lit(0.0).alias("value")).write.mode("append").parquet(feed)
+    days = stream_drift.daily_psi(spark.readStream.schema(events.schema).parquet(feed), "value", edges, shares)
+    out = new_folder(spark, "psi")
     run = (
-        days.writeStream.format("memory").queryName(name).outputMode("complete")
-        .option("checkpointLocation", new_folder(spark, "psi-checkpoint")).trigger(availableNow=True).start()
+        days.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", new_folder(spark, "psi-checkpoint")).trigger(availableNow=True).start(out)
     )
     run.awaitTermination()
-    return rounded(spark.table(name), psi=8)
+    return rounded(spark.read.schema(days.schema).parquet(out), psi=8)
 
 
 @query("r01_stream_scores")
@@ -549,3 +540,42 @@ def stream_scores(spark, sf):
     return spark.read.schema(schema).json(out).groupBy("features.PRODUCTLINE").agg(
         F.count(F.lit(1)).alias("n"), F.avg("primary_prediction").alias("mean_primary"), F.avg("prediction_delta").alias("mean_delta")
     )
+
+
+@query(
+    "r01_stream_rejects",
+    with_raw(
+        """, bad AS (SELECT DEALSIZE, list_concat(CASE WHEN QUANTITY_TEXT = 'n/a' THEN ['QUANTITYORDERED'] ELSE [] END,
+            CASE WHEN MSRP IS NULL THEN ['MSRP'] ELSE [] END, CASE WHEN PRODUCTLINE IS NULL THEN ['PRODUCTLINE'] ELSE [] END) AS reasons FROM raw)
+        SELECT DEALSIZE, array_to_string(reasons, ' ') AS reasons, count(*) AS n FROM bad WHERE len(reasons) > 0 GROUP BY ALL"""
+    ),
+)
+def stream_rejects(spark, sf):
+    """Arriving raw records that can't be scored, by deal size and reason."""
+    schema = FeatureSchema(("QUANTITYORDERED", "MSRP"), ("PRODUCTLINE", "DEALSIZE"), "SALES")
+    raw = raw_sales(spark, sf, ["QUANTITY_TEXT", "MSRP", "PRODUCTLINE", "DEALSIZE"]).withColumnRenamed("QUANTITY_TEXT", "QUANTITYORDERED")
+    feed, out = new_folder(spark, "feed"), new_folder(spark, "rejects")
+    raw.write.parquet(feed)
+    records = spark.readStream.schema(raw.schema).parquet(feed)
+    stream_scoring.write_rejects(records, schema, out, new_folder(spark, "rejects-checkpoint"), True).awaitTermination()
+    found = spark.read.schema("DEALSIZE string, reasons array<string>").json(out)
+    return found.groupBy("DEALSIZE", F.array_join("reasons", " ").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "r01_stream_intervals",
+    with_sales("SELECT PRODUCTLINE, count(*) AS n, count(*) AS with_interval, 'conformal_intervals' AS interval_method FROM sales GROUP BY 1"),
+)
+def stream_intervals(spark, sf):
+    """Arriving records with prediction and interval, counted by product line."""
+    feed, out = new_folder(spark, "feed"), new_folder(spark, "predicted")
+    sales_view(spark, sf, list(SALES_SCHEMA.features)).write.json(feed)
+    records = spark.readStream.schema(SALES_SCHEMA.struct(with_target=False)).json(feed)
+    model = trained(spark, sf, "linear").pipeline
+    q_hat = evaluation.fit_conformal(model.transform(split_sales(spark, sf).where("split = 'test'")), "SALES").first()["q_hat"]
+    stream_scoring.write_predictions(records, model, SALES_SCHEMA, out, new_folder(spark, "predicted-checkpoint"), q_hat, available_now=True).awaitTermination()
+    found = spark.read.schema("features struct<PRODUCTLINE:string>, prediction double, p10 double, p90 double, interval_method string").json(out)
+    inside = F.count_if((F.col("p10") <= F.col("prediction")) & (F.col("prediction") <= F.col("p90")))
+    return found.groupBy("features.PRODUCTLINE", "interval_method").agg(F.count(F.lit(1)).alias("n"), inside.alias("with_interval")).select(
+        "PRODUCTLINE", "n", "with_interval", "interval_method"
+    )

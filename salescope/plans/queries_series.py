@@ -137,13 +137,13 @@ NAIVE_SQL = SERIES_SQL + f""", ranked AS (SELECT *, row_number() OVER ({SEGW} OR
     with_sales(
         NAIVE_SQL
         + """ SELECT PRODUCTLINE, COUNTRY, round(rmse, 2) AS rmse, round(mae, 4) AS mae,
-          CASE WHEN mape < 1e6 THEN round(mape, 4) ELSE -1 END AS mape FROM errs"""
+          CAST(format('{:.6e}', mape) AS DOUBLE) AS mape FROM errs"""
     ),
 )
 def naive_holdout(spark, sf):
-    """A month without sales makes the percentage meaningless (huge); shown as -1."""
+    """A month without sales makes the percentage huge, so it is rounded to seven digits, not to places."""
     out = ts.naive_holdout(_series(spark, sf), SEG, 6)
-    mape = F.when(F.col("mape") < 1e6, F.round("mape", 4)).otherwise(-1.0)
+    mape = F.format_string("%.6e", "mape").cast("double")
     return rounded(out.withColumn("mape", mape), rmse=2, mae=4)
 
 

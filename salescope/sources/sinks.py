@@ -41,11 +41,12 @@ def register_table(df: DataFrame, name: str, managed: bool = False) -> DataFrame
 
 
 def write_summary_tables(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Each named table as CSV (with header) and Parquet."""
+    """Each named table as Parquet and, from that, as CSV (with header)."""
     written = []
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
         df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        stored = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")
+        stored.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}.csv")
         written += [f"{folder}/{name}.csv", f"{folder}/{name}.parquet"]
     return written
 

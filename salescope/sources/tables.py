@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Output column -> (expression, tables it needs beyond the fact table)
 _SALES = {
@@ -33,8 +34,8 @@ _SALES = {
 
 SALES_COLUMNS = tuple(_SALES)
 
-# Declared schemas: reading them from the files would cost a job per table.
-_SCHEMAS = {
+# The columns the engine reads, with their types.
+SCHEMAS = {
     "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
         l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
         l_shipdate timestamp_ntz""",
@@ -48,9 +49,31 @@ _SCHEMAS = {
 }
 
 
+_WIDER = {("int", "bigint"), ("smallint", "bigint"), ("smallint", "int"), ("float", "double"), ("timestamp", "timestamp_ntz"), ("date", "timestamp_ntz")}
+
+
+class SchemaError(ValueError):
+    """A file lacks a column, or holds it with another type."""
+
+
+def file_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with the schema of its files."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reader = spark.read.schema(_SCHEMAS[name]) if name in _SCHEMAS else spark.read
-    return reader.parquet(f"{sf_dir}/{name}.parquet")
+    """A table whose files were found to hold all declared columns, with their types or narrower ones."""
+    df = file_table(spark, sf_dir, name)
+    if name not in SCHEMAS:
+        return df
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    declared = T.StructType.fromDDL(SCHEMAS[name])
+    wanted = {f.name: f.dataType.simpleString() for f in declared.fields}
+    absent = sorted(c for c in wanted if c not in found)
+    odd = [f"{c}: {found[c]} for {t}" for c, t in wanted.items() if c in found and found[c] != t and (found[c], t) not in _WIDER]
+    if absent or odd:
+        raise SchemaError(f"{name}: absent columns {absent}, other types {odd}")
+    return df.select(*[F.col(c) if found[c] == t else F.col(c).cast(t).alias(c) for c, t in wanted.items()])
 
 
 def sales_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.bins import bin_closed_left
+from salescope.functions.scalar import finite
 from salescope.operators.drift import ADDITIVE_EPSILON
 
 
@@ -27,7 +28,7 @@ def daily_psi(
     late and dropped by Spark.
     """
     bins = len(reference_shares)
-    tagged = events.where(F.col(column).isNotNull()).select(
+    tagged = events.where(finite(F.col(column)).isNotNull()).select(
         F.col(time).cast("timestamp").alias("at"), bin_closed_left(column, inner_edges).alias("bin")
     )
     counted = (

@@ -1,11 +1,16 @@
-"""Scoring of arriving records, with the shadow comparison logged."""
+"""Scoring of arriving records: predictions with intervals, rejected records, and the shadow comparison.
+
+Each is a query of its own over the same source, so that a failing shadow model leaves predictions alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from salescope.functions.scalar import to_number
 from salescope.operators import scoring
 from salescope.operators.contracts import FeatureSchema, gate
 
@@ -16,6 +21,40 @@ def score_stream(records: DataFrame, pipeline: PipelineModel, schema: FeatureSch
     return pipeline.transform(valid)
 
 
+def _append(df: DataFrame, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = df.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
+def write_predictions(
+    records: DataFrame,
+    primary: PipelineModel,
+    schema: FeatureSchema,
+    path: str,
+    checkpoint: str,
+    q_hat: float | None = None,
+    residual: tuple[float, float] | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append features, prediction, ``p10, p90`` and ``interval_method`` of every record that meets the contract."""
+    scored = scoring.interval_cascade(score_stream(records, primary, schema), q_hat, residual)
+    features = F.struct(*schema.features).alias("features")
+    return _append(scored.select(features, "prediction", "p10", "p90", "interval_method"), path, checkpoint, available_now)
+
+
+def rejects(records: DataFrame, schema: FeatureSchema) -> DataFrame:
+    """Records that don't meet the contract, as they came, with the columns at fault in ``reasons``."""
+    broken = gate(records, schema, require_target=False, allow_extra=True, context="stream").rejects
+    checks = [F.when(to_number(F.col(c)).isNull(), F.lit(c)) for c in schema.numeric]
+    checks += [F.when(F.col(c).isNull(), F.lit(c)) for c in schema.categorical]
+    return broken.withColumn("reasons", F.array_compact(F.array(*checks)))
+
+
+def write_rejects(records: DataFrame, schema: FeatureSchema, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Append every rejected record with its reasons, so that none is lost."""
+    return _append(rejects(records, schema), path, checkpoint, available_now)
+
+
 def write_scored(
     records: DataFrame,
     primary: PipelineModel,
@@ -32,7 +71,4 @@ def write_scored(
     """
     valid = gate(records, schema, require_target=False, allow_extra=True, context="stream").valid
     log = scoring.shadow_log(scoring.score_pair(valid, primary, shadow, names), schema)
-    writer = log.writeStream.format("json").outputMode("append").option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+    return _append(log, path, checkpoint, available_now)

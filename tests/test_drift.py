@@ -2,7 +2,9 @@
 
 import math
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from salescope.operators import drift
@@ -15,26 +17,35 @@ def frame(spark, **columns):
     return spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
 
 
+def query(sql, a, b):
+    """The first cell of SQL over the samples ``a`` and ``b``, in DuckDB."""
+    con = duckdb.connect()
+    for name, sample in (("a", a), ("b", b)):
+        con.register(name, pa.table({"v": np.asarray(sample, dtype=float)}))
+    return con.execute(sql).fetchone()[0]
+
+
+STEPS = """WITH v AS (SELECT v FROM a UNION SELECT v FROM b), s AS (SELECT v, lead(v) OVER (ORDER BY v) - v AS width,
+    abs((SELECT count(*) FROM a WHERE a.v <= v.v) / (SELECT count(*) FROM a) - (SELECT count(*) FROM b WHERE b.v <= v.v) / (SELECT count(*) FROM b)) AS gap FROM v)"""
+
+
 def ks(a, b):
-    support = np.unique(np.concatenate([a, b]))
-    f = np.searchsorted(np.sort(a), support, side="right") / len(a)
-    g = np.searchsorted(np.sort(b), support, side="right") / len(b)
-    return np.max(np.abs(f - g))
+    return query(STEPS + " SELECT max(gap) FROM s", a, b)
 
 
 def area(a, b):
-    support = np.unique(np.concatenate([a, b]))
-    f = np.searchsorted(np.sort(a), support, side="right") / len(a)
-    g = np.searchsorted(np.sort(b), support, side="right") / len(b)
-    return np.sum(np.abs(f - g)[:-1] * np.diff(support))
+    return query(STEPS + " SELECT sum(gap * width) FROM s", a, b)
 
 
 def psi_by_quantiles(a, b, bins=10):
-    edges = np.quantile(a, np.linspace(0, 1, bins + 1))
-    edges[0], edges[-1] = -np.inf, np.inf
-    p = np.histogram(a, edges)[0] / len(a)
-    q = np.histogram(b, edges)[0] / len(b)
-    return np.sum((q - p) * np.log((q + 1e-8) / (p + 1e-8)))
+    inner = ", ".join(repr(i / bins) for i in range(1, bins))
+    return query(
+        f"""WITH e AS (SELECT quantile_cont(v, [{inner}]) AS q FROM a), k AS (SELECT v, 1 AS ref FROM a UNION ALL SELECT v, 0 FROM b),
+        c AS (SELECT len([x FOR x IN q IF x <= v]) AS bin, sum(ref) / (SELECT count(*) FROM a) + 1e-8 AS p,
+          sum(1 - ref) / (SELECT count(*) FROM b) + 1e-8 AS r FROM k, e GROUP BY 1)
+        SELECT sum((r - p) * ln(r / p)) FROM c""",
+        a, b,
+    )
 
 
 def psi_by_width(a, b, bins=10):
