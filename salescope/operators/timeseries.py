@@ -299,15 +299,15 @@ def risk_summary(rets: DataFrame, segment: Sequence[str]) -> DataFrame:
     )
 
 
-GARCH_ALPHAS = tuple(round(0.02 * i, 2) for i in range(0, 16))
+GARCH_ALPHAS = (*(round(0.02 * i, 2) for i in range(0, 16)), *(round(0.05 * i, 2) for i in range(7, 20)))
 GARCH_BETAS = tuple(round(0.05 * i, 2) for i in range(0, 20))
 
 
 def garch_volatility(rets: DataFrame, segment: Sequence[str], min_points: int = MIN_GARCH) -> DataFrame:
     """Next-period volatility of a variance-targeted GARCH(1,1), zero mean, normal.
 
-    The parameter grid is data: every segment's return list meets every grid point and
-    the likelihood is one fold over the list, so the search spreads over the executors.
+    The likelihood of a grid point is one fold over a segment's returns, and the search is a
+    fold over the grid within the segment's row, so no row is repeated for it.
     """
     segment = list(segment)
     lists = (
@@ -321,21 +321,20 @@ def garch_volatility(rets: DataFrame, segment: Sequence[str], min_points: int =
     )
     points = [(a, b) for a in GARCH_ALPHAS for b in GARCH_BETAS if a + b < 0.999]
     grid = ", ".join(f"named_struct('a', {a!r}D, 'b', {b!r}D)" for a, b in points)
-    fold = F.expr(
-        """aggregate(xs, named_struct('h', v0, 'l', 0D), (s, x) -> named_struct(
-             'h', v0 * (1D - a - b) + a * x * x + b * s.h, 'l', s.l - 0.5D * (ln(s.h) + x * x / s.h)))"""
+    best = F.expr(
+        f"""array_max(transform(array({grid}), g -> aggregate(
+             xs, named_struct('h', v0, 'l', 0D),
+             (s, x) -> named_struct('h', v0 * (1D - g.a - g.b) + g.a * x * x + g.b * s.h, 'l', s.l - 0.5D * (ln(s.h) + x * x / s.h)),
+             s -> named_struct('l', s.l, 'a', -g.a, 'b', -g.b, 'h', s.h))))"""
     )
     return (
         spread(lists, *segment)
-        .selectExpr("*", f"inline(array({grid}))")
-        .select(*segment, fold.alias("s"), "a", "b")
-        .groupBy(*segment)
-        .agg(F.max_by(F.struct("s.h", "a", "b"), F.struct(F.col("s.l"), -F.col("a"), -F.col("b"))).alias("best"))
+        .withColumn("best", best)
         .select(
             *segment,
             (F.sqrt("best.h") / 100.0).alias("garch_volatility"),
-            F.col("best.a").alias("garch_alpha"),
-            F.col("best.b").alias("garch_beta"),
+            (-F.col("best.a")).alias("garch_alpha"),
+            (-F.col("best.b")).alias("garch_beta"),
         )
     )
 

@@ -7,6 +7,7 @@ from salescope.plans import (  # noqa: F401
     queries_grouped,
     queries_models,
     queries_profile,
+    queries_properties,
     queries_series,
 )
 from salescope.plans.catalog import ENTRIES
