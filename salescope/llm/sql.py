@@ -2,6 +2,84 @@
 
 from __future__ import annotations
 
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, WORDS_LOWER AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS k FROM w, unnest(range(1, greatest(len(ws) - 1, least(len(ws) + 1, 2)))) t(i)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+ends AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, ends.b FROM reach JOIN ends ON reach.b = ends.a)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(b) AS component_id, min(b) = doc_id AS kept
+FROM reach JOIN documents d ON d.doc_id = reach.a LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+OP3 = r"""
+WITH w AS (SELECT doc_id, WORDS AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k FROM w, unnest(range(1, len(ws) - 18)) t(i)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM later, range(20) t(j)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS whole
+  FROM (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w) ANTI JOIN gone USING (doc_id, i) GROUP BY 1
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(whole, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _quartiles(by: str, depth: int) -> str:
+    keys = f"{by}, " if by else ""
+    return f"""q{depth} AS (
+  SELECT {keys}rate, any_value(size) AS size, min(bucket) FILTER (upto * 100 >= size * 25) AS p25, min(bucket) FILTER (upto * 100 >= size * 50) AS p50,
+    min(bucket) FILTER (upto * 100 >= size * 75) AS p75
+  FROM (SELECT {keys}rate, bucket, sum(n) OVER (PARTITION BY {keys}rate ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}rate) AS size
+    FROM (SELECT {keys}rate, bucket, count(*) AS n FROM rates GROUP BY ALL)) GROUP BY {keys}rate)"""
+
+
+OP4 = rf"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
+triples AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS k FROM w, unnest(range(1, len(ws) - 1)) t(i)),
+twice AS (SELECT doc_id, i FROM triples QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(3) t(j) GROUP BY 1),
+lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT line) AS different FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY 1),
+m AS (
+  SELECT doc_id, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.n - different, 0) AS n_dup_lines,
+    coalesce(repeats.n, 0) AS n_repeat_words, lines.n AS n_lines
+  FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+), r AS (SELECT *, word_chars * 1000 // n_words AS word_length, n_symbols * 10000 // n_words AS symbols, n_dup_lines * 10000 // n_lines AS dup_lines,
+    n_repeat_words * 10000 // n_words AS repeats FROM m),
+rates AS (
+  SELECT lang, source, rate, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket
+  FROM (UNPIVOT r ON word_length, symbols, dup_lines, repeats INTO NAME rate VALUE v) WHERE n_words > 0
+), {_quartiles("lang, source", 0)}, {_quartiles("lang", 1)}, {_quartiles("", 2)},
+q AS (
+  SELECT q0.lang, q0.source, q0.rate, CASE WHEN q0.size >= 200 THEN q0 WHEN q1.size >= 200 THEN {{'size': q1.size, 'p25': q1.p25, 'p50': q1.p50, 'p75': q1.p75}}
+    ELSE {{'size': q2.size, 'p25': q2.p25, 'p50': q2.p50, 'p75': q2.p75}} END AS q
+  FROM (SELECT lang, source, rate, {{'size': size, 'p25': p25, 'p50': p50, 'p75': p75}} AS q0, size FROM q0) q0
+  LEFT JOIN q1 ON q1.rate = q0.rate AND q1.lang IS NOT DISTINCT FROM q0.lang LEFT JOIN q2 ON q2.rate = q0.rate
+), ends AS (
+  SELECT *, q.p50 - greatest(8 * (q.p50 - q.p25), floor) AS low, q.p50 + greatest(8 * (q.p75 - q.p50), floor) AS high
+  FROM q JOIN (VALUES ('word_length', 1000), ('symbols', 300), ('dup_lines', 4500), ('repeats', 3500)) f(rate, floor) USING (rate)
+), bounds AS (
+  SELECT lang, source, max(low) FILTER (rate = 'word_length') AS low_word_length, max(high) FILTER (rate = 'word_length') AS high_word_length,
+    max(high) FILTER (rate = 'symbols') AS high_symbols, max(high) FILTER (rate = 'dup_lines') AS high_dup_lines, max(high) FILTER (rate = 'repeats') AS high_repeats
+  FROM ends GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(word_length >= low_word_length AND word_length <= high_word_length AND symbols <= high_symbols
+    AND dup_lines <= high_dup_lines AND repeats <= high_repeats, false) AS kept,
+  lang, source, COLUMNS('(low|high)_.*')
+FROM (SELECT r.*, b.* EXCLUDE (lang, source), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM r LEFT JOIN bounds b ON b.lang IS NOT DISTINCT FROM r.lang AND b.source IS NOT DISTINCT FROM r.source)
+"""
+
 OP7 = """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
@@ -35,4 +113,10 @@ SELECT conv_id, max(n) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op7_nearest_neighbours": OP7, "op9_chat_examples": OP9}
+SQL: dict[str, str] = {
+    "op2_near_duplicates": OP2.replace("WORDS_LOWER", "[translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN " + WORDS + "]"),
+    "op3_repeated_passages": OP3.replace("WORDS", WORDS),
+    "op4_quality_rules": OP4,
+    "op7_nearest_neighbours": OP7,
+    "op9_chat_examples": OP9,
+}
