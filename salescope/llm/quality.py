@@ -35,8 +35,8 @@ REACH = 8
 RATES = {  # name: (expression in whole numbers, floor of the distance, bounded below, bounded above)
     "word_length": ("word_chars * 1000 div n_words", 1_000, True, True),
     "symbols": ("n_symbols * 10000 div n_words", 300, False, True),
-    "dup_lines": ("n_dup_lines * 10000 div n_lines", 3_000, False, True),
-    "repeats": ("n_repeat_words * 10000 div n_words", 2_000, False, True),
+    "dup_lines": ("n_dup_lines * 10000 div n_lines", 4_500, False, True),
+    "repeats": ("n_repeat_words * 10000 div n_words", 3_500, False, True),
 }
 
 
