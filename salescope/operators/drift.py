@@ -43,10 +43,8 @@ def _sides() -> list[Column]:
 
 def _shares(counts: DataFrame) -> DataFrame:
     """Adds totals and shares per feature to bin or value counts."""
-    w = Window.partitionBy("feature")
-    return counts.select(
-        "*", F.sum("ref").over(w).alias("n_reference"), F.sum("cur").over(w).alias("n_current")
-    ).select(
+    totals = counts.groupBy("feature").agg(F.sum("ref").alias("n_reference"), F.sum("cur").alias("n_current"))
+    return counts.join(F.broadcast(totals), "feature").select(  # one row per feature
         "*",
         (F.col("ref") / F.greatest("n_reference", F.lit(1))).alias("ref_share"),
         (F.col("cur") / F.greatest("n_current", F.lit(1))).alias("cur_share"),

@@ -63,8 +63,13 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact number of distinct entries per column; one shuffle for all columns."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    """Exact number of distinct entries per column; one shuffle for all columns.
+
+    Numbers that a double holds exactly are compared as such, anything else as text.
+    """
+    exact = (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
+    kind = "double" if all(isinstance(df.schema[c].dataType, exact) for c in columns) else "string"
+    texts = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
     return (
         texts.unpivot([], list(columns), "feature", "value")
         .where(F.col("value").isNotNull())
@@ -94,29 +99,37 @@ def _type_name(types: dict[str, str]) -> Column:
     return out
 
 
-def value_shares(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
-    """``feature, value, rows, ratio, rank``: share among the non-missing entries.
-
-    Counted map-side first; the rank filter lets Spark cut each partition to its own
-    top entries before the window's shuffle.
-    """
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature, value, rows``, missing entries as a NULL value; counted map-side first."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    counts = (
-        texts.unpivot([], list(columns), "feature", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    return texts.unpivot([], list(columns), "feature", "value").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _value_stats(counts: DataFrame) -> DataFrame:
+    """One row per feature: all rows, those with a value, and different values."""
+    return counts.groupBy("feature").agg(
+        F.sum("rows").alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))), F.lit(0)).alias("n"),
+        F.count("value").alias("unique_count"),
     )
+
+
+def _ranked_shares(counts: DataFrame, top: int | None) -> DataFrame:
     order = Window.partitionBy("feature").orderBy(F.desc("rows"), "value")
-    ranked = counts.withColumn("rank", F.row_number().over(order))
+    ranked = counts.where(F.col("value").isNotNull()).withColumn("rank", F.row_number().over(order))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
-    totals = F.broadcast(  # one row per column
-        df.agg(*[F.count(c).alias(c) for c in columns]).unpivot([], list(columns), "feature", "total")
-    )
-    return ranked.join(totals, "feature").select(
-        "feature", "value", "rows", (F.col("rows") / F.col("total")).alias("ratio"), "rank"
-    )
+    totals = F.broadcast(_value_stats(counts).select("feature", "n"))
+    return ranked.join(totals, "feature").select("feature", "value", "rows", (F.col("rows") / F.col("n")).alias("ratio"), "rank")
+
+
+def value_shares(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
+    """``feature, value, rows, ratio, rank``: share among the non-missing entries.
+
+    The source is read once; the rank filter lets Spark cut each partition to its own
+    top entries before the window's shuffle.
+    """
+    return _ranked_shares(_value_counts(df, columns), top)
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str], top: int = 10) -> DataFrame:
@@ -135,29 +148,25 @@ def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def categorical_distribution(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:
-    """Count, distinct count, missing share and the top values with their shares."""
-    base = df.agg(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.count(F.lit(1)).alias("row_count"), F.count(c).alias("n")).alias(c)
-            for c in columns
-        ]
-    ).select(F.inline(F.array(*columns)))
+    """Count, distinct count, missing share and the top values with their shares, all from one count of the values."""
+    counts = _value_counts(df, columns)
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
     tops = (
-        value_shares(df, columns, top)
+        _ranked_shares(counts, top)
         .groupBy("feature")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "value", "ratio"))).alias("ranked"))
         .select("feature", F.transform("ranked", lambda r: F.struct(r["value"], r["ratio"])).alias("top_values"))
     )
-    unique = distinct_counts(df, columns)
+    n = F.coalesce("n", F.lit(0))
     return (
-        base.join(F.broadcast(unique), "feature", "left")
+        names.join(F.broadcast(_value_stats(counts)), "feature", "left")
         .join(F.broadcast(tops), "feature", "left")
         .select(
             "feature",
             F.lit("categorical").alias("type"),
-            F.col("n").alias("count"),
+            n.alias("count"),
             F.coalesce("unique_count", F.lit(0)).alias("unique"),
-            F.when(F.col("n") == 0, 1.0).otherwise(1 - F.col("n") / F.col("row_count")).alias("missing_ratio"),
+            F.when(n == 0, 1.0).otherwise(1 - n / F.col("row_count")).alias("missing_ratio"),
             "top_values",
         )
     )
