@@ -1,16 +1,16 @@
 """Near-duplicate documents: MinHash bands, sequential Bayesian pruning, exact verification.
 
-A text's set holds its distinct runs of three words (the whole sequence as one where it is shorter), in
+A text's set holds its distinct runs of a few words (the whole sequence as one where it is shorter), in
 lower case for A-Z.  Texts with equal sets are one node, the smallest of their ids.  Nodes that share
-a band of their signatures are candidates.  Signatures of candidates are compared batch by batch, and a
-pair goes as soon as the posterior probability of reaching the similarity, under a uniform prior,
+a band of their signatures are candidates.  For comparison two bits of each minimum are kept.  These
+are compared batch by batch, and a pair goes as soon as the posterior probability of reaching the similarity, under a uniform prior,
 falls below ``MISS``.  Survivors are confirmed on full sets, made from the whole texts.
 
 No bucket is expanded into its pairs.  In each of a few rounds every node is compared only with one
-centre of each bucket that still holds several components, and only its most similar centre is
-confirmed; so a bucket with a third of all nodes costs as many rows as it has nodes.  What is left
-after that, pairs of different components in one bucket, is compared in full, so that no link is lost
-but with a probability of about 1e-7 by the bands and ``MISS`` by pruning.
+centre of each bucket that still holds several components, drawn anew for each bucket and round, and
+only its most similar centre is confirmed; so a bucket with a third of all nodes costs as many rows as it has nodes.  What is left
+after that, pairs of different components in one bucket that the sizes of their sets and the shingles
+that only one of them has don't keep apart, is compared in full, so that no link is lost but with a probability of about 1e-6 by the bands and ``MISS`` by pruning.
 
 Defined results: null and empty texts have no shingles and no links.  A null id is linked with
 nothing, its component is null, and it is kept.  Rows that repeat an id are judged each by its own
@@ -19,8 +19,8 @@ text, and a link of one is a link of the id.  Other columns of the input are not
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,134 +31,182 @@ from salescope.llm.components import components
 from salescope.llm.scratch import Scratch
 from salescope.llm.words import mix, shingles, word_blocks
 
-WIDTH = 3
-THRESHOLD = 85  # percent of the union
-BANDS, ROWS = 28, 5  # a pair at the threshold shares no band with probability (1 - .85^5)^28 < 1e-7
-BATCH = 20
-MISS = 1e-9
-ROUNDS = 3
+
+@dataclass(frozen=True)
+class Setting:
+    """Words in a shingle, least similarity in percent, and bands of so many rows of the signature.
+
+    A pair at the threshold shares no band with a probability of about 1e-6 for the settings below.
+    """
+
+    width: int
+    threshold: int
+    bands: int
+    rows: int
+
+    @property
+    def hashes(self) -> int:
+        return self.bands * self.rows  # a multiple of four
+
+
+QUERY = Setting(3, 85, 43, 8)
+STAGE = Setting(5, 80, 46, 6)
+BATCH = 10  # bytes of the signature, with four minima in each
+MISS = 1e-7
+ROUNDS = 4
 CHUNK = 64  # members that are confirmed against one centre in one group
-_HASHES = BANDS * ROWS
-_FACTORS = (mix(np.arange(1, _HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_SHIFTS = mix(np.arange(1001, _HASHES + 1001, dtype=np.uint64)).astype(np.uint32)
 
 
-def shingle_set(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
+def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct shingle hashes of one text's word hashes."""
     if 0 < len(h) < width:
         return shingles(h, len(h)) ^ np.uint64(len(h))
     return np.unique(shingles(h, width))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    factors = (mix(np.arange(1, n + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    return factors, mix(np.arange(1001, n + 1001, dtype=np.uint64)).astype(np.uint32)
+
+
+def minima(s: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """Minimum of each hash function over a set that isn't empty."""
     x = (s ^ (s >> np.uint64(32))).astype(np.uint32)
-    low = np.full(_HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(x), 1024):
-        np.minimum(low, (x[at : at + 1024, None] * _FACTORS + _SHIFTS).min(axis=0), out=low)
+    low = np.full(len(factors), 0xFFFFFFFF, dtype=np.uint32)
+    room = np.empty((min(len(x), 128), len(factors)), dtype=np.uint32)
+    for at in range(0, len(x), 128):
+        part = x[at : at + 128, None]
+        work = room[: len(part)]
+        np.multiply(part, factors, out=work)
+        np.add(work, shifts, out=work)
+        np.minimum(low, work.min(axis=0), out=low)
     return low
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0)
-        for lo, hi, hashes, begin in word_blocks(batch.column(1), lower=True):
-            n, one, two, keys, low = [], [], [], [], []
-            for i in range(hi - lo):
-                s = shingle_set(hashes[begin[i] : begin[i + 1]])
-                n.append(len(s))
-                one.append(s.sum(dtype=np.uint64).astype(np.int64))
-                two.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
-                if len(s):
-                    sig = signature(s)
-                    band = band_keys(sig)
-                    keys.append(band.tobytes())
-                    low.append(sig.astype(np.uint16).tobytes())
-                else:
-                    keys.append(None)
-                    low.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.binary()), pa.array(low, pa.binary())],
-                ["doc_id", "n_shingles", "fp1", "fp2", "keys", "sig"],
-            )
-
-
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(low: np.ndarray, setting: Setting) -> np.ndarray:
     """One 64-bit key for each band, its number included."""
-    rows = sig.reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for j in range(ROWS):
+    rows = low.reshape(setting.bands, setting.rows).astype(np.uint64)
+    key = np.arange(1, setting.bands + 1, dtype=np.uint64)
+    for j in range(setting.rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, j])
     return key
 
 
+def signature(low: np.ndarray) -> np.ndarray:
+    """Two bits of each minimum, four in a byte."""
+    bits = ((low ^ (low >> 7) ^ (low >> 15)) & 3).astype(np.uint8).reshape(-1, 4)
+    return bits[:, 0] | bits[:, 1] << 2 | bits[:, 2] << 4 | bits[:, 3] << 6
+
+
+def _features(setting: Setting):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        functions = _functions(setting.hashes)
+        for batch in batches:
+            ids = batch.column(0)
+            for lo, hi, hashes, begin in word_blocks(batch.column(1), lower=True):
+                n, one, two, keys, sig = [], [], [], [], []
+                for i in range(hi - lo):
+                    s = shingle_set(hashes[begin[i] : begin[i + 1]], setting.width)
+                    n.append(len(s))
+                    one.append(s.sum(dtype=np.uint64).astype(np.int64))
+                    two.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64))
+                    low = minima(s, *functions) if len(s) else None
+                    keys.append(None if low is None else band_keys(low, setting).tobytes())
+                    sig.append(None if low is None else signature(low).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.binary()), pa.array(sig, pa.binary())],
+                    ["doc_id", "n_shingles", "fp1", "fp2", "keys", "sig"],
+                )
+
+    return run
+
+
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes = np.repeat(batch.column(0).to_numpy(), BANDS)
-        keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.int64)
+        lists = batch.column(1).to_pylist()
+        nodes = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in lists])
+        keys = np.frombuffer(b"".join(lists), dtype=np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes)], ["key", "node"])
 
 
-def least_matches(threshold: int = THRESHOLD, miss: float = MISS) -> dict[int, int]:
-    """For each number of compared hashes, the fewest matches that keep a pair.
+def least_matches(setting: Setting, miss: float | None = None) -> dict[int, int]:
+    """For each number of compared minima, the fewest matches that keep a pair.
 
-    With a uniform prior the posterior of the similarity after m matches of n is Beta(m+1, n-m+1); it
-    exceeds t with the probability that a binomial of n+1 trials at t is at most m.
+    Two bits match with probability (1 + 3 s) / 4 for similarity s.  With a uniform prior, the posterior of
+    s after m matches of n is proportional to the likelihood of m; it is summed over a fine grid.
     """
-    t, out = threshold / 100, {}
-    for n in range(BATCH, _HASHES + 1, BATCH):
-        below, m = 0.0, -1
-        while below < miss:
+    miss = MISS if miss is None else miss
+    s = (np.arange(20_000) + 0.5) / 20_000
+    match, differ = np.log((1 + 3 * s) / 4), np.log(3 * (1 - s) / 4)
+    high, out = s >= setting.threshold / 100, {}
+    for n in [*range(4 * BATCH, setting.hashes, 4 * BATCH), setting.hashes]:
+        m = 0
+        while True:
+            x = m * match + (n - m) * differ
+            x = np.exp(x - x.max())
+            if x[high].sum() >= miss * x.sum():
+                break
             m += 1
-            below += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
         out[n] = m
     return out
 
 
-def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    need = least_matches()
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint16).reshape(-1, _HASHES) for i in (2, 3))
-        alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
-        for n, m in need.items():
-            span = slice(n - BATCH, n)
-            matches[alive] += (left[alive, span] == right[alive, span]).sum(axis=1)
-            alive = alive[matches[alive] >= m]
-        rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(matches)], ["a", "b", "matches"])
-        yield rows.take(pa.array(alive))
-
-
-def likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity may still reach the threshold, with their matching hashes."""
-    of = lambda end: signatures.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"))
-    joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sig_a", "sig_b")
-    return joined.mapInArrow(_prune, "a long, b long, matches long")
-
-
-def _confirm(table: pa.Table) -> pa.Table:
-    centre = table.column("a")[0].as_py()
-    sets: dict[int, list[np.ndarray]] = {}
-    table = table.combine_chunks()
-    ids = table.column("id").to_pylist()
-    for text_chunk in table.column("text").chunks:
-        for lo, hi, hashes, begin in word_blocks(text_chunk, lower=True):
-            for i in range(lo, hi):
-                sets.setdefault(ids[i], []).append(shingle_set(hashes[begin[i - lo] : begin[i - lo + 1]]))
-    linked = []
-    for node, own in sets.items():
-        if node != centre:
-            for x in own:
-                for y in sets.get(centre, []):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both and 100 * both >= THRESHOLD * (len(x) + len(y) - both):
-                        linked.append(node)
-    linked = sorted(set(linked))
-    return pa.table({"a": pa.array([centre] * len(linked), pa.int64()), "b": pa.array(linked, pa.int64())})
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _prune(setting: Setting):
+    need = least_matches(setting)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+            alive, matches, at = np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64), 0
+            for n, m in need.items():
+                x = left[alive, at : n // 4] ^ right[alive, at : n // 4]
+                differ = np.bitwise_count((x | x >> 1) & 0x55).sum(axis=1, dtype=np.int64)
+                matches[alive] += 4 * x.shape[1] - differ
+                alive, at = alive[matches[alive] >= m], n // 4
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(matches)], ["a", "b", "matches"])
+            yield rows.take(pa.array(alive))
+
+    return run
+
+
+def likely(pairs: DataFrame, signatures: DataFrame, setting: Setting) -> DataFrame:
+    """The pairs (a, b) whose similarity may still reach the threshold, with their matching minima.
+
+    Sets whose sizes alone keep them apart go first.
+    """
+    of = lambda end: signatures.select(F.col("node").alias(end), F.col("sig").alias(f"sig_{end}"), F.col("n").alias(f"n_{end}"))
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * setting.threshold
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").filter(fits).select("a", "b", "sig_a", "sig_b")
+    return joined.mapInArrow(_prune(setting), "a long, b long, matches long")
+
+
+def _confirm(setting: Setting):
+    def run(table: pa.Table) -> pa.Table:
+        centre = table.column("a")[0].as_py()
+        sets: dict[int, list[np.ndarray]] = {}
+        table = table.combine_chunks()
+        ids, at = table.column("id").to_pylist(), 0
+        for texts in table.column("text").chunks:
+            for lo, hi, hashes, begin in word_blocks(texts, lower=True):
+                for i in range(lo, hi):
+                    sets.setdefault(ids[at + i], []).append(shingle_set(hashes[begin[i - lo] : begin[i - lo + 1]], setting.width))
+            at += len(texts)
+        linked = set()
+        for node, own in sets.items():
+            if node != centre:
+                for x in own:
+                    for y in sets.get(centre, []):
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        if both and 100 * both >= setting.threshold * (len(x) + len(y) - both):
+                            linked.add(node)
+        return pa.table({"a": pa.array([centre] * len(linked), pa.int64()), "b": pa.array(sorted(linked), pa.int64())})
+
+    return run
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold.
 
     A group holds one centre's text and those of at most about ``CHUNK`` partners; a centre with more
@@ -169,13 +217,39 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     members = dealt.select("a", "chunk", F.col("b").alias("id"))
     centres = dealt.select("a", "chunk").distinct().select("a", "chunk", F.col("a").alias("id"))
     rows = members.union(centres).join(texts.withColumnRenamed("node", "id"), "id").select("a", "chunk", "id", "text")
-    return rows.groupBy("a", "chunk").applyInArrow(_confirm, "a long, b long")
+    return rows.groupBy("a", "chunk").applyInArrow(_confirm(setting), "a long, b long")
+
+
+def _shingle_rows(setting: Setting):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            for lo, hi, hashes, begin in word_blocks(batch.column(1), lower=True, size=1 << 20):
+                sets = [shingle_set(hashes[begin[i] : begin[i + 1]], setting.width) for i in range(hi - lo)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(nodes[lo:hi], [len(x) for x in sets])), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"]
+                )
+
+    return run
+
+
+def own_shingles(nodes: DataFrame, signatures: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
+    """For each of ``nodes`` its set's size n, and how many shingles it shares with no other of them, ``own``.
+
+    A pair's common shingles can't be more than what the two have beside their own, which shuts out most
+    pairs of a crowd of copies that were each edited in several places.  n is null for an id with several sets.
+    """
+    rows = texts.join(nodes, "node").select("node", "text").mapInArrow(_shingle_rows(setting), "node long, shingle long")
+    single = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    own = single.groupBy("node").agg(F.count("*").alias("own"))
+    sizes = signatures.groupBy("node").agg(F.when(F.count("*") == 1, F.max("n")).alias("n"))
+    return nodes.join(sizes, "node").join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
 
 
-def duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def duplicates(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable), kept."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = scratch.keep(texts.mapInArrow(_features, "doc_id long, n_shingles long, fp1 long, fp2 long, keys binary, sig binary"))
+    feats = scratch.keep(texts.mapInArrow(_features(setting), "doc_id long, n_shingles long, fp1 long, fp2 long, keys binary, sig binary"))
     same = ["fp1", "fp2", "n_shingles"]
     full = feats.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = scratch.keep(full.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").alias("node"), "keys", "sig")).alias("r")).select(*same, "r.*"))
@@ -184,27 +258,30 @@ def duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
     buckets = scratch.keep(bands.join(shared, "key"))
     nodes = scratch.keep(buckets.select("node").distinct())
-    signatures = scratch.keep(reps.join(nodes, "node").select("node", "sig"))
+    signatures = scratch.keep(reps.join(nodes, "node").select("node", "sig", F.col("n_shingles").alias("n")))
     texts = scratch.keep(texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("doc_id").alias("node"), "text"))
 
     labels = scratch.keep(nodes.select("node", F.col("node").alias("comp")))
     for turn in range(ROUNDS + 1):
         members = buckets.join(labels, "node")
-        open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("order"), F.col("node").alias("centre"), F.col("comp").alias("of"))).alias("c")).filter("lo < hi")
+        open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.xxhash64("node", "key", F.lit(turn)) if turn else F.col("node")).alias("order"), F.col("node").alias("centre"), F.col("comp").alias("of"))).alias("c")).filter("lo < hi")
         if turn < ROUNDS:
             pairs = members.join(open_keys.select("key", "c.centre", "c.of"), "key").filter("comp <> of").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
             pairs = scratch.keep(pairs)
             if pairs.isEmpty():  # every bucket lies in one component
                 break
-            best = likely(pairs, signatures).groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
+            best = likely(pairs, signatures, setting).groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
         else:  # all pairs of different components in a bucket
             rest = scratch.keep(members.join(open_keys.select("key"), "key"))
+            rest = scratch.keep(rest.join(own_shingles(rest.select("node").distinct(), signatures, texts, setting), "node"))
             groups = rest.select("key", "comp").distinct()
             two = groups.withColumnRenamed("comp", "comp_a").join(groups.withColumnRenamed("comp", "comp_b"), "key").filter("comp_a < comp_b")
-            of = lambda end: rest.select("key", F.col("comp").alias(f"comp_{end}"), F.col("node").alias(end))
-            pairs = two.join(of("a"), ["key", "comp_a"]).join(of("b"), ["key", "comp_b"]).select("a", "b").distinct()
-            best = likely(pairs, signatures).select("a", "b")
-        links = scratch.keep(confirmed(scratch.keep(best), texts))
+            of = lambda end: rest.select("key", *[F.col(c).alias(f"{c}_{end}") for c in ("comp", "n", "own")], F.col("node").alias(end))
+            shared = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))  # at most
+            fits = (100 + setting.threshold) * shared >= setting.threshold * (F.col("n_a") + F.col("n_b"))
+            pairs = two.join(of("a"), ["key", "comp_a"]).join(of("b"), ["key", "comp_b"]).filter(F.coalesce(fits, F.lit(True))).select("a", "b").distinct()
+            best = likely(pairs, signatures, setting).select("a", "b")
+        links = scratch.keep(confirmed(scratch.keep(best), texts, setting))
         if links.isEmpty():
             continue
         comp = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
@@ -219,12 +296,12 @@ def duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def one_of_each(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) -> DataFrame:
     """The rows of ``docs``, unchanged, that no earlier document stands for.
 
     Of rows that repeat both id and text one stays; rows without an id stay.
     """
-    kept = duplicates(docs, scratch).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = duplicates(docs, scratch, setting).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
     rows = docs.join(kept, F.col("doc_id") == F.col("__kept")).drop("__kept")
     before = F.lag(F.struct("text")).over(Window.partitionBy("doc_id").orderBy("text"))
     rows = rows.withColumn("__before", before).filter(F.col("__before").isNull() | ~F.col("__before.text").eqNullSafe(F.col("text")))
