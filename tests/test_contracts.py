@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from salescope.operators import cleaning, contracts
 from salescope.operators.contracts import ContractError, FeatureSchema
-from salescope.sources import readers, sinks
+from salescope.sources import readers, sinks, tables
 
 SCHEMA = FeatureSchema(("x1", "x2"), ("cat",), "target")
 
@@ -146,3 +146,22 @@ def test_report_sink_has_no_infinities(spark, tmp_path):
     sinks.write_report(df, path, "p")
     back = spark.read.json(path)
     assert back.where("v IS NOT NULL").count() == 1 and back.first()["project_name"] == "p"
+
+
+def test_absent_or_mistyped_file_columns_raise(spark, small, tmp_path):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    assert tables.table(spark, small, "lineitem").count() == lines.count()
+    lines.withColumnRenamed("l_quantity", "l_amount").write.parquet(str(tmp_path / "renamed" / "lineitem.parquet"))
+    with pytest.raises(tables.SchemaError, match="l_quantity"):
+        tables.table(spark, str(tmp_path / "renamed"), "lineitem")
+    lines.withColumn("l_quantity", F.col("l_quantity").cast("string")).write.parquet(str(tmp_path / "typed" / "lineitem.parquet"))
+    with pytest.raises(tables.SchemaError, match="l_quantity"):
+        tables.table(spark, str(tmp_path / "typed"), "lineitem")
+    lines.withColumn("l_linenumber", F.col("l_linenumber").cast("short")).write.parquet(str(tmp_path / "narrow" / "lineitem.parquet"))
+    assert tables.table(spark, str(tmp_path / "narrow"), "lineitem").schema == tables.table(spark, small, "lineitem").schema
+
+
+def test_changed_order_needs_two_shared_columns_swapped(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "b int, z int, a int")
+    changed = lambda names: {r.order_changed for r in contracts.schema_changes(df, names).collect()}
+    assert changed(["b", "a"]) == {False} and changed(["a", "b"]) == {True} and changed(["q"]) == {False}

@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from salescope.operators import drift
 from salescope.streaming.drift import daily_psi
@@ -168,3 +169,11 @@ def test_stream_final_windows(spark, tmp_path):
     run.awaitTermination()
     got = spark.table("final_days").orderBy("period").collect()
     assert len(got) >= 2 and all(r["rows"] == 10 and abs(r["psi"]) < 1e-12 for r in got)
+
+
+def test_stream_and_batch_skip_the_same_values(spark):
+    """NaN and infinities count in neither form."""
+    rows = spark.sql("SELECT timestamp'2024-01-01 01:00:00' AS ts, explode(array(1D, double('nan'), double('inf'), 3D)) AS value")
+    batch = drift.psi_per_period(rows, F.to_date("ts"), "value", [2.0], [0.5, 0.5]).first()
+    stream = daily_psi(rows, "value", [2.0], [0.5, 0.5]).first()
+    assert batch["rows"] == stream["rows"] == 2 and batch["psi"] == stream["psi"] == 0.0
