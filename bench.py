@@ -38,6 +38,11 @@ HEADLINE = [
     "m02_split_counts",
     "m19_shadow_comparison",
     "r02_daily_psi",
+    "m03_linear_residuals",
+    "u02_estimator_plugin",
+    "s04_arima_forecast",
+    "m24_daily_drift_alert",
+    "r01_stream_intervals",
 ]
 
 
