@@ -79,15 +79,16 @@ def op9_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.union(more)))
 
 
-def tokenizer_path() -> str:
+def tokenizer_files() -> tuple[str, str, str]:
+    """The tokenizer's file, its vocabulary as ranks, and its splitting pattern."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
-    return packing.pack(documents(spark, sf_dir), tokenizer_path(), Scratch(spark, "packing"))
+    return packing.pack(documents(spark, sf_dir), tokenizer_files(), Scratch(spark, "packing"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
