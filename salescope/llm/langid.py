@@ -2,7 +2,7 @@
 
 A text's letters, in lower case, form words padded by one boundary on each side; its n-grams are the
 runs of one to three characters within a padded word, without the lone boundary.  A profile is the
-list of the most frequent n-grams, ties to the smaller code points.  The distance between a text and
+list of the most frequent n-grams, ties to the shorter, then to the smaller code points.  The distance between a text and
 a language sums, over the text's profile, how far each n-gram stands out of its place in the
 language's profile; an n-gram missing there counts as the profile's length.  The nearest language
 wins, ties to the smaller name.
@@ -41,16 +41,19 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _grams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams, as three code points of 21 bits in one number, and how often each occurs."""
+    """Distinct n-grams, as up to three numbers of 21 bits in one, and how often each occurs.
+
+    A character is its code point and one, a boundary is 1, so that shorter n-grams are smaller numbers.
+    """
     found, counts = [], []
     for at in range(0, len(codes), _PIECE):
-        c = codes[at : at + _PIECE + 2].astype(np.int64)
+        c = codes[at : at + _PIECE + 2].astype(np.int64) + 1
         own = min(_PIECE, len(codes) - at)
         one = c[:own]
         two = (c[:-1] << 21 | c[1:])[:own]
         three = (c[:-2] << 42 | c[1:-1] << 21 | c[2:])[:own]
-        three = three[c[1:-1][: len(three)] != 0]
-        grams, n = np.unique(np.concatenate([one[one != 0], two, three]), return_counts=True)
+        three = three[c[1:-1][: len(three)] != 1]
+        grams, n = np.unique(np.concatenate([one[one != 1], two[two != (1 << 21 | 1)], three]), return_counts=True)
         found.append(grams)
         counts.append(n)
     if len(found) == 1:
@@ -76,10 +79,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 4 * _PIECE or (held and i == len(langs) - 1):
                 for name, parts in held.items():
                     grams, n = _grams(np.concatenate(parts))
-                    yes = (grams != 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * int(yes.sum()), pa.string()), pa.array(grams[yes]), pa.array(n[yes])], ["lang", "gram", "n"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams), pa.array(n)], ["lang", "gram", "n"])
                 held, size = {}, 0
 
 
@@ -116,7 +116,7 @@ class Scorer:
         if len(codes) < 2 or not self.names:
             return UNDETERMINED, 0.0
         grams, n = _grams(codes)
-        own = _top(grams[grams != 0], n[grams != 0], self.size)
+        own = _top(grams, n, self.size)
         at = np.searchsorted(self.known, own)
         at[self.known[np.minimum(at, len(self.known) - 1)] != own] = len(self.known)
         place = self.place[at]
