@@ -33,10 +33,10 @@ MIN_GROUP = 200
 # nearer quartile, or than a floor below which a difference says nothing about quality.
 REACH = 8
 RATES = {  # name: (expression in whole numbers, floor of the distance, bounded below, bounded above)
-    "word_length": ("word_chars * 1000 div n_words", 1_000, True, True),
-    "symbols": ("n_symbols * 10000 div n_words", 300, False, True),
-    "dup_lines": ("n_dup_lines * 10000 div n_lines", 4_500, False, True),
-    "repeats": ("n_repeat_words * 10000 div n_words", 3_500, False, True),
+    "word_length": ("word_chars * 1000 div nullif(n_words, 0)", 1_000, True, True),
+    "symbols": ("n_symbols * 10000 div nullif(n_words, 0)", 300, False, True),
+    "dup_lines": ("n_dup_lines * 10000 div nullif(n_lines, 0)", 4_500, False, True),
+    "repeats": ("n_repeat_words * 10000 div nullif(n_words, 0)", 3_500, False, True),
 }
 
 
