@@ -55,6 +55,8 @@ class Classifier:
     weights: np.ndarray  # log-probability of each feature, by domain
 
     def posterior(self, counts: np.ndarray) -> np.ndarray:
+        if not self.domains:
+            return np.empty(0)
         n = counts.sum()
         x = self.prior + (self.weights @ counts) * (min(EVIDENCE, n) / n if n else 0.0)
         x = np.exp(x - x.max())
