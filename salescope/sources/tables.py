@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -33,6 +34,9 @@ _SALES = {
 }
 
 SALES_COLUMNS = tuple(_SALES)
+_KEYS = {
+    "l_orderkey", "l_partkey", "p_partkey", "o_orderkey", "o_custkey", "c_custkey", "c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey",
+}
 
 # The columns the engine reads, with their types.
 SCHEMAS = {
@@ -61,14 +65,15 @@ def file_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose files were found to hold all declared columns, with their types or narrower ones."""
+def table(spark: SparkSession, sf_dir: str, name: str, needed: Sequence[str] | None = None) -> DataFrame:
+    """A table whose files were found to hold the declared columns (only those ``needed``, if given), with their
+    types or narrower ones."""
     df = file_table(spark, sf_dir, name)
     if name not in SCHEMAS:
         return df
     found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     declared = T.StructType.fromDDL(SCHEMAS[name])
-    wanted = {f.name: f.dataType.simpleString() for f in declared.fields}
+    wanted = {f.name: f.dataType.simpleString() for f in declared.fields if needed is None or f.name in needed}
     absent = sorted(c for c in wanted if c not in found)
     odd = [f"{c}: {found[c]} for {t}" for c, t in wanted.items() if c in found and found[c] != t and (found[c], t) not in _WIDER]
     if absent or odd:
@@ -86,19 +91,21 @@ def sales_view(spark: SparkSession, sf_dir: str, columns: Sequence[str] = SALES_
     AQE can split a hot key.
     """
     needed = {t for c in columns for t in _SALES[c][1]}
-    lines = table(spark, sf_dir, "lineitem")
+    named = {word for c in columns for word in re.findall(r"\w+", _SALES[c][0])} | _KEYS
+    read = lambda name: table(spark, sf_dir, name, named)
+    lines = read("lineitem")
     if "part" in needed:
-        part = table(spark, sf_dir, "part")
+        part = read("part")
         lines = lines.join(part, lines.l_partkey == part.p_partkey, "left")
     if "orders" in needed:
-        heads = table(spark, sf_dir, "orders")
+        heads = read("orders")
         if "customer" in needed:
-            who = table(spark, sf_dir, "customer")
+            who = read("customer")
             if "nation" in needed:
-                nation = table(spark, sf_dir, "nation")
+                nation = read("nation")
                 who = who.join(nation, who.c_nationkey == nation.n_nationkey, "left")
             if "region" in needed:
-                region = table(spark, sf_dir, "region")
+                region = read("region")
                 who = who.join(region, who.n_regionkey == region.r_regionkey, "left")
             heads = heads.join(who, heads.o_custkey == who.c_custkey, "left")
         lines = lines.join(heads, lines.l_orderkey == heads.o_orderkey, "left")
