@@ -5,10 +5,12 @@ posterior over the domains; its features are hashed words and hashed pairs of by
 that of at most ``EVIDENCE`` features, so posteriors stay soft.  Then each document gets a rate, how often it
 is to be seen: rates are bounded below by 0, start at 1, and minimise the squared distance between
 the expected tokens of each domain (sum of rate times tokens times posterior) and their targets.  The descent is a projected
-gradient method: an iteration sums the expected tokens of all documents as one distributed aggregate
-of one row per domain, and steps along each document's posterior; the step is scaled by the second moments of the
-posteriors, and shortened when the distance doesn't fall.  A rate follows from the posterior and the list of steps,
-so nothing per document is sent anywhere.
+gradient method: a step moves each rate along its document's posterior, against the gradient, and clips it to its bounds.
+Steps are implicit: the gradient is that at the step's end, so a step of any length goes downhill, also where rates lie
+on their bounds.  That gradient, one number per domain, is found by Newton's method, each of whose passes is one distributed
+aggregate of the expected tokens and second moments of all documents.  The descent ends when the targets are met or the
+norm of the projected gradient is nothing, and not before.  A rate follows from the posterior and the list of steps, so
+nothing per document is sent anywhere.
 
 Defined results: a null or empty text has the priors as posterior and no tokens, so it moves no
 total.  Rows with a null label, or with labels that disagree, teach nothing.  Without labels every rate is 1.
@@ -18,6 +20,7 @@ rows are each mixed for themselves, by equal rates.  Other columns are not looke
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +36,10 @@ BUCKETS = 4096  # of words, and as many of pairs of bytes
 SAMPLE = 20_000  # bound of the labelled documents that the classifier is fitted on
 MAX_DOMAINS = 64
 EVIDENCE = 40.0
-TURNS = 60
-TOLERANCE = 1e-6
+TURNS = 60  # bound of steps, and of passes to find one; a descent that it ends is warned of
+TOLERANCE = 1e-6  # distance to the targets, as a share of all tokens, that counts as met
+SLOPE = 1e-8  # norm of the projected gradient that counts as none
+DAMP, LEAST_DAMP = 1e-2, 1e-9  # of the first step, and of the last ones; a tenth of the one before in between
 
 
 def features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -120,48 +125,56 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, "doc_id long, n_tokens long, posterior array<double>")
 
 
-def rates(p: np.ndarray, steps: list[np.ndarray], low: float, high: float) -> np.ndarray:
-    """Rates of documents with posteriors ``p``, after the projected steps."""
-    r = np.ones(len(p))
+def rates(p: np.ndarray, steps: list[np.ndarray], low: float, high: float, keep: int | None = None) -> np.ndarray:
+    """Rates of documents with posteriors ``p``, after the projected steps; those most probably of domain ``keep`` stay at 1 at least."""
+    r, floor = np.ones(len(p)), _floor(p, low, keep)
     for s in steps:
-        r = np.clip(r - p @ s, low, high)
+        r = np.clip(r - p @ s, floor, high)
     return r
 
 
+def _floor(p: np.ndarray, low: float, keep: int | None) -> np.ndarray | float:
+    return low if keep is None else np.where(p.argmax(axis=1) == keep, max(low, 1.0), low)
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def expected(known: DataFrame, width: int, steps: list[np.ndarray], low: float, high: float) -> np.ndarray:
-    """Expected tokens of each domain."""
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = _matrix(batch.column(1), width)
-            x = (rates(p, steps, low, high) * batch.column(0).to_numpy()) @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(x)], ["d", "x"])
+@dataclass
+class View:
+    """Sums over all documents, of rates one step on from those of the steps before it."""
 
-    rows = known.select("n_tokens", "posterior").mapInArrow(total, "d long, x double").groupBy("d").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(width)
-    for r in rows:
-        out[r["d"]] = r["x"]
-    return out
+    expected: np.ndarray  # tokens of each domain
+    moments: np.ndarray  # tokens times the outer product of posteriors, where the rate lies between its bounds
+    primitive: float  # of the expected tokens, as a function of the step
+    moved: float  # tokens times the squared change of rates by a plain step along a gradient, from before the step
 
 
-def _moments(known: DataFrame, width: int) -> np.ndarray:
-    """Sum of tokens times the outer product of posteriors."""
+def look(known: DataFrame, width: int, steps: list[np.ndarray], step: np.ndarray, gradient: np.ndarray, low: float, high: float, keep: int | None = None) -> View:
+    """One pass over the documents, as an aggregate of a few numbers."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = _matrix(batch.column(1), width)
-            x = (p * batch.column(0).to_numpy()[:, None]).T @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(x.ravel())], ["d", "x"])
+            p, tokens = _matrix(batch.column(1), width), batch.column(0).to_numpy()
+            floor = _floor(p, low, keep)
+            r = rates(p, steps, low, high, keep)
+            wish = r - p @ step
+            after = np.clip(wish, floor, high)
+            free = tokens * ((wish > floor) & (wish < high))
+            sums = [
+                (after * tokens) @ p,
+                ((p * free[:, None]).T @ p).ravel(),
+                [tokens @ (r * r / 2 - (after * wish - after * after / 2)), tokens @ (r - np.clip(r - p @ gradient, floor, high)) ** 2],
+            ]
+            x = np.concatenate(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(x))), pa.array(x)], ["d", "x"])
 
     rows = known.select("n_tokens", "posterior").mapInArrow(total, "d long, x double").groupBy("d").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(width * width)
+    out = np.zeros(width + width * width + 2)
     for r in rows:
         out[r["d"]] = r["x"]
-    return out.reshape(width, width)
+    return View(out[:width], out[width:-2].reshape(width, width), float(out[-2]), float(out[-1]))
 
 
 @dataclass
@@ -171,35 +184,60 @@ class Mix:
     reached: np.ndarray
     low: float
     high: float
+    keep: int | None = None
+    gradient: float = 0.0  # norm of the projected gradient at the end
+    passes: int = 0
+
+
+def solve(
+    known: DataFrame, domains: list[str], weights: dict[str, float], budget: float | None = None, low: float = 0.0, high: float = np.inf, keep: str | None = None
+) -> Mix:
+    """Steps to rates whose expected tokens are nearest to ``weights`` of ``budget`` tokens (all there are, if not given).
+
+    Rates of documents that are most probably of domain ``keep`` stay at 1 at least.
+    """
+    width, kept = len(domains), domains.index(keep) if keep in domains else None
+    zero, passes = np.zeros(width), 0
 
+    def at(step: np.ndarray, gradient: np.ndarray) -> View:
+        nonlocal passes
+        passes += 1
+        return look(known, width, steps, step, gradient, low, high, kept)
 
-def solve(known: DataFrame, domains: list[str], weights: dict[str, float], budget: float | None = None, low: float = 0.0, high: float = np.inf) -> Mix:
-    """Steps to rates whose expected tokens are nearest to ``weights`` of ``budget`` tokens (all there are, if not given)."""
-    width = len(domains)
-    moments = _moments(known, width) if width else np.zeros((0, 0))
-    now = moments.sum(axis=1)  # posteriors add up to 1
+    steps: list[np.ndarray] = []
+    here = at(zero, zero) if width else View(zero, np.zeros((0, 0)), 0.0, 0.0)
+    total = float(here.expected.sum())  # posteriors add up to 1
     share = np.array([weights.get(d, 0.0) for d in domains])
-    total = float(now.sum())
     if not width or not total or not share.sum():
-        return Mix([], now, now, low, high)
+        return Mix([], here.expected, here.expected, low, high, kept)
     target = share / share.sum() * (total if budget is None else budget)
-    scale = np.linalg.pinv(moments / total + 1e-6 * np.eye(width))
-    steps: list[np.ndarray] = []
-    far, pace = np.linalg.norm(now - target) / total, 1.0
-    for _ in range(TURNS):
-        if far <= TOLERANCE or pace < 1e-3:
-            break
-        step = pace * (scale @ ((now - target) / total))
-        after = expected(known, width, [*steps, step], low, high)
-        apart = np.linalg.norm(after - target) / total
-        if apart < far:
-            steady = apart > 0.999 * far  # the bounds let it come no nearer
-            steps, now, far = [*steps, step], after, apart
-            if steady:
+    while True:
+        gradient = (here.expected - target) / total
+        here = at(zero, gradient)
+        slope = float(np.sqrt(here.moved / total))
+        done = np.linalg.norm(gradient) <= TOLERANCE or slope <= SLOPE
+        if not done and len(steps) == TURNS:
+            warnings.warn(f"mixing is not at its optimum: the projected gradient's norm is {slope:.1e} after {TURNS} steps")
+        if done or len(steps) == TURNS:
+            return Mix(steps, target, here.expected, low, high, kept, slope, passes)
+        # The step is 1 / damp times the gradient at its own end, the zero of ``off``; that has a convex primitive.
+        damp = max(DAMP / 10 ** len(steps), LEAST_DAMP)
+        step, off, value = zero, -gradient, 0.0
+        for _ in range(TURNS):
+            if np.linalg.norm(off) <= 0.01 * max(slope, SLOPE):
                 break
-        else:
-            pace /= 2
-    return Mix(steps, target, now, low, high)
+            newton = -np.linalg.solve(here.moments / total + damp * np.eye(width), off)
+            pace = 1.0
+            while pace > 1e-9:
+                trial = step + pace * newton
+                there = at(trial, gradient)
+                height = damp / 2 * (trial @ trial) + (trial @ target - there.primitive) / total
+                if height <= value + 1e-4 * pace * (off @ newton) + 1e-13 * (1 + abs(there.primitive) / total):
+                    break
+                pace /= 2
+            step, here, value = trial, there, height
+            off = damp * step - (here.expected - target) / total
+        steps.append(step)
 
 
 def _copies(rate: np.ndarray, draw: np.ndarray) -> np.ndarray:
@@ -215,7 +253,7 @@ def mixed(known: DataFrame, domains: list[str], mix: Mix) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = _matrix(batch.column("posterior"), len(domains)) if domains else np.zeros((batch.num_rows, 0))
-            r = rates(p, mix.steps, mix.low, mix.high)
+            r = rates(p, mix.steps, mix.low, mix.high, mix.keep)
             copies = _copies(r, batch.column("draw").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_tokens"), *[pa.array(p[:, j].copy()) for j in range(len(domains))], pa.array(np.round(r, 9)), pa.array(copies)],
@@ -241,7 +279,7 @@ def remixed(docs: DataFrame, labels: DataFrame, domain: Column, scratch: Scratch
     model = fit(docs, labelled_sample(labels, domain))
     known = scratch.keep(posteriors(docs, model))
     width = len(model.domains)
-    natural = expected(known, width, [], 0.0, 1.0) if width else np.zeros(0)
+    natural = look(known, width, [], np.zeros(width), np.zeros(width), 0.0, 1.0).expected if width else np.zeros(0)
     target = {d: float(n) * (1.0 if d == keep else shares.get(d, 1.0)) for d, n in zip(model.domains, natural)}
     found = solve(known, model.domains, target, sum(target.values()), 0.0, 1.0)
     scratch.drop(known)
@@ -251,7 +289,7 @@ def remixed(docs: DataFrame, labels: DataFrame, domain: Column, scratch: Scratch
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = np.array([model.posterior(counts) for _, counts, _ in features(batch.column(place))]).reshape(-1, width)
-            copies = _copies(rates(p, found.steps, found.low, found.high), batch.column(len(batch.columns) - 1).to_numpy())
+            copies = _copies(rates(p, found.steps, found.low, found.high, found.keep), batch.column(len(batch.columns) - 1).to_numpy())
             yield batch.select(batch.schema.names[:-1]).filter(pa.array(copies > 0))
 
     return rows.mapInArrow(thin, docs.schema)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salescope.llm import langid, lm, mixing, neardup, packing, quality, secret_scan, substrings
-from salescope.llm.queries import DOMAIN, fold, tokenizer_files
+from salescope.llm.queries import DOMAIN, WEIGHTS, fold, op6_soft_mixing, tokenizer_files
 from salescope.llm.scratch import Scratch
 
 from . import plain
@@ -245,6 +245,23 @@ def test_mixing(spark, docs, rows, none, small):
     assert thinned.columns == docs.columns and thinned.count() < len(rows)
 
 
+def _brute_rates(p, t, target, low, high, turns=3000):
+    """Plain projected gradient from 1, whose step is one over the largest eigenvalue."""
+    r, scale = np.ones(len(t)), np.linalg.eigvalsh((p * t[:, None]).T @ p / t.sum()).max()
+    for _ in range(turns):
+        r = np.clip(r - p @ ((t * r) @ p - target) / t.sum() / scale, low, high)
+    return r
+
+
+def test_mixing_meets_its_targets_on_a_larger_table(spark):
+    got = op6_soft_mixing(spark, "/root/testdata/sf0.1").toPandas()
+    p, t, rate = got[[f"p_{d}" for d in WEIGHTS]].to_numpy(), got.n_tokens.to_numpy(float), got.rate.to_numpy()
+    target = np.array(list(WEIGHTS.values())) * t.sum()
+    far = lambda r: float(np.linalg.norm((r * t) @ p - target)) / t.sum()
+    assert (rate >= 0).all() and far(rate) <= far(_brute_rates(p, t, target, 0, np.inf))
+    assert np.allclose((rate * t) @ p, target, rtol=1e-3)
+
+
 def _texts(got, rows):
     by_id = collections.defaultdict(list)
     for r in rows:
