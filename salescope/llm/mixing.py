@@ -274,14 +274,15 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, f
 def remixed(docs: DataFrame, labels: DataFrame, domain: Column, scratch: Scratch, keep: str, shares: dict[str, float]) -> DataFrame:
     """The rows of ``docs`` thinned out: ``keep`` stays whole, other domains are brought down to ``shares`` of their expected tokens.
 
-    No rate is over 1, and the target of ``keep`` is its expected tokens, so its documents stay.
+    No rate is over 1, and documents that are most probably of domain ``keep`` have rate 1, so all of them stay.  The
+    others meet the targets as nearly as that allows; a document of ``keep`` that the classifier takes for another can go.
     """
     model = fit(docs, labelled_sample(labels, domain))
     known = scratch.keep(posteriors(docs, model))
     width = len(model.domains)
     natural = look(known, width, [], np.zeros(width), np.zeros(width), 0.0, 1.0).expected if width else np.zeros(0)
     target = {d: float(n) * (1.0 if d == keep else shares.get(d, 1.0)) for d, n in zip(model.domains, natural)}
-    found = solve(known, model.domains, target, sum(target.values()), 0.0, 1.0)
+    found = solve(known, model.domains, target, sum(target.values()), 0.0, 1.0, keep)
     scratch.drop(known)
     place = docs.columns.index("text")
     rows = docs.withColumn("__draw", F.expr(DRAW))

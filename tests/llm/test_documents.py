@@ -262,6 +262,23 @@ def test_mixing_meets_its_targets_on_a_larger_table(spark):
     assert np.allclose((rate * t) @ p, target, rtol=1e-3)
 
 
+def test_thinning_keeps_good_text_whole_on_a_larger_table(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = mixing.fit(docs, mixing.labelled_sample(labels, F.expr(DOMAIN)))
+    known = Scratch(spark, "t").keep(mixing.posteriors(docs, model))
+    rows = known.toPandas()
+    p, t, good = np.array(rows.posterior.tolist()), rows.n_tokens.to_numpy(float), model.domains.index("good")
+    whole = p.argmax(axis=1) == good
+    target = t @ p * np.array([{"good": 1.0, "poor": 0.5, "toxic": 0.1}[d] for d in model.domains])
+    found = mixing.solve(known, model.domains, dict(zip(model.domains, target)), target.sum(), 0.0, 1.0, "good")
+    best = _brute_rates(p, t, target, np.where(whole, 1.0, 0.0), 1.0)
+    assert np.allclose(found.reached, (best * t) @ p, rtol=1e-3)
+    kept = {r.doc_id for r in mixing.remixed(docs, labels, F.expr(DOMAIN), Scratch(spark, "t"), "good", {"poor": 0.5, "toxic": 0.1}).select("doc_id").collect()}
+    assert set(rows.doc_id[whole]) <= kept and len(kept) < len(rows)
+    clean = {r.doc_id for r in labels.filter("quality = 1 AND toxic = 0").join(docs, "doc_id").select("doc_id").collect()}
+    assert len(clean & kept) >= 0.99 * len(clean)
+
+
 def _texts(got, rows):
     by_id = collections.defaultdict(list)
     for r in rows:
