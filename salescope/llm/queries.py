@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import chat, langid, lm, mixing, neardup, packing, quality, secret_scan, substrings, vptree
+from salescope.llm import chat, codes, langid, lm, mixing, neardup, packing, phrases, quality, secret_scan, substrings, tiles, vptree
 from salescope.llm.scratch import Scratch
 from salescope.llm.sql import SQL  # noqa: F401  the SQL beside the queries
 
@@ -91,6 +91,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_files(), Scratch(spark, "packing"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors over codebooks of two rounds."""
+    return codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "codes")).drop("label")
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every vector under cosines of 0.93 within its label."""
+    return tiles.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Scratch(spark, "tiles"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return phrases.collocations(documents(spark, sf_dir), Scratch(spark, "phrases"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_near_duplicates": op2_near_duplicates,
@@ -102,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recurrent_lm": op8_recurrent_lm,
     "op9_chat_examples": op9_chat_examples,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_near_vectors": op12_near_vectors,
+    "op13_collocations": op13_collocations,
 }

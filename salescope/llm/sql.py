@@ -113,10 +113,70 @@ SELECT conv_id, max(n) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
+_NUMBERS = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+
+def _round(k: int) -> str:
+    """Nearest entries of the books of round ``k``, and the books after it."""
+    return f"""d{k} AS (
+  SELECT vec_id, p, e, CAST(list_sum([(v[i] - c[i]) * (v[i] - c[i]) FOR i IN range(1, len(v) + 1)]) AS BIGINT) AS far FROM parts JOIN book{k} USING (p)
+), near{k} AS (SELECT vec_id, p, e, far FROM d{k} QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY far, e) = 1),
+sums{k} AS (
+  SELECT p, e, i, sum(v[i]) AS s, count(*) AS n FROM near{k} JOIN parts USING (vec_id, p), unnest(range(1, len(v) + 1)) t(i) GROUP BY ALL
+), means{k} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM sums{k} GROUP BY ALL),
+book{k + 1} AS (SELECT p, e, coalesce(means{k}.c, book{k}.c) AS c FROM book{k} LEFT JOIN means{k} USING (p, e))"""
+
+
+OP11 = f"""
+WITH k AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings WHERE {_NUMBERS}),
+parts AS (SELECT vec_id, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS v FROM k, range(16) t(p)),
+firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k ORDER BY vec_id LIMIT 64),
+book0 AS (SELECT p, e, v AS c FROM parts JOIN firsts USING (vec_id)),
+{_round(0)}, {_round(1)}, {_round(2)},
+coded AS (SELECT vec_id, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM near2 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded JOIN k USING (vec_id)
+"""
+
+OP12 = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE {_NUMBERS} AND label IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0
+), ends AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, ends.b FROM reach JOIN ends ON reach.b = ends.a),
+n AS (SELECT a, count(*) AS n FROM ends GROUP BY 1)
+SELECT reach.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(b) AS component_id, min(b) = reach.a AS kept FROM reach LEFT JOIN n USING (a) GROUP BY reach.a
+"""
+
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+f AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS p, count(*) AS f FROM w, range(1, 5) t(k), unnest(range(1, len(ws) - k + 2)) u(i) GROUP BY ALL
+), c AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.*, x.f AS l, y.f AS r, j, (2000000 * CAST(a AS HUGEINT)) // (x.f + y.f) AS score
+  FROM (SELECT c.*, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.p = array_to_string(ws[1:j], ' ') JOIN f y ON y.lang = c.lang AND y.p = array_to_string(ws[j + 1:], ' ')
+), low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS p, max(a) AS longer FROM c, unnest(range(2, k)) t(m), unnest(range(1, k - m + 2)) u(i) GROUP BY ALL
+), n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY 1)
+SELECT lang, row_number() OVER best AS rank, p AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM low JOIN n USING (lang) LEFT JOIN inside USING (lang, p) WHERE longer IS NULL OR 100 * longer < 80 * a
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) QUALIFY row_number() OVER best <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op2_near_duplicates": OP2.replace("WORDS_LOWER", "[translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN " + WORDS + "]"),
     "op3_repeated_passages": OP3.replace("WORDS", WORDS),
     "op4_quality_rules": OP4,
     "op7_nearest_neighbours": OP7,
     "op9_chat_examples": OP9,
+    "op11_vector_codes": OP11,
+    "op12_near_vectors": OP12,
+    "op13_collocations": OP13,
 }
