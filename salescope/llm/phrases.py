@@ -3,10 +3,11 @@
 Texts are turned once into blocks of one language: a dictionary of the block's words and every word's place in it,
 with a mark between pieces.  All later passes scan these blocks.
 
-Candidates are found level by level, so that no phrase that may be frequent is left out: a pair is one only
-if both words are frequent, and three or four words only if all pairs in them are.  What tells a pass which words
-or pairs are frequent is a bitmap of ``FILTER`` bits, the same size for any table: a false hit makes
-a candidate more, never one less.  Candidates whose sums over the blocks stay below the least count go.
+Candidates are found level by level, so that no phrase that may be frequent is left out.  Pairs of frequent words fall
+into 64-bit buckets; a bucket's sum is no smaller than the count of any pair in it.  Pairs of
+buckets with the least count, and runs of three and four words all of whose pairs are such, are candidates where their sums over
+the blocks reach it.  What tells a pass which words or buckets are frequent is a bitmap of ``FILTER`` bits, the same
+size for any table: a false hit makes a candidate more, never one less.
 
 The rest is dealt by hash to tries of about ``PHRASES`` phrases, each built in a task of its own as a double array: the
 child of a node by a word lies at the node's base plus the word's number, if the check there names the node.
@@ -14,8 +15,8 @@ Tries are broadcast one after the other, so a broadcast's size doesn't grow with
 pass over the blocks moves the states of all text positions together, one word further a level, and adds up the
 states reached with ``bincount``; only counts above zero leave a task.
 
-Phrases are told apart by the 64-bit hashes of their words.  That no two words of the table have the same
-hash is checked over all words; if two had, everything starts over with other hashes.
+Phrases are told apart by the 64-bit hashes of their words.  All words of a language with the same hash must agree
+in a second, independent hash; if two don't, everything starts over with other hashes.
 
 Defined results: a null or empty text has no words, a null language is ``und``.  Repeated rows count each for
 itself; ids aren't looked at.  Ties are broken by the phrase's bytes.  An empty table gives an empty result.
@@ -41,10 +42,11 @@ LEAST = 30
 LONGEST = 4
 COVER = 80  # percent of a phrase's occurrences inside a longer one that drop it
 TOP = 2_000
-BLOCK = 1 << 24  # bytes of text in a block, about
+BLOCK = 1 << 22  # bytes of text in a block, about
 FILTER = 1 << 27  # bits of a bitmap
 CHUNK = 1 << 16  # bits of it that one group sets
 PHRASES = 1 << 20  # in a trie, about
+HELD = 1 << 21  # distinct pairs that a task merges before it sends them on
 PLACES = ["h1", "h2", "h3", "h4"]
 KEY = ["lang", "k", *PLACES]
 PHRASE = "lang string, k int, h1 long, h2 long, h3 long, h4 long"
@@ -60,13 +62,15 @@ def _bytes_map(seed: int) -> tuple[np.ndarray, np.ndarray]:
     return plain, turned[plain]
 
 
-def _block(data: np.ndarray, off: np.ndarray, seed: int, hasher: Callable) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """Distinct word hashes, the words, their counts, and the text as places in these from 1, with 0 between pieces."""
-    lower, hashed = (table[data] for table in _bytes_map(seed))
+def _block(data: np.ndarray, off: np.ndarray, seed: int, hasher: Callable) -> tuple:
+    """Distinct word hashes, their second hashes and counts, the words, the text as places in these from 1 with 0 between pieces, and whether hashes clash."""
+    (lower, hashed), (_, other) = ([table[data] for table in _bytes_map(k)] for k in (seed, seed + 100))
     firsts = np.unique(off[:-1][off[:-1] < len(data)])
     hashes, begin = hasher(hashed, firsts)
+    second, _ = hash_words(other, firsts)
     distinct, first, place, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-    piece = np.cumsum((lower >= 10) & (lower <= 13), dtype=np.int64)[begin]
+    clash = bool((second[first][place] != second).any())
+    piece = np.cumsum((lower >= 10) & (lower <= 13), dtype=np.int32)[begin]
     row = np.searchsorted(off, begin, "right")
     new = np.zeros(len(begin), dtype=bool)
     new[1:] = (np.diff(piece) > 0) | (np.diff(row) > 0)
@@ -76,7 +80,7 @@ def _block(data: np.ndarray, off: np.ndarray, seed: int, hasher: Callable) -> tu
     start = begin[first]
     end = np.minimum(spaces[np.searchsorted(spaces, start)], off[row[first]])
     raw = lower.tobytes()
-    return distinct, [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist())], count, tokens
+    return distinct, second[first], count, [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist())], tokens, clash
 
 
 def _blocks(seed: int, size: int, hasher: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,26 +89,24 @@ def _blocks(seed: int, size: int, hasher: Callable, batches: Iterator[pa.RecordB
         for lang in pc.unique(langs).to_pylist():
             texts = batch.column(1).filter(pc.equal(langs, lang))
             for _, _, data, off in text_blocks(texts, size):
-                hashes, words, counts, tokens = _block(data, off, seed, hasher)
+                hashes, second, counts, words, tokens, clash = _block(data, off, seed, hasher)
                 if len(hashes):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]), pa.array([hashes.view(np.int64)]), pa.array([words]), pa.array([counts]), pa.array([tokens.tobytes()], pa.binary())],
-                        ["lang", "hashes", "words", "counts", "tokens"],
-                    )
+                    lists = [pa.array([x]) for x in (hashes.view(np.int64), second.view(np.int64), counts, words)]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), *lists, pa.array([tokens.tobytes()], pa.binary()), pa.array([clash])], ["lang", "hashes", "second", "counts", "words", "tokens", "clash"])
 
 
 def encoded(docs: DataFrame, scratch: Scratch, size: int = BLOCK, hasher: Callable = hash_words) -> tuple[DataFrame, DataFrame]:
-    """Blocks of all texts, and every word per language: lang, h, word, n."""
+    """Blocks of all texts, and every word per language by its hash: lang, h1, n."""
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     seed = 0
     while True:
-        blocks = scratch.keep(texts.mapInArrow(partial(_blocks, seed, size, hasher), "lang string, hashes array<long>, words array<string>, counts array<long>, tokens binary"))
-        listed = blocks.select("lang", F.inline(F.arrays_zip(F.col("hashes").alias("h"), F.col("words").alias("word"), F.col("counts").alias("n"))))
-        words = scratch.keep(listed.groupBy("lang", "h", "word").agg(F.sum("n").alias("n")))
-        # Word hashes don't depend on the language: what is equal in two languages counts once.
-        if words.select("h", "word").distinct().groupBy("h").agg(F.count("*").alias("words")).filter("words > 1").isEmpty():
-            return blocks, words
-        scratch.drop(blocks, words)
+        schema = "lang string, hashes array<long>, second array<long>, counts array<long>, words array<string>, tokens binary, clash boolean"
+        blocks = scratch.keep(texts.mapInArrow(partial(_blocks, seed, size, hasher), schema))
+        listed = blocks.select("lang", "clash", F.inline(F.arrays_zip(F.col("hashes").alias("h1"), F.col("second").alias("second"), F.col("counts").alias("n"))))
+        words = scratch.keep(listed.groupBy("lang", "h1").agg(F.sum("n").alias("n"), F.min("second").alias("least"), F.max("second").alias("most"), F.bool_or("clash").alias("clash")))
+        # Words of different languages never meet: a trie has a root for each.
+        if words.filter("least <> most OR clash").isEmpty():
+            return blocks, words.drop("least", "most", "clash")
         seed += 1
 
 
@@ -120,13 +122,17 @@ def _keys(lang: str, *parts: np.ndarray) -> np.ndarray:
     return key
 
 
-def _bits(places: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column(0)
         for lang in pc.unique(langs).to_pylist():
-            own = pc.equal(langs, lang)
-            bit = (_keys(lang, *[batch.column(i + 1).filter(own).to_numpy() for i in range(places)]) % np.uint64(FILTER)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit // CHUNK), pa.array(bit % CHUNK)], ["chunk", "bit"])
+            keys = _keys(lang, batch.column(1).filter(pc.equal(langs, lang)).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+
+
+def word_keys(words: DataFrame) -> DataFrame:
+    """The key of every word (lang, h1)."""
+    return words.select("lang", "h1").mapInArrow(_word_keys, "key long")
 
 
 def _set_bits(table: pa.Table) -> pa.Table:
@@ -135,9 +141,10 @@ def _set_bits(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": table.column("chunk").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
 
-def bitmap(phrases: DataFrame, places: int) -> np.ndarray:
-    """``FILTER`` bits, of which those of all phrases (lang, h1, ...) are set: 16 MB, whatever their number."""
-    bits = phrases.select("lang", *PLACES[:places]).mapInArrow(partial(_bits, places), "chunk long, bit long").distinct()
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """``FILTER`` bits, of which those of all keys are set: 16 MB, whatever their number."""
+    bit = F.col("key").bitwiseAND(F.lit(FILTER - 1))
+    bits = keys.select((bit / CHUNK).cast("long").alias("chunk"), (bit % CHUNK).alias("bit")).distinct()
     out = np.zeros((FILTER // CHUNK, CHUNK // 8), dtype=np.uint8)
     for r in bits.groupBy("chunk").applyInArrow(_set_bits, "chunk long, bits binary").collect():
         out[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
@@ -176,17 +183,40 @@ def _pair_places(lang: str, hashes: np.ndarray, tokens: np.ndarray, words: np.nd
     return np.flatnonzero(known[:-1] & known[1:])
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def _pairs(words: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets of pairs of frequent words, with the sums of a task, or of a part of it that holds ``HELD`` buckets."""
+    parts, held = [], 0
+    row = lambda keys, n: pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
     for lang, hashes, tokens in _opened(batches):
         at = _pair_places(lang, hashes, tokens, words())
         first, _, n = _counted(tokens[at].astype(np.int64) * (len(hashes) + 1) + tokens[at + 1])
-        yield _phrase_rows(lang, 2, hashes, tokens, at[first], n)
+        at = at[first]
+        parts.append((_keys(lang, hashes[tokens[at] - 1], hashes[tokens[at + 1] - 1]), n))
+        held += len(n)
+        if held > 2 * HELD:
+            parts = [_merged(parts)]
+            held = len(parts[0][0])
+            if held > HELD:
+                yield row(*parts[0])
+                parts, held = [], 0
+    if parts:
+        yield row(*_merged(parts))
 
 
 def _longer(words: Callable[[], np.ndarray], pairs: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, hashes, tokens in _opened(batches):
         at = _pair_places(lang, hashes, tokens, words())
         at = at[_in(pairs(), _keys(lang, hashes[tokens[at] - 1], hashes[tokens[at + 1] - 1]))]
+        first, _, n = _counted(tokens[at].astype(np.int64) * (len(hashes) + 1) + tokens[at + 1])
+        yield _phrase_rows(lang, 2, hashes, tokens, at[first], n)
         found = np.zeros(len(tokens) + 2, dtype=bool)
         found[at] = True
         ids = tokens[:-1].astype(np.int64) * (len(hashes) + 1) + tokens[1:]
@@ -347,13 +377,13 @@ def _summed(blocks: DataFrame, run, least: int) -> DataFrame:
 def candidates(blocks: DataFrame, words: DataFrame, scratch: Scratch, least: int) -> DataFrame:
     """Phrases of two words and more whose parts and sums allow the least count."""
     spark = blocks.sparkSession
-    common = _Sent(spark, bitmap(words.filter(F.col("n") >= least).withColumnRenamed("h", "h1"), 1))
-    two = scratch.keep(_summed(blocks, partial(_pairs, common), least).drop("n"))
-    pairs = _Sent(spark, bitmap(two, 2))
-    more = scratch.keep(_summed(blocks, partial(_longer, common, pairs), least).drop("n"))
+    common = _Sent(spark, bitmap(word_keys(words.filter(F.col("n") >= least))))
+    buckets = blocks.select("lang", "hashes", "tokens").mapInArrow(partial(_pairs, common), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    pairs = _Sent(spark, bitmap(buckets.filter(F.col("n") >= least)))
+    found = scratch.keep(_summed(blocks, partial(_longer, common, pairs), least).drop("n"))
     common.sent.unpersist()
     pairs.sent.unpersist()
-    return two.union(more)
+    return found
 
 
 def counts(blocks: DataFrame, phrases: DataFrame, scratch: Scratch, size: int = PHRASES) -> DataFrame:
@@ -416,19 +446,37 @@ def covered(found: DataFrame, percent: int) -> DataFrame:
     return found.join(most, KEY).filter(wide("longer") * 100 >= wide("n") * percent).select(*KEY)
 
 
+def _spelled(needed: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            hashes, words = (batch.column(c).slice(i, 1).flatten() for c in (1, 2))
+            hit = pa.array(_in(needed(), _keys(batch.column(0)[i].as_py(), hashes.to_numpy())))
+            langs = pa.array([batch.column(0)[i].as_py()] * pc.sum(hit).as_py() if len(hit) else [], pa.string())
+            yield pa.RecordBatch.from_arrays([langs, hashes.filter(hit), words.filter(hit)], ["lang", "h1", "word"])
+
+
+def spelled(phrases: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The phrases' keys and texts, with words from the blocks' dictionaries."""
+    parts = phrases.select(*KEY, F.posexplode(F.slice(F.array(*PLACES), 1, F.col("k"))).alias("place", "h"))
+    own = parts.select("lang", F.col("h").alias("h1")).distinct()
+    needed = _Sent(blocks.sparkSession, bitmap(word_keys(own)))
+    words = blocks.select("lang", "hashes", "words").mapInArrow(partial(_spelled, needed), "lang string, h1 long, word string").distinct()
+    whole = parts.join(words.withColumnRenamed("h1", "h"), ["lang", "h"])
+    return whole.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w")).select(*KEY, F.array_join("w.word", " ").alias("phrase"))
+
+
 def collocations(docs: DataFrame, scratch: Scratch, least: int = LEAST, top: int = TOP, percent: int = COVER, size: int = PHRASES) -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
     blocks, words = encoded(docs, scratch)
-    phrases = candidates(blocks, words, scratch, least)
     zero = [F.lit(0).cast("long").alias(p) for p in PLACES[1:]]
-    common = scratch.keep(words.filter(F.col("n") >= least))
-    singles = common.select("lang", F.lit(1).alias("k"), F.col("h").alias("h1"), *zero, "n")
+    singles = words.filter(F.col("n") >= least).select("lang", F.lit(1).alias("k"), "h1", *zero, "n")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = scratch.keep(counts(blocks, phrases, scratch, size).filter(F.col("n") >= least).union(singles))
-    scratch.drop(blocks)
-    left = scratch.keep(scored(found).join(covered(found, percent), KEY, "left_anti"))
-    spelled = left.select(*KEY, F.posexplode(F.slice(F.array(*PLACES), 1, F.col("k"))).alias("place", "h")).join(common.select("lang", "h", "word"), ["lang", "h"])
-    texts = spelled.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w")).select(*KEY, F.array_join("w.word", " ").alias("phrase"))
+    counted = counts(blocks, candidates(blocks, words, scratch, least), scratch, size).filter(F.col("n") >= least)
+    found = scratch.keep(counted.union(singles))
+    left = scored(found).join(covered(found, percent), KEY, "left_anti")
+    # Phrases beyond the last place by numbers alone needn't be spelled; ties at that place are all kept.
+    numbers = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    left = scratch.keep(left.withColumn("rank", F.rank().over(numbers)).filter(F.col("rank") <= top).drop("rank"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.join(texts, KEY).withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    ranked = left.join(spelled(left, blocks), KEY).withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -204,14 +204,14 @@ def test_small_blocks_and_words_with_equal_hashes(spark):
 
     def poor(data, firsts):
         hashes, begin = words.hash_words(data, firsts)
-        return (np.full_like(hashes, 5) if b"aa" in data.tobytes() else hashes), begin
-
-    docs = spark.createDataFrame([(i, "aa bb; cc AA bb " * (1 + i % 2), "en") for i in range(40)], "doc_id long, text string, lang string")
-    plainly, again = (phrases.encoded(docs, Scratch(spark, "t"), 60, hasher) for hasher in (words.hash_words, poor))
-    assert plainly[0].count() == again[0].count() > 12
-    count = lambda found: sorted((r.lang, r.word, r.n) for r in found.collect())
-    assert count(plainly[1]) == count(again[1]) == [("en", "aa", 120), ("en", "bb", 120), ("en", "cc", 60)]
-    assert {r.h for r in plainly[1].collect()}.isdisjoint(r.h for r in again[1].collect())
+        return (np.full_like(hashes, 5) if b"aa" in data.tobytes() and b"bb" in data.tobytes() else hashes), begin
+
+    docs = spark.createDataFrame([(i, ["aa bb; cc AA bb ", "bb aa"][i % 2], "en") for i in range(40)], "doc_id long, text string, lang string")
+    for size in (60, 1):
+        plainly, again = (phrases.encoded(docs, Scratch(spark, "t"), size, hasher) for hasher in (words.hash_words, poor))
+        assert plainly[0].count() == again[0].count() > 7
+        hashes = [{r.h1: r.n for r in found[1].collect()} for found in (plainly, again)]
+        assert all(sorted(h.values()) == [20, 60, 60] for h in hashes) and hashes[0] != hashes[1]
 
 
 def test_double_array():
