@@ -1,43 +1,33 @@
-"""Exact quantiles and order statistics over whole columns.
-
-``percentile`` keeps every distinct value of a group in one task, so a continuous
-column of a very large table does not fit. Here a bounded sketch only *brackets*
-the wanted ranks; the rows inside the bracket (a small share of the table) are
-then counted by value and the exact entry is picked. The result does not depend on
-the sketch's accuracy: a poor sketch makes a bracket wider, never wrong.
+"""Exact quantiles and order statistics over whole columns, by radix selection.
+
+A finite double has an image among the 64-bit whole numbers that keeps the order.  The
+wanted ranks are found digit by digit, 16 bits at a time: rows are counted by digit, the
+running sum tells which digit holds a rank, and the next pass counts only rows that
+begin with the digits found so far.  Four passes of partial aggregation find any rank of any
+column; a pass is the last one for ranks whose rows have one value only.  Nothing is sorted or sketched, and
+the rows that one task sees after aggregation are the 65 536 digits at most, whatever the table.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from contextlib import nullcontext
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from salescope.functions.bins import bin_closed_left
 from salescope.functions.scalar import finite
-from salescope.session import LOCAL_ROW_LIMIT, held
-
-SKETCH_ACCURACY = 10_000
-
-@dataclass(frozen=True)
-class RankRule:
-    """0-based position (possibly fractional) within a group of ``n``: for numbers on
-    the driver, and as SQL text with ``{n}`` for the size."""
+from salescope.session import held, local, materialize
 
-    at: Callable[[int], float]
-    sql: str
+DIGIT = 16
+# A rank rule is SQL text for the 0-based position, possibly fractional, in a group of ``{n}`` rows.
+RankRule = str
 
 
 def linear_rank(prob: float) -> RankRule:
     """Position of the linearly interpolated quantile."""
-    p = float(prob)
-    return RankRule(lambda n: (n - 1) * p, f"(({{n}} - 1) * {p!r}D)")
+    return f"(({{n}} - 1) * {float(prob)!r}D)"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -47,162 +37,101 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for k in keys:
         cond = cond & left[k].eqNullSafe(renamed[f"__{k}"])
     joined = left.join(renamed, cond, how)
-    return joined.drop(*[f"__{k}" for k in keys])
+    return joined if how == "left_semi" else joined.drop(*[f"__{k}" for k in keys])
+
+
+def with_image(df: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``image``: a whole number for every finite ``value``, in the order of the values; 0 for both zeros.
+
+    It is made of the exponent and the 52 bits behind it, as the number is stored, with the number's sign.
+    The logarithm only guesses the exponent; the comparison with its power of two decides.
+    """
+    size = f"abs(`{value}`)"
+    guess = df.withColumn("__exp", F.expr(f"CAST(least(1023D, greatest(-1022D, floor(log2({size})))) AS INT)"))
+    power = """CASE WHEN __exp BETWEEN 0 AND 62 THEN CAST(shiftleft(1L, __exp) AS DOUBLE)
+      WHEN __exp BETWEEN -62 AND -1 THEN 1D / CAST(shiftleft(1L, -__exp) AS DOUBLE) ELSE pow(2D, __exp) END"""
+    share = guess.withColumn("__share", F.expr(f"{size} / ({power})"))  # from 1 to 2 where the guess is right
+    image = f"""CASE WHEN {size} < 2.2250738585072014E-308D THEN CAST({size} * {2.0**537!r}D * {2.0**537!r}D AS BIGINT)
+      WHEN __share < 1D THEN (__exp + 1022L) * 4503599627370496L + CAST((2D * __share - 1D) * 4503599627370496D AS BIGINT)
+      WHEN __share >= 2D THEN (__exp + 1024L) * 4503599627370496L + CAST((__share / 2D - 1D) * 4503599627370496D AS BIGINT)
+      ELSE (__exp + 1023L) * 4503599627370496L + CAST((__share - 1D) * 4503599627370496D AS BIGINT) END"""
+    made = share.withColumn("image", F.expr(image))
+    signed = F.when(F.col(value) < 0, -F.col("image")).otherwise(F.col("image"))
+    return made.withColumn("image", signed).drop("__exp", "__share")
 
 
 def exact_ranks(
-    df: DataFrame,
-    columns: Sequence[str],
-    rules: Sequence[tuple[float, RankRule]],
-    by: Sequence[str] = (),
-    accuracy: int = SKETCH_ACCURACY,
-    hold: bool = True,
+    df: DataFrame, columns: Sequence[str], rules: Sequence[RankRule], by: Sequence[str] = (), hold: bool = True
 ) -> DataFrame:
     """One row per group and column: ``by..., feature, n, values``.
 
-    ``rules`` holds pairs (probability near which the rank lies, rank rule). A
-    fractional rank is interpolated between its two neighbours. NULL, NaN and
+    A fractional rank is interpolated between its two neighbours. NULL, NaN and
     infinite entries are left out; a column without entries has ``n = 0`` and
-    NULL values. ``hold=False`` is for an input that is cached or stored already.
+    NULL values. ``hold=False`` is for an input that is cheap to scan several times.
     """
     by = list(by)
     narrow = df.select(*by, *[finite(F.col(c)).alias(c) for c in columns])
+    with held(narrow, "ranks") if hold else nullcontext(narrow) as src:
+        return _selected(src, columns, rules, by)
 
-    eps = 1.0 / accuracy
-    probes = sorted({min(1.0, max(0.0, p + s * eps)) for p, _ in rules for s in (-2, 2)})
-
-    with held(narrow) if hold else nullcontext(narrow) as src:
-        listed = ", ".join(f"{p!r}D" for p in probes)
-        parts = [
-            F.expr(
-                f"named_struct('feature', '{c}', 'n', count(`{c}`), "
-                f"'edges', percentile_approx(`{c}`, array({listed}), {accuracy})) AS `{c}`"
-            )
-            for c in columns
-        ]
-        grouped = src.groupBy(*by).agg(*parts) if by else src.agg(*parts)
-        sketch = grouped.select(*by, F.inline(F.array(*[f"`{c}`" for c in columns])))
-        local = (sketch.limit(LOCAL_ROW_LIMIT + 1) if by else sketch).toArrow()
-        if local.num_rows <= LOCAL_ROW_LIMIT:
-            return _pick_local(src, local, columns, rules, by, sketch.schema)
-    # Too many groups to broadcast: the caller's plan runs every pass, joined by shuffle.
-    return _pick_lazy(narrow, sketch, columns, rules, by, len(probes))
-
-
-def _pick_local(src, sketch: pa.Table, columns, rules, by, schema) -> DataFrame:
-    """Three passes over ``src``; between them only counts per bracket and the picked
-    entries (a few numbers per group and column) come to the driver."""
-    spark, keys = src.sparkSession, by + ["feature"]
-    ids = pa.array(range(sketch.num_rows), pa.int32())
-    named = spark.createDataFrame(
-        sketch.drop_columns(["n"]).append_column("gid", ids),
-        T.StructType([schema[k] for k in keys] + [schema["edges"], T.StructField("gid", T.IntegerType())]),
-    ).where("edges IS NOT NULL")
-    sizes, edges = sketch["n"].to_pylist(), sketch["edges"].to_pylist()
-    n_edges = max((len(e) for e in edges if e), default=0)
-
-    long = src.unpivot(by, list(columns), "feature", "value").where("value IS NOT NULL")
-    bucket = bin_closed_left("value", [f"edges[{i}]" for i in range(n_edges)]).alias("bucket")
-    tagged = null_safe_join(long, F.broadcast(named), keys).select("gid", "value", bucket)
-
-    counts: dict[int, list] = {}
-    for g, b, rows in zip(*tagged.groupBy("gid", "bucket").agg(F.expr("count(1) AS rows")).toArrow().to_pydict().values()):
-        counts.setdefault(g, []).append((b, rows))
-    positions = [[rule.at(n) for _, rule in rules] if n else [] for n in sizes]
-    needed = []
-    for g, buckets in counts.items():
-        ranks = [math.floor(p) for p in positions[g]] + [math.ceil(p) for p in positions[g]]
-        below = 0
-        for b, rows in sorted(buckets):
-            needed += [(g, b, k - below, k) for k in sorted(set(ranks)) if below <= k < below + rows]
-            below += rows
-    names = ("gid", "bucket", "offset", "k")
-    wanted = spark.createDataFrame(
-        pa.table([pa.array([row[i] for row in needed], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names),
-        "gid int, bucket int, offset long, k long",
-    )
-
-    order = Window.partitionBy("gid", "bucket").orderBy("value")
-    inside = tagged.join(F.broadcast(wanted.select("gid", "bucket").distinct()), ["gid", "bucket"], "left_semi")
-    picked = (
-        inside.groupBy("gid", "bucket", "value")
-        .agg(F.expr("count(1) AS rows"))
-        .select("gid", "bucket", "value", "rows", F.sum("rows").over(order).alias("upto"))
-        .join(F.broadcast(wanted), ["gid", "bucket"])
-        .where("offset >= upto - rows AND offset < upto")
-        .select("gid", "k", "value")
-        .toArrow()
-        .to_pydict()
-    )
-    entry = {(g, k): v for g, k, v in zip(picked["gid"], picked["k"], picked["value"])}
-
-    def blend(g: int, pos: float) -> float:
-        low, high = entry[g, math.floor(pos)], entry[g, math.ceil(pos)]
-        return low + (high - low) * (pos - math.floor(pos))
 
-    values = [[blend(g, p) for p in at] if at else [None] * len(rules) for g, at in enumerate(positions)]
-    out = sketch.drop_columns(["edges"]).append_column("values", pa.array(values, pa.list_(pa.float64())))
-    fields = [schema[k] for k in keys] + [schema["n"], T.StructField("values", T.ArrayType(T.DoubleType()))]
-    return F.broadcast(spark.createDataFrame(out, T.StructType(fields)))
+def _counts(rows: DataFrame, keys: Sequence[str], level: int) -> DataFrame:
+    """Rows per digit of a level, with their range and the running sum within ``keys``."""
+    digit = F.shiftright("image", 64 - DIGIT * level).alias("digit")
+    counted = rows.groupBy(*keys, digit).agg(F.count("value").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    group = Window.partitionBy(*keys)
+    return counted.withColumns({"upto": F.sum("rows").over(group.orderBy("digit")), "size": F.sum("rows").over(group)})
 
 
-def _pick_lazy(src, sketch, columns, rules, by, n_edges) -> DataFrame:
-    """The same three passes as one plan, for any number of groups."""
+def _selected(src: DataFrame, columns: Sequence[str], rules: Sequence[RankRule], by: list[str]) -> DataFrame:
+    # Without groups the state of a pass is a few rows per column and stays local; that of groups is a table.
+    settle: Callable[[DataFrame], DataFrame] = (lambda t: materialize(t, "ranks")) if by else local
+    at = [f"({rule.format(n='greatest(n, 1)')})" for rule in rules]
     keys = by + ["feature"]
-    wanted = ", ".join(
-        f"named_struct('slot', {2 * i + j}, 'k', CAST({side}({rule.sql.format(n='n')}) AS BIGINT))"
-        for i, (_, rule) in enumerate(rules)
+    quoted = [f"`{k}`" for k in keys]
+    entries = with_image(src.unpivot(by, list(columns), "feature", "value"))
+    slots = ", ".join(
+        f"named_struct('slot', {2 * i + j}, 'k', CAST({side}({rank}) AS BIGINT))"
+        for i, rank in enumerate(at)
         for j, side in enumerate(("floor", "ceil"))
     )
-    filled = sketch.where("n > 0")
-    targets = filled.selectExpr(*_quoted(keys), f"inline(array({wanted}))")
-
-    long = src.unpivot(by, list(columns), "feature", "value").where("value IS NOT NULL")
-    bucket = bin_closed_left("value", [f"edges[{i}]" for i in range(n_edges)]).alias("bucket")
-    tagged = null_safe_join(long, filled.select(*keys, "edges"), keys).select(*keys, "value", bucket)
-
-    running = Window.partitionBy(*keys).orderBy("bucket")
-    counts = (
-        tagged.groupBy(*keys, "bucket")
-        .agg(F.expr("count(1) AS rows"))
-        .select(*keys, "bucket", "rows", F.sum("rows").over(running).alias("upto"))
-    )
-    needed = (
-        null_safe_join(counts, targets, keys)
-        .where("k >= upto - rows AND k < upto")
-        .selectExpr(*_quoted(keys), "bucket", "slot", "k - (upto - rows) AS offset")
-    )
-    inside = null_safe_join(tagged, needed.select(*keys, "bucket").distinct(), keys + ["bucket"], "left_semi")
-    order = Window.partitionBy(*keys, "bucket").orderBy("value")
-    by_value = (
-        inside.groupBy(*keys, "bucket", "value")
-        .agg(F.expr("count(1) AS rows"))
-        .select(*keys, "bucket", "value", "rows", F.sum("rows").over(order).alias("upto"))
-    )
-    slots = (
-        null_safe_join(by_value, needed, keys + ["bucket"])
-        .where("offset >= upto - rows AND offset < upto")
-        .groupBy(*keys)
-        .agg(*[F.expr(f"max(CASE WHEN slot = {s} THEN value END) AS s{s}") for s in range(2 * len(rules))])
+    inside = "transform(filter(slots, s -> s.k >= upto - rows AND s.k < upto), s -> named_struct('slot', s.slot, 'k', s.k - (upto - rows)))"
+
+    counts = _counts(entries, keys, 1).withColumnRenamed("size", "n").withColumn("slots", F.expr(f"array({slots})"))
+    state = ["n", "digit AS prefix", "lo", "hi"]
+    found = f"inline(CASE WHEN n = 0 THEN array(named_struct('slot', -1, 'k', 0L)) ELSE {inside} END)"
+    picks = settle(counts.selectExpr(*quoted, *state, found))
+    done = picks.where("n = 0 OR lo = hi")
+    for level in range(2, 64 // DIGIT + 1):
+        still = picks.where("lo < hi")
+        if still.isEmpty():
+            break
+        wanted = still.groupBy(*keys, "prefix").agg(F.max("n").alias("n"), F.collect_list(F.struct("slot", "k")).alias("slots"))
+        prefixed = entries.withColumn("prefix", F.shiftright("image", 64 - DIGIT * (level - 1)))
+        rows = null_safe_join(prefixed, still.select(*keys, "prefix"), [*keys, "prefix"], "left_semi")
+        counts = _counts(rows, [*keys, "prefix"], level).drop("size")
+        picks = settle(null_safe_join(counts, wanted, [*keys, "prefix"]).selectExpr(*quoted, *state, f"inline({inside})"))
+        done = done.unionByName(picks.where("lo = hi"))
+    values = ", ".join(
+        f"s{2 * i} + (s{2 * i + 1} - s{2 * i}) * ({rank} - floor({rank}))"
+        for i, rank in enumerate(at)
     )
-    blended = ", ".join(
-        f"s{2 * i} + (s{2 * i + 1} - s{2 * i}) * ({rule.sql.format(n='n')} - floor({rule.sql.format(n='n')}))"
-        for i, (_, rule) in enumerate(rules)
-    )
-    return null_safe_join(sketch.select(*keys, "n"), slots, keys, "left").selectExpr(
-        *_quoted(keys), "n", f"array({blended}) AS values"
-    )
-
-
-def _quoted(names: Sequence[str]) -> list[str]:
-    return [f"`{n}`" for n in names]
+    wide = done.groupBy(*keys).agg(F.max("n").alias("n"), *[F.expr(f"max(CASE WHEN slot = {s} THEN lo END) AS s{s}") for s in range(2 * len(rules))])
+    out = wide.selectExpr(*quoted, "n", f"array({values}) AS values")
+    if by:
+        return out
+    # A table without rows has no digit to count: its columns are added here.
+    have = {r["feature"]: (r["n"], r["values"]) for r in out.collect()}
+    listed = [(c, *have.get(c, (0, [None] * len(rules)))) for c in columns]
+    table = pa.table([pa.array(x, t) for x, t in zip(zip(*listed), (pa.string(), pa.int64(), pa.list_(pa.float64())))], ["feature", "n", "values"])
+    return F.broadcast(src.sparkSession.createDataFrame(table))
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), hold: bool = True
 ) -> DataFrame:
     """Linearly interpolated quantiles: ``by..., feature, n, values`` (one entry per prob)."""
-    return exact_ranks(df, columns, [(p, linear_rank(p)) for p in probs], by, hold=hold)
+    return exact_ranks(df, columns, [linear_rank(p) for p in probs], by, hold)
 
 
 def column_quantiles(

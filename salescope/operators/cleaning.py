@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescope.functions.quantiles import RankRule, column_quantiles, exact_ranks
+from salescope.functions.quantiles import column_quantiles, exact_ranks
 from salescope.functions.scalar import (
     finite,
     flag_iqr,
@@ -121,7 +121,7 @@ def first_and_last_period(df: DataFrame, period: str, order_key: str | None = No
 
 def halves(df: DataFrame, order_key: str) -> DataFrame:
     """First and second half by an order key, without numbering the rows."""
-    middle = exact_ranks(df, [order_key], [(0.5, RankRule(lambda n: n // 2, "floor({n} / 2)"))]).first()["values"][0]
+    middle = exact_ranks(df, [order_key], ["floor({n} / 2)"]).first()["values"][0]
     return df.withColumn("sample", F.when(F.col(order_key) < F.lit(middle), "reference").otherwise("current"))
 
 

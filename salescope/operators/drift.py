@@ -1,24 +1,26 @@
 """Drift between a reference and a current table.
 
-All features are handled in one job. Bin edges are at most a few hundred numbers per
-feature; rows never leave the executors.
+All features are handled in one job. Empirical distributions rest on one count of both tables
+by distinct value, which is dealt into ranges of values in their order; the ranges' totals give every
+range its offset, so running sums span a range only, and the number of ranges follows the number of values.
+Rows never leave the executors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.bins import bin_closed_left, bin_equal_width
-from salescope.functions.quantiles import column_quantiles
+from salescope.functions.quantiles import column_quantiles, linear_rank
 from salescope.functions.scalar import finite, to_number, utc_now_text
 from salescope.operators.profiling import is_numeric, value_range
-from salescope.session import held, localize
+from salescope.session import held, local, materialize
 
 
 def two_samples(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -59,7 +61,7 @@ CLIP_EPSILON = 1e-6
 def psi_bins(reference: DataFrame, current: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
     """Counts and shares per feature and reference-quantile bin, outer bins open."""
     with held(two_samples(reference, current, features)) as both:
-        return localize(_psi_bins(both, features, bins), None)[0]  # features x bins rows
+        return local(_psi_bins(both, features, bins))  # features x bins rows
 
 
 def _psi_bins(both: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
@@ -129,121 +131,123 @@ def psi_equal_width(reference: DataFrame, current: DataFrame, column: str, bins:
     return props.withColumn("psi_bin", term).withColumn("psi_total", F.sum("psi_bin").over(whole))
 
 
-def _bucketed(both: DataFrame, features: Sequence[str], buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Every value with its bucket among about ``buckets`` of equal size, and the rows
-    per bucket with running totals (at most ``buckets`` rows per feature).
+# Distinct values in a range, about: what one task sorts for a running sum.
+RANGE_ROWS = 100_000
 
-    Bucket borders come from a sketch; they steer balance only, never the result.
-    """
-    probes = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    sketch = both.agg(
-        *[F.expr(f"percentile_approx(`{c}`, array({probes}), {10 * buckets}) AS `{c}`") for c in features]
-    ).first()
-    usable = [c for c in features if sketch[c]]
-    if usable:
-        borders = [[-math.inf, *sorted(set(sketch[c])), math.inf] for c in usable]
-        named = [f"__bucket_{i}" for i in range(len(usable))]
-        cut = Bucketizer(splitsArray=borders, inputCols=usable, outputCols=named, handleInvalid="keep").transform(both)
-        parts = ", ".join(
-            f"named_struct('feature', '{c}', 'value', `{c}`, 'bucket', CAST({b} AS INT))" for c, b in zip(usable, named)
-        )
-        values = cut.selectExpr("is_current", f"inline(array({parts}))").where("value IS NOT NULL")
-    else:
-        values = both.sparkSession.createDataFrame([], "is_current int, feature string, value double, bucket int")
-    run = Window.partitionBy("feature").orderBy("bucket")
-    whole = Window.partitionBy("feature")
-    totals = (
-        values.groupBy("feature", "bucket")
-        .agg(*_sides(), F.min("value").alias("first_value"))
-        .select(
-            "feature",
-            "bucket",
-            "first_value",
-            F.sum("ref").over(run).alias("ref_upto"),
-            F.sum("cur").over(run).alias("cur_upto"),
-            (F.sum("ref").over(run) - F.col("ref")).alias("ref_before"),
-            (F.sum("cur").over(run) - F.col("cur")).alias("cur_before"),
-            F.sum("ref").over(whole).alias("n_reference"),
-            F.sum("cur").over(whole).alias("n_current"),
-            F.lead("first_value").over(run).alias("next_first"),
-        )
-        .where("n_reference > 0 and n_current > 0")
-    )
-    return values, localize(totals, None)[0]
 
+@dataclass(frozen=True)
+class Ranged:
+    """Both tables counted by distinct value, in ranges: ``feature, value, ref, cur, range``; and
+    per feature and range its totals, what lies before it, and the features' totals."""
 
-def _cdf_inside(values: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Both empirical CDFs at every distinct value of the given buckets.
+    values: DataFrame
+    totals: DataFrame
 
-    Rows are first counted by value, so a hot value is one row before the window; a
-    window covers one bucket, and the bucket's running totals are its offset.
-    """
-    order = Window.partitionBy("feature", "bucket").orderBy("value")
-    by_value = (
-        values.join(buckets.select("feature", "bucket"), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value")
-        .agg(*_sides())
-    )
-    return by_value.select(
+    def features(self) -> DataFrame:
+        """Sizes of the features that have values in both tables."""
+        return self.totals.groupBy("feature").agg(F.max("n_reference").alias("n_reference"), F.max("n_current").alias("n_current"))
+
+
+def _counted(both: DataFrame, features: Sequence[str]) -> DataFrame:
+    return _long(both, features).groupBy("feature", "value").agg(*_sides())
+
+
+def _totals(values: DataFrame) -> DataFrame:
+    run = Window.partitionBy("feature").orderBy("range")
+    whole = Window.partitionBy("feature")
+    sums = values.groupBy("feature", "range").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"), F.min("value").alias("first_value"))
+    return sums.select(
         "feature",
-        "bucket",
-        "value",
-        F.lead("value").over(order).alias("next_value"),
-        F.sum("ref").over(order).alias("ref_in"),
-        F.sum("cur").over(order).alias("cur_in"),
-    ).join(buckets, ["feature", "bucket"]).selectExpr(
+        "range",
+        F.sum("ref").over(run).alias("ref_upto"),
+        F.sum("cur").over(run).alias("cur_upto"),
+        (F.sum("ref").over(run) - F.col("ref")).alias("ref_before"),
+        (F.sum("cur").over(run) - F.col("cur")).alias("cur_before"),
+        F.sum("ref").over(whole).alias("n_reference"),
+        F.sum("cur").over(whole).alias("n_current"),
+        F.lead("first_value").over(run).alias("next_first"),
+    ).where("n_reference > 0 and n_current > 0")
+
+
+def _in_ranges(counted: DataFrame, range_rows: int) -> DataFrame:
+    """``counted`` with the number of its range of about ``range_rows`` values; numbers rise with feature and value."""
+    ranges = max(1, math.ceil(counted.count() / range_rows))
+    if ranges == 1:
+        return counted.withColumn("range", F.lit(0))
+    return counted.repartitionByRange(ranges, "feature", "value").withColumn("range", F.spark_partition_id())
+
+
+@contextmanager
+def ranged(reference: DataFrame, current: DataFrame, features: Sequence[str], range_rows: int = RANGE_ROWS):
+    """The two tables counted and ranged, for the measures made inside the block: one scan of each table."""
+    with held(_counted(two_samples(reference, current, features), features), "counted") as counted:
+        with held(_in_ranges(counted, range_rows), "ranged") as values, held(_totals(values), "totals") as totals:
+            yield Ranged(values, totals)
+
+
+def _cdf_inside(values: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Both empirical CDFs at every value of the given ranges, whose offsets ``ranges`` holds."""
+    order = Window.partitionBy("feature", "range").orderBy("value")
+    return values.join(ranges, ["feature", "range"]).select(
         "feature",
         "value",
-        "coalesce(next_value, next_first) AS next_value",
-        "(ref_before + ref_in) / n_reference AS ref_cdf",
-        "(cur_before + cur_in) / n_current AS cur_cdf",
+        F.coalesce(F.lead("value").over(order), "next_first").alias("next_value"),
+        ((F.col("ref_before") + F.sum("ref").over(order)) / F.col("n_reference")).alias("ref_cdf"),
+        ((F.col("cur_before") + F.sum("cur").over(order)) / F.col("n_current")).alias("cur_cdf"),
     )
 
 
-def empirical_cdf(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
+def empirical_cdf(reference: DataFrame, current: DataFrame, features: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """``feature, value, next_value, ref_cdf, cur_cdf`` at every distinct value."""
-    return _cdf_inside(*_bucketed(two_samples(reference, current, features), features, buckets))
+    counted = materialize(_counted(two_samples(reference, current, features), features), "counted")
+    values = materialize(_in_ranges(counted, range_rows), "ranged")
+    return _cdf_inside(values, _totals(values))
+
 
+def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``feature, statistic, n_reference, n_current``: the exact two-sample statistic."""
+    with ranged(reference, current, features, range_rows) as both:
+        return local(_ks(both))  # one row per feature
 
-def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
-    """``feature, statistic, n_reference, n_current``: the exact two-sample statistic.
 
-    ``buckets`` bounds the rows one window handles: raise it with the table.
+def _ks(both: Ranged) -> DataFrame:
+    """The CDF gap at the ends of ranges is a lower bound; inside a range the gap cannot exceed
+    what its rows allow. Only ranges that can beat the lower bound are looked into.
     """
-    with held(two_samples(reference, current, features)) as both:
-        return _ks(both, features, buckets)
+    at_end = F.abs(F.col("ref_upto") / F.col("n_reference") - F.col("cur_upto") / F.col("n_current"))
+    most = F.greatest(
+        F.col("ref_upto") / F.col("n_reference") - F.col("cur_before") / F.col("n_current"),
+        F.col("cur_upto") / F.col("n_current") - F.col("ref_before") / F.col("n_reference"),
+    )
+    bounds = both.totals.withColumn("lower", F.max(at_end).over(Window.partitionBy("feature")))
+    inside = _cdf_inside(both.values, bounds.where(most > F.col("lower")).drop("lower"))
+    gaps = inside.select("feature", F.abs(F.col("ref_cdf") - F.col("cur_cdf")).alias("gap"))
+    ends = bounds.select("feature", "lower")
+    largest = gaps.union(ends).groupBy("feature").agg(F.max("gap").alias("statistic"))
+    return largest.join(both.features(), "feature")
+
+
+def _reference_edges(both: Ranged, probs: Sequence[float]) -> DataFrame:
+    """``feature, edges``: interpolated quantiles of the reference, from the counts."""
+    rules = [linear_rank(p).format(n="n_reference") for p in probs]
+    slots = ", ".join(
+        f"named_struct('slot', {2 * i + j}, 'k', CAST({side}({rule}) AS BIGINT))" for i, rule in enumerate(rules) for j, side in enumerate(("floor", "ceil"))
+    )
+    asked = both.totals.withColumn("slots", F.expr(f"filter(array({slots}), s -> s.k >= ref_before AND s.k < ref_upto)")).where("size(slots) > 0")
+    order = Window.partitionBy("feature", "range").orderBy("value")
+    upto = F.col("ref_before") + F.sum("ref").over(order)
+    rows = both.values.join(asked.select("feature", "range", "ref_before", "n_reference", "slots"), ["feature", "range"]).withColumn("upto", upto)
+    found = rows.selectExpr("feature", "n_reference", "value", "inline(filter(slots, s -> s.k >= upto - ref AND s.k < upto))")
+    wide = found.groupBy("feature", "n_reference").agg(*[F.max(F.when(F.col("slot") == i, F.col("value"))).alias(f"s{i}") for i in range(2 * len(rules))])
+    blended = ", ".join(f"s{2 * i} + (s{2 * i + 1} - s{2 * i}) * ({rule} - floor({rule}))" for i, rule in enumerate(rules))
+    return wide.selectExpr("feature", f"array({blended}) AS edges")
 
 
-def _ks(both: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
-    """The CDF gap at bucket ends is a lower bound; inside a bucket the gap cannot exceed
-    what its rows allow. Only buckets that can beat the lower bound are looked into.
-    """
-    values, totals = _bucketed(both, features, buckets)
-    lower, sizes, possible = {}, {}, []
-    per_bucket = totals.collect()  # at most ``buckets`` rows per feature
-    for t in per_bucket:
-        n, m = sizes[t["feature"]] = t["n_reference"], t["n_current"]
-        gap = abs(t["ref_upto"] / n - t["cur_upto"] / m)
-        lower[t["feature"]] = max(gap, lower.get(t["feature"], 0.0))
-    for t in per_bucket:
-        n, m = sizes[t["feature"]]
-        most = max(t["ref_upto"] / n - t["cur_before"] / m, t["cur_upto"] / m - t["ref_before"] / n)
-        if most > lower[t["feature"]]:
-            possible.append((t["feature"], t["bucket"]))
-    spark = both.sparkSession
-    if possible:
-        names = pa.table({"feature": [f for f, _ in possible], "bucket": pa.array([b for _, b in possible], pa.int32())})
-        chosen = F.broadcast(totals.join(F.broadcast(spark.createDataFrame(names)), ["feature", "bucket"], "left_semi"))
-        inside = _cdf_inside(values, chosen).groupBy("feature").agg(F.expr("max(abs(ref_cdf - cur_cdf)) AS d"))
-        for r in inside.collect():
-            lower[r["feature"]] = max(lower[r["feature"]], r["d"])
-    found = {
-        "feature": pa.array(list(lower), pa.string()),
-        "statistic": pa.array(list(lower.values()), pa.float64()),
-        "n_reference": pa.array([sizes[f][0] for f in lower], pa.int64()),
-        "n_current": pa.array([sizes[f][1] for f in lower], pa.int64()),
-    }
-    return spark.createDataFrame(pa.table(found))
+def _psi_of_counts(both: Ranged, bins: int = 10) -> DataFrame:
+    """``feature, psi`` from the counts by value."""
+    edges = local(_reference_edges(both, [i / bins for i in range(1, bins)]))  # one row per feature
+    binned = both.values.join(edges, "feature").withColumn("bin", F.expr("size(filter(edges, e -> e <= value))"))
+    return _psi(_shares(binned.groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))))
 
 
 def kolmogorov_p_value(statistic: Column, effective_n: Column, terms: int = 100) -> Column:
@@ -259,15 +263,15 @@ def kolmogorov_p_value(statistic: Column, effective_n: Column, terms: int = 100)
 
 
 def ks_test(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], alpha: float = 0.05, buckets: int = 256
+    reference: DataFrame, current: DataFrame, features: Sequence[str], alpha: float = 0.05, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Statistic, p-value, critical value and decision per feature."""
-    return _ks_decision(ks_statistic(reference, current, features, buckets), alpha)
+    if not 0 < alpha < 1:
+        raise ValueError("alpha must be between 0 and 1")
+    return _ks_decision(ks_statistic(reference, current, features, range_rows), alpha)
 
 
 def _ks_decision(statistics: DataFrame, alpha: float) -> DataFrame:
-    if not 0 < alpha < 1:
-        raise ValueError("alpha must be between 0 and 1")
     n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
     return (
         statistics.withColumn("effective_n", F.sqrt(n * m / (n + m)))
@@ -290,15 +294,20 @@ def drift_summary(
     features: Sequence[str],
     psi_threshold: float = 0.2,
     ks_alpha: float = 0.05,
-    buckets: int = 256,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """Per feature: stability index, KS test and whether it drifted; empty ones left out."""
-    with held(two_samples(reference, current, features)) as both:
-        shares = localize(_psi_bins(both, features), None)[0]  # features x bins rows
-        statistics = _ks(both, features, buckets)
+    """Per feature: stability index, KS test and whether it drifted; empty ones left out.
+
+    Both rest on the same counts: bin edges are ranks among them, bins are sums of them.
+    """
+    with ranged(reference, current, features, range_rows) as both:
+        return local(_drift_summary(both, psi_threshold, ks_alpha))  # one row per feature
+
+
+def _drift_summary(both: Ranged, psi_threshold: float, ks_alpha: float) -> DataFrame:
     return (
-        _ks_decision(statistics, ks_alpha)
-        .join(F.broadcast(_psi(shares)), "feature")
+        _ks_decision(_ks(both), ks_alpha)
+        .join(_psi_of_counts(both), "feature")
         .withColumn("drifted", (F.col("psi") >= psi_threshold) | F.col("drift_detected"))
     )
 
@@ -315,13 +324,16 @@ def drift_alert(summary: DataFrame, alert_ratio: float = 0.3, project: str | Non
     return row.select(F.lit(project).alias("project_name"), utc_now_text().alias("generated_at"), "*")
 
 
-def wasserstein(reference: DataFrame, current: DataFrame, features: Sequence[str], buckets: int = 256) -> DataFrame:
+def wasserstein(reference: DataFrame, current: DataFrame, features: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """First Wasserstein distance per numeric feature: area between the two CDFs."""
-    with held(two_samples(reference, current, features)) as both:
-        area = _cdf_inside(*_bucketed(both, features, buckets)).groupBy("feature").agg(
-            F.expr("coalesce(sum(abs(ref_cdf - cur_cdf) * (next_value - value)), 0D) AS wasserstein")
-        )
-        return localize(area, None)[0]  # one row per feature
+    with ranged(reference, current, features, range_rows) as both:
+        return local(_area(both))  # one row per feature
+
+
+def _area(both: Ranged) -> DataFrame:
+    return _cdf_inside(both.values, both.totals).groupBy("feature").agg(
+        F.expr("coalesce(sum(abs(ref_cdf - cur_cdf) * (next_value - value)), 0D) AS wasserstein")
+    )
 
 
 def category_shares(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -347,7 +359,7 @@ def category_distances(reference: DataFrame, current: DataFrame, features: Seque
 
 
 def column_drift_report(
-    reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.1, buckets: int = 256
+    reference: DataFrame, current: DataFrame, features: Sequence[str], threshold: float = 0.1, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Per column: distance, method and decision, with the share of drifted columns.
 
@@ -362,7 +374,7 @@ def column_drift_report(
             [], numeric, "feature", "std"
         )
         parts.append(
-            wasserstein(reference, current, numeric, buckets)
+            wasserstein(reference, current, numeric, range_rows)
             .join(F.broadcast(spread), "feature")
             .select(
                 "feature",

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.bins import bin_closed_right
-from salescope.functions.quantiles import RankRule, column_quantiles, exact_quantiles, exact_ranks
-from salescope.session import held, localize
+from salescope.functions.quantiles import column_quantiles, exact_quantiles, exact_ranks
+from salescope.session import held, local
 
 
 def regression_metrics(df: DataFrame, actual: str = "SALES", predicted: str = "prediction") -> DataFrame:
@@ -37,7 +35,7 @@ def calibration_bins(df: DataFrame, actual: str, predicted: str, bins: int = 10)
             .groupBy("bin")
             .agg(F.count(F.lit(1)).alias("rows"), F.avg("a").alias("mean_true"), F.avg("p").alias("mean_pred"))
         )
-        return localize(out, None)[0]  # one row per bin
+        return local(out)  # one row per bin
 
 
 def calibration_error(df: DataFrame, actual: str = "SALES", predicted: str = "prediction", bins: int = 10) -> DataFrame:
@@ -54,13 +52,10 @@ def fit_conformal(df: DataFrame, actual: str = "SALES", predicted: str = "predic
     """Split-conformal fit on absolute residuals: one row with ``q_hat`` and coverage."""
     if not 0 < alpha < 1:
         raise ValueError("alpha must be between 0 and 1")
-    rank = RankRule(
-        lambda n: math.ceil((n - 1) * min(1.0, math.ceil((n + 1) * (1 - alpha)) / n)),
-        f"ceil(({{n}} - 1) * least(1.0D, ceil(({{n}} + 1) * {1 - alpha!r}D) / {{n}}))",
-    )
+    rank = f"ceil(({{n}} - 1) * least(1.0D, ceil(({{n}} + 1) * {1 - alpha!r}D) / {{n}}))"
     gap = F.abs(F.col(actual).cast("double") - F.col(predicted).cast("double"))
     with held(df.select(gap.alias("error"))) as errors:
-        fit = exact_ranks(errors, ["error"], [(1 - alpha, rank)], hold=False).first()
+        fit = exact_ranks(errors, ["error"], [rank], hold=False).first()
         q_hat, n = fit["values"][0], fit["n"]
         total, covered = errors.agg(F.count(F.lit(1)), F.count_if(F.col("error") <= F.lit(q_hat))).first()
     if total == 0:

@@ -13,7 +13,7 @@ from salescope.functions.bins import bin_equal_width
 from salescope.functions.hashing import fingerprint
 from salescope.functions.quantiles import exact_quantiles, null_safe_join
 from salescope.functions.scalar import finite, flag_iqr
-from salescope.session import held, localize
+from salescope.session import held, local
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
@@ -52,7 +52,7 @@ def _numeric_table(df: DataFrame, columns: Sequence[str], probs: dict[str, float
         if unique:
             counts = F.broadcast(distinct_counts(numbers, columns))  # one row per column
             out = out.join(counts, "feature", "left")
-        return localize(out, None)[0]
+        return local(out)
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,14 +6,9 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A result is only brought to the driver (and then broadcast) when it is at most
-# this many rows; larger results stay distributed.
-LOCAL_ROW_LIMIT = 20_000
-
 
 def build_session(app_name: str = "salescope", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators rely on (AQE, skew join, UTC)."""
@@ -50,38 +45,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage by writing to the shared folder and reading back.
 
     Survives executor loss, and later scans prune columns and push filters down.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, label)[0]
 
 
 @contextmanager
-def held(df: DataFrame):
-    """Keep ``df`` for the passes made inside the block, then let it go."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+def held(df: DataFrame, label: str = "held"):
+    """A copy of ``df`` in the shared folder for the passes made inside the block; it is removed afterwards."""
+    table, path = _written(df, label)
     try:
-        yield kept
+        yield table
     finally:
-        kept.unpersist()
+        folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def localize(df: DataFrame, limit: int | None = LOCAL_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Run ``df`` once; when it has at most ``limit`` rows return it as a local,
-    broadcast table (size checked), otherwise return it unchanged.
+def local(df: DataFrame) -> DataFrame:
+    """Run ``df`` once and return it as a local table with a broadcast hint.
 
-    ``limit=None`` is for tables whose size is bounded by their construction, such as
-    one row per column.
+    For tables whose size is bounded by their construction, such as one row per column.
     """
-    table = (df if limit is None else df.limit(limit + 1)).toArrow()
-    if limit is not None and table.num_rows > limit:
-        return df, False
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema)), True
+    return F.broadcast(df.sparkSession.createDataFrame(df.toArrow(), df.schema))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

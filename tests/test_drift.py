@@ -89,12 +89,12 @@ SAMPLES = {
 
 
 @pytest.mark.parametrize("name", SAMPLES)
-@pytest.mark.parametrize("buckets", [4, 256])
-def test_exact_against_brute_force(spark, name, buckets):
+@pytest.mark.parametrize("range_rows", [37, drift.RANGE_ROWS])
+def test_exact_against_brute_force(spark, name, range_rows):
     a, b = SAMPLES[name](np.random.default_rng(13))
     ref, cur = frame(spark, x=a), frame(spark, x=b)
-    assert drift.ks_statistic(ref, cur, ["x"], buckets).first()["statistic"] == pytest.approx(ks(a, b), abs=1e-12)
-    assert drift.wasserstein(ref, cur, ["x"], buckets).first()["wasserstein"] == pytest.approx(area(a, b), abs=1e-9)
+    assert drift.ks_statistic(ref, cur, ["x"], range_rows).first()["statistic"] == pytest.approx(ks(a, b), abs=1e-12)
+    assert drift.wasserstein(ref, cur, ["x"], range_rows).first()["wasserstein"] == pytest.approx(area(a, b), abs=1e-9)
 
 
 @pytest.mark.parametrize("name", SAMPLES)
@@ -107,6 +107,41 @@ def test_both_stability_indexes(spark, name):
     assert rows[0]["psi_total"] == pytest.approx(psi_by_width(a, b), abs=1e-9)
 
 
+@pytest.mark.parametrize("name", SAMPLES)
+def test_summary_from_counts(spark, name):
+    """Edges, bins and the statistic from one count by value, in many ranges."""
+    a, b = SAMPLES[name](np.random.default_rng(23))
+    row = drift.drift_summary(frame(spark, x=a), frame(spark, x=b), ["x"], range_rows=50).first()
+    assert row["psi"] == pytest.approx(psi_by_quantiles(a, b), abs=1e-9)
+    assert row["statistic"] == pytest.approx(ks(a, b), abs=1e-12)
+    assert (row["n_reference"], row["n_current"]) == (len(a), len(b))
+
+
+def test_ranges_follow_the_number_of_values_and_bound_a_task(spark):
+    """A third of the rows has one value; ranges are of similar size, and their number grows with the values."""
+    df = spark.range(30_000).selectExpr("IF(id % 3 = 0, 0.5D, id / 30000) AS x", "-id * id / 1D AS y")
+    sizes = []
+    for range_rows in (20_000, 2_000):
+        with drift.ranged(df, df, ["x", "y"], range_rows) as both:
+            per_range = [r["count"] for r in both.values.groupBy("range").count().collect()]
+            assert max(per_range) <= 2.5 * range_rows
+            sizes.append(len(per_range))
+            starts = both.values.groupBy("feature", "range").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).orderBy("feature", "range").collect()
+            assert all(p["hi"] < n["lo"] for p, n in zip(starts, starts[1:]) if p["feature"] == n["feature"])
+    assert sizes[0] == 3 and sizes[1] == 26
+
+
+def test_empirical_cdf(spark):
+    rng = np.random.default_rng(29)
+    a, b = rng.normal(size=300).round(1), rng.normal(size=200).round(1)
+    got = sorted(drift.empirical_cdf(frame(spark, x=a), frame(spark, x=b), ["x"], 10).collect())
+    every = np.unique(np.concatenate([a, b]))
+    assert [r["value"] for r in got] == every.tolist()
+    assert [r["next_value"] for r in got] == [*every[1:].tolist(), None]
+    assert np.allclose([r["ref_cdf"] for r in got], [(a <= v).mean() for v in every])
+    assert np.allclose([r["cur_cdf"] for r in got], [(b <= v).mean() for v in every])
+
+
 def test_features_without_values_are_skipped(spark):
     ref = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
     cur = spark.createDataFrame([(1.0, 3.0), (float("nan"), 4.0)], "x double, y double")

@@ -1,7 +1,10 @@
-"""Exact quantiles against NumPy, on shapes a sketch alone would get wrong."""
+"""Exact quantiles against NumPy, on shapes that are hard for selection."""
+
+import inspect
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salescope.functions import quantiles as q
 from salescope.operators import cleaning, evaluation, profiling
@@ -30,11 +33,39 @@ def test_linear_quantiles(spark, values):
     assert np.allclose(got, np.quantile(values, PROBS), rtol=0, atol=1e-12)
 
 
-def test_poor_sketch_changes_nothing(spark):
-    values = np.random.default_rng(3).normal(size=4000)
-    rules = [(p, q.linear_rank(p)) for p in PROBS]
-    got = q.exact_ranks(frame(spark, values), ["x"], rules, accuracy=2).first()["values"]
-    assert np.allclose(got, np.quantile(values, PROBS), rtol=0, atol=1e-12)
+def test_images_keep_the_order_and_the_bits(spark):
+    rng = np.random.default_rng(6)
+    values = np.concatenate([
+        rng.integers(0, 2**64, 4000, dtype=np.uint64).view(np.float64), rng.normal(size=500), 2.0 ** np.arange(-1074, 1024), -(2.0 ** np.arange(-60, 70)),
+        np.nextafter(2.0 ** np.arange(-1022, 1024), 0), np.nextafter(2.0 ** np.arange(-1022, 1024), np.inf), [0.0, -0.0, 5e-324, 2.2250738585072014e-308, np.finfo(float).max, -np.finfo(float).max],
+    ])
+    values = values[np.isfinite(values)]
+    df = spark.createDataFrame([(float(v),) for v in values], "value double")
+    got = np.array([(r["value"], r["image"]) for r in q.with_image(df).collect()], dtype=object)
+    bits = np.abs(got[:, 0].astype(float)).view(np.int64) * np.where(got[:, 0].astype(float) < 0, -1, 1)
+    assert (got[:, 1].astype(np.int64) == bits).all()
+
+
+@pytest.mark.parametrize("values", [
+    1.0 + np.arange(3000) * 2.0**-52,  # differ in the last bits only
+    np.concatenate([-(10.0 ** np.arange(-300, 300)), 10.0 ** np.arange(-300, 300)]),
+    np.repeat([-0.0, 0.0, 5e-324, -5e-324], 10),
+])
+def test_hard_values(spark, values):
+    got = q.column_quantiles(frame(spark, np.random.default_rng(0).permutation(values)), ["x"], [0.0, 0.31, 0.5, 1.0])["x"]
+    assert np.allclose(got, np.quantile(values, [0.0, 0.31, 0.5, 1.0]), rtol=1e-15, atol=0)
+
+
+def test_no_task_sorts_more_than_the_digits(spark):
+    """Among 2 000 000 different values, a window sees the digits of one prefix: 65 536 at most."""
+    df = q.with_image(spark.range(2_000_000).selectExpr("'x' AS feature", "1 + id / 2000000 AS value"))
+    assert q._counts(df, ["feature"], 1).count() == 16
+    prefixed = df.withColumn("prefix", F.shiftright("image", 48))
+    rows = prefixed.where(F.col("prefix") == prefixed.agg(F.min("prefix")).first()[0])
+    assert rows.count() == 125_000
+    assert q._counts(rows, ["feature", "prefix"], 2).count() == 65_536
+    source = inspect.getsource(q)
+    assert "percentile" not in source and "LIMIT" not in source
 
 
 def test_missing_and_not_finite_entries(spark):
@@ -45,10 +76,10 @@ def test_missing_and_not_finite_entries(spark):
     assert (empty["n"], empty["values"][0]) == (0, None)
 
 
-@pytest.mark.parametrize("limit", [20_000, 2])
-def test_groups_local_and_distributed(spark, monkeypatch, limit):
-    """A hot group, a NULL group and small ones; the same with too many groups to collect."""
-    monkeypatch.setattr(q, "LOCAL_ROW_LIMIT", limit)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_groups_broadcast_and_shuffled(spark, threshold):
+    """A hot group, a NULL group and small ones; the same when Spark may not broadcast the passes' state."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     rng = np.random.default_rng(4)
     values = rng.normal(size=3000)
     names = ["hot" if i % 3 else [None, "b", "c", "d"][i % 4] for i in range(3000)]
@@ -59,6 +90,13 @@ def test_groups_local_and_distributed(spark, monkeypatch, limit):
         own = values[[n == g for n in names]]
         assert got[g][0] == len(own)
         assert np.allclose(got[g][1], np.quantile(own, PROBS), rtol=0, atol=1e-12)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_groups_and_columns_without_entries(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, None), ("b", None, 2.0), ("b", float("nan"), 4.0)], "g string, x double, y double")
+    got = {(r["g"], r["feature"]): (r["n"], r["values"]) for r in q.exact_quantiles(df, ["x", "y"], [0.5], ["g"]).collect()}
+    assert got == {("a", "x"): (2, [2.0]), ("a", "y"): (0, [None]), ("b", "x"): (0, [None]), ("b", "y"): (2, [3.0])}
 
 
 def test_conformal_goldens(spark):
