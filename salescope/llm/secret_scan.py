@@ -6,6 +6,9 @@ model of random strings and one of identifiers, both trained from a labelled sam
 them, and those whose log-likelihood ratio is high enough are secrets too, of kind ``markov``, unless
 they overlap a span of a rule.  The models are one number for each pair of characters.
 
+Work grows with a text's length: lists of matches are passed over in about as many parts as a part has matches, so that no
+list grows by one at a time, and strings are taken apart into characters once.
+
 Places are code points, the end exclusive.  Defined results: a null text is empty, and has no spans.
 Repeated rows are scanned each for itself.  Texts are scanned whole.  Other columns are not looked at.
 """
@@ -33,23 +36,52 @@ SAMPLE_RANDOM = 2_000
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _none(depth: int = 1) -> Column:
+    return F.expr(f"cast(array() as {'array<' * (depth - 1)}{_SPAN}{'>' * (depth - 1)})")
+
+
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _pass(rows: Column, state: Column, step) -> Column:
+    """Spans of one ordered pass: ``step`` takes the state and a row, and gives the next state, a span and whether to keep it."""
+    def inner(acc: Column, row: Column) -> Column:
+        after, span, good = step(acc["state"], row)
+        return F.struct(after.alias("state"), F.when(good, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+    def outer(acc: Column, rows: Column) -> Column:
+        done = F.aggregate(rows, F.struct(acc["state"].alias("state"), _none().alias("spans")), inner, lambda d: F.struct(d["state"].alias("state"), F.array_append(acc["lists"], d["spans"]).alias("lists")))
+        return done
+
+    def whole(rows: Column) -> Column:
+        part = F.greatest(F.ceil(F.sqrt(F.size(rows).cast("double"))).cast("int"), F.lit(1))
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / part).cast("int")), lambda i: F.slice(rows, i * part + 1, part))
+        done = F.aggregate(parts, F.struct(state.alias("state"), _none(2).alias("lists")), outer, lambda acc: F.flatten(acc["lists"]))
+        return F.when(F.size(rows) > 0, done).otherwise(_none())
+
+    return _once(rows, whole)
+
+
+def _span(start: Column, kind: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), kind.alias("kind"), end.alias("end"))
+
+
 def _spans(text: Column, pattern: str, kind: int, wanted=None, group: int | None = None) -> Column:
     """Spans of all matches; only those whose text (or group) is ``wanted``, if that is given."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     other = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     rows = F.zip_with(F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"))), other, lambda a, v: F.struct(a["m"].alias("m"), a["g"].alias("g"), v.alias("v")))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("spans"))
 
-    def step(acc: Column, row: Column) -> Column:
-        begin = acc["at"] + F.coalesce(row["g"], F.lit(0))
+    def step(at: Column, row: Column):
+        begin = at + F.coalesce(row["g"], F.lit(0))
         end = begin + F.coalesce(F.length(row["m"]), F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
         good = row["m"].isNotNull() if wanted is None else row["m"].isNotNull() & wanted(row["v"])
-        return F.struct(end.alias("at"), F.when(good, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+        return end, _span(begin, F.lit(kind), end), good
 
-    found = F.aggregate(rows, start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.expr(f"cast(array() as {_SPAN})"))
+    return F.when(text.rlike(pattern), _pass(rows, F.lit(0), step)).otherwise(_none())
 
 
 def base_spans(text: Column) -> Column:
@@ -61,16 +93,26 @@ def base_spans(text: Column) -> Column:
 def ratio(text: Column, table: list[float]) -> Column:
     """Log-likelihood ratio of a string of ``ALPHABET``, random against identifier."""
     llr = F.expr(f"array({','.join(f'{x:.9f}D' for x in table)})")
-    at = lambda i: F.instr(F.lit(ALPHABET), F.substr(text, i, F.lit(1))) - 1
-    places = F.sequence(F.lit(1), F.length(text) - 1)
-    return F.aggregate(places, F.lit(0.0), lambda acc, i: acc + F.get(llr, at(i) * len(ALPHABET) + at(i + 1)))
+    codes = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    pairs = lambda own: F.zip_with(own, F.slice(own, 2, F.size(own)), lambda a, b: F.coalesce(F.get(llr, a * len(ALPHABET) + b), F.lit(0.0)))
+    return F.aggregate(_once(codes, pairs), F.lit(0.0), lambda acc, x: acc + x)
 
 
 def added_spans(text: Column, base: Column, table: list[float], least: float = LEAST_RATIO) -> Column:
     """Spans of candidates that the models take for random and no rule has found."""
     random = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (ratio(v, table) >= least)
     spans = _spans(text, CANDIDATE, 3, random)
-    return F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    is_rule = lambda s: s["kind"] < 3
+
+    def apart(spans: Column) -> Column:
+        # From the left, with the furthest end of a rule's span so far; what is left of the candidates from the right, with the next start.
+        both = F.array_sort(F.concat(base, spans))
+        left = _pass(both, F.lit(0), lambda end, s: (F.when(is_rule(s), F.greatest(end, s["end"])).otherwise(end), s, ~is_rule(s) & (s["start"] >= end)))
+        again = F.reverse(F.array_sort(F.concat(base, left)))
+        right = _pass(again, F.lit(2**31 - 1), lambda start, s: (F.when(is_rule(s), F.least(start, s["start"])).otherwise(start), s, ~is_rule(s) & (s["end"] <= start)))
+        return F.when((F.size(spans) == 0) | (F.size(base) == 0), spans).otherwise(F.reverse(right))
+
+    return _once(spans, apart)
 
 
 def train(labelled: DataFrame) -> list[float]:
@@ -131,13 +173,13 @@ def redacted(docs: DataFrame, table: list[float], mark: str = "[SECRET]") -> Dat
     """The rows of ``docs`` with every secret in ``text`` replaced; overlapping spans are one."""
     rows = docs.withColumn("__base", base_spans(F.coalesce(F.col("text"), F.lit(""))))
     rows = rows.withColumn("__added", added_spans(F.coalesce(F.col("text"), F.lit("")), F.col("__base"), table))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        before = F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        out = F.when(s["start"] >= acc["at"], before).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
-
-    spans = F.array_sort(F.concat("__base", "__added"))
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
+    spans, letters = F.array_sort(F.concat("__base", "__added")), F.split(F.col("text"), "")
+    # What stays lies between the spans, each stretch followed by the mark; overlapping spans leave none.
+    stays = _pass(spans, F.lit(0), lambda at, s: (F.greatest(at, s["end"]), _span(at, F.lit(0), s["start"]), s["start"] >= at))
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+    cut = lambda own: F.concat(
+        F.array_join(F.transform(stays, lambda s: F.concat(F.array_join(F.slice(own, s["start"] + 1, s["end"] - s["start"]), ""), F.lit(mark))), ""),
+        F.array_join(F.slice(own, last + 1, F.size(own)), ""),
+    )
+    whole = _once(letters, cut)
     return rows.withColumn("text", F.when(F.size("__base") + F.size("__added") > 0, whole).otherwise(F.col("text"))).select(*docs.columns)

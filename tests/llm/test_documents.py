@@ -190,6 +190,38 @@ def test_sketch_buckets(spark):
     assert all(0 <= r.v - r.b <= r.v / 64 for r in got)
 
 
+def test_secrets_of_very_long_texts(spark):
+    """A run of a million key characters, 100 000 assignments and 50 000 candidates end soon, and are found."""
+    run = "aB3" * 333_334
+    texts = [(1, run), (2, "password=abcdefgh1234 " * 100_000), (3, "Zq9xW2kL7mP4vR8tY1sD5f and so on, " * 50_000 + "0123456789abcdef")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan(docs, [1.0] * 67**2).collect()}
+    assert [(got[i].n_assign, got[i].n_hex, got[i].n_markov) for i in (1, 2, 3)] == [(0, 0, 1), (100_000, 0, 0), (0, 1, 50_000)]
+    assert got[1].spans == f"markov:0:{len(run)}"
+    assert got[2].spans.split(",")[-1] == f"assign:{22 * 99_999}:{22 * 99_999 + 21}"
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(docs, [1.0] * 67**2).collect()}
+    assert clean == {1: "[SECRET]", 2: "[SECRET] " * 100_000, 3: "[SECRET] and so on, " * 50_000 + "[SECRET]"}
+
+
+def test_added_spans_by_the_plain_ratio(spark, docs, rows):
+    """Over the whole awkward table: runs whose likelihood ratio is high and that no rule's span touches."""
+    table = [((7 * k) % 23 - 9) / 10 for k in range(67**2)]
+    for r in secret_scan.scan(docs.select("doc_id", "text").distinct(), table).collect():
+        texts = {t for i, t, *_ in rows if i == r.doc_id}
+        if len(texts) > 1:
+            continue
+        text = texts.pop() or ""
+        spans = [tuple(x.split(":")) for x in r.spans.split(",") if x]
+        base = [(int(a), int(b)) for k, a, b in spans if k != "markov"]
+        want = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            v = [secret_scan.ALPHABET.index(c) for c in m[0]]
+            llr = sum(table[67 * a + b] for a, b in zip(v, v[1:]))
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and llr >= 12 and not any(a < m.end() and m.start() < b for a, b in base):
+                want.append(m.span())
+        assert [(int(a), int(b)) for k, a, b in spans if k == "markov"] == want
+
+
 def test_secret_rules_and_models(spark, docs, rows, none):
     assign = re.compile(secret_scan.ASSIGN.replace("(?i:password|passwd|secret|token|api_?key)", "(?i:password|passwd|secret|token|api_?key)"), re.ASCII)
     table = secret_scan.train(secret_scan.labelled_sample(docs))
