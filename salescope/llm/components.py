@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +37,32 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(live)
         live = after
     return live.select(F.col("a").alias("node"), F.col("b").alias("comp")) if labels is None else labels
+
+
+class Forest:
+    """Which of a group's rows are joined, each by the smallest row reachable."""
+
+    def __init__(self, size: int):
+        self.root = np.arange(size)
+
+    def apart(self, a: slice, b: slice) -> np.ndarray:
+        return self.root[a, None] != self.root[None, b]
+
+    def join(self, linked: np.ndarray, a: slice, b: slice) -> None:
+        """Join by links between rows ``a`` and rows ``b``.
+
+        Each turn every row hooks to the first of its partners in another tree, until all links lie within trees.
+        """
+        while True:
+            apart = linked & self.apart(a, b)
+            rows = np.flatnonzero(apart.any(axis=1))
+            if not len(rows):
+                return
+            for x, y in zip(self.root[a][rows].tolist(), self.root[b][apart[rows].argmax(axis=1)].tolist()):
+                while self.root[x] != x:
+                    x = self.root[x]
+                while self.root[y] != y:
+                    y = self.root[y]
+                self.root[max(x, y)] = min(x, y)
+            while not np.array_equal(up := self.root[self.root], self.root):
+                self.root = up

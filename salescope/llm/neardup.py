@@ -9,12 +9,17 @@ falls below ``MISS``.  Survivors are confirmed on full sets, made from the whole
 No bucket is expanded into its pairs.  In each of a few rounds every node is compared only with one
 centre of each bucket that still holds several components, drawn anew for each bucket and round, and
 only its most similar centre is confirmed; so a bucket with a third of all nodes costs as many rows as it has nodes.  What is left
-after that, pairs of different components in one bucket that the sizes of their sets and the shingles
-that only one of them has don't keep apart, is compared in full, so that no link is lost but with a probability of about 1e-6 by the bands and ``MISS`` by pruning.
+after that, nodes of different components in one bucket, is compared in full, so that no link is lost but with a
+probability of about 1e-6 by the bands and ``MISS`` by pruning.  That is done in tiles: nodes joined by
+buckets are one crowd, a crowd is dealt into tiles of a bounded number of nodes, and two tiles meet in one group.  In a first turn
+signatures meet: pairs that share a band and are of different components are pruned as above, square by
+square in numpy, and only which nodes survivors join is sent on, at most a row for each node.  These smaller crowds meet
+again with their whole texts, where common shingles of all pairs are counted.  So neither turn sends pairs, and a crowd costs rows in
+proportion to its nodes times its tiles; its comparisons grow with the square of its nodes.
 
 Defined results: null and empty texts have no shingles and no links.  A null id is linked with
 nothing, its component is null, and it is kept.  Rows that repeat an id are judged each by its own
-text, and a link of one is a link of the id.  Other columns of the input are not looked at.
+text, and a link of one is a link of the id: all its rows have one component.  Other columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -24,12 +29,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.components import components
+from salescope.llm.components import Forest, components
 from salescope.llm.scratch import Scratch
 from salescope.llm.words import mix, shingles, word_blocks
+from salescope.session import spread
 
 
 @dataclass(frozen=True)
@@ -55,6 +61,10 @@ BATCH = 10  # bytes of the signature, with four minima in each
 MISS = 1e-7
 ROUNDS = 4
 CHUNK = 64  # members that are confirmed against one centre in one group
+SIGNATURES = 4_096  # nodes in a tile that meets by signatures
+TEXTS = 512  # and by texts
+SQUARE = 256  # rows and columns that are compared at once
+COLUMNS = 8_192  # shingles counted by one product
 
 
 def shingle_set(h: np.ndarray, width: int) -> np.ndarray:
@@ -220,30 +230,118 @@ def confirmed(pairs: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame
     return rows.groupBy("a", "chunk").applyInArrow(_confirm(setting), "a long, b long")
 
 
-def _shingle_rows(setting: Setting):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = batch.column(0).to_numpy()
-            for lo, hi, hashes, begin in word_blocks(batch.column(1), lower=True, size=1 << 20):
-                sets = [shingle_set(hashes[begin[i] : begin[i + 1]], setting.width) for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(nodes[lo:hi], [len(x) for x in sets])), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"]
-                )
+def _survivors(setting: Setting):
+    """Of two tiles of a crowd, which nodes are joined by pairs that may reach the similarity."""
+    need = least_matches(setting)
+
+    def run(table: pa.Table) -> pa.Table:
+        node, comp, order, cut, same = _tiles(table)
+        n = table.column("n").to_numpy()[order]
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.int64).reshape(len(node), -1)[order]
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(node), -1)[order]
+        trees = Forest(len(node))
+        for a, b in _squares(cut, len(node), same):
+            # A pair that is joined already needs no comparison.
+            left, right = np.nonzero((comp[a, None] != comp[None, b]) & trees.apart(a, b) & (np.minimum(n[a, None], n[None, b]) * 100 >= np.maximum(n[a, None], n[None, b]) * setting.threshold))
+            shared = np.zeros(len(left), dtype=bool)
+            for k in range(keys.shape[1]):
+                shared |= keys[a][left, k] == keys[b][right, k]
+            left, right, at, matches = left[shared], right[shared], 0, 0
+            for bits, least in need.items():
+                x = sig[a][left, at : bits // 4] ^ sig[b][right, at : bits // 4]
+                matches = matches + 4 * x.shape[1] - np.bitwise_count((x | x >> 1) & 0x55).sum(axis=1, dtype=np.int64)
+                alive = matches >= least
+                left, right, matches, at = left[alive], right[alive], matches[alive], bits // 4
+            linked = np.zeros((a.stop - a.start, b.stop - b.start), dtype=bool)
+            linked[left, right] = True
+            trees.join(linked, a, b)
+        return _edges(node, trees)
+
+    return run
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, by products over the shingles that both sides have."""
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    places = []
+    for sets in (left, right):
+        at = np.searchsorted(both, every := np.concatenate(sets))
+        hit = at < len(both)
+        hit[hit] = both[at[hit]] == every[hit]
+        places.append((np.repeat(np.arange(len(sets)), [len(s) for s in sets])[hit], at[hit]))
+    for lo in range(0, len(both), COLUMNS):
+        size, tables = min(COLUMNS, len(both) - lo), []
+        for (row, at), sets in zip(places, (left, right)):
+            table = np.zeros((len(sets), size), dtype=np.float32)
+            here = (at >= lo) & (at < lo + size)
+            table[row[here], at[here] - lo] = 1
+            tables.append(table)
+        out += (tables[0] @ tables[1].T).astype(np.int64)
+    return out
+
+
+def _linked(setting: Setting):
+    """Of two tiles of a crowd, which nodes are joined by pairs that reach the similarity."""
+
+    def run(table: pa.Table) -> pa.Table:
+        node, comp, order, cut, same = _tiles(table)
+        sets = []
+        for texts in table.column("text").chunks:
+            for lo, hi, hashes, begin in word_blocks(texts, lower=True):
+                sets += [shingle_set(hashes[begin[i] : begin[i + 1]], setting.width) for i in range(hi - lo)]
+        sets = [sets[i] for i in order]
+        trees = Forest(len(node))
+        for a, b in _squares(cut, len(node), same):
+            unlike = comp[a, None] != comp[None, b]
+            if (unlike & trees.apart(a, b)).any():
+                both = common(sets[a], sets[b])
+                union = np.array([len(s) for s in sets[a]])[:, None] + np.array([len(s) for s in sets[b]])[None, :] - both
+                trees.join(unlike & (both > 0) & (100 * both >= setting.threshold * union), a, b)
+        return _edges(node, trees)
 
     return run
 
 
-def own_shingles(nodes: DataFrame, signatures: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
-    """For each of ``nodes`` its set's size n, and how many shingles it shares with no other of them, ``own``.
+def _tiles(table: pa.Table):
+    """Nodes and components with the first tile's rows first; that order, the first tile's size, and whether it meets itself."""
+    own, first = table.column("own").to_numpy(), table.column("first").to_numpy()
+    order = np.argsort(own != first, kind="stable")
+    node, comp = (table.column(c).to_numpy()[order] for c in ("node", "comp"))
+    return node, comp, order, int((own == first).sum()), bool(first[0] == table.column("second")[0].as_py())
+
+
+def _squares(cut: int, size: int, same: bool) -> Iterator[tuple[slice, slice]]:
+    for i in range(0, cut, SQUARE):
+        rows = slice(i, min(i + SQUARE, cut))
+        for j in range(i if same else cut, size, SQUARE):
+            yield rows, slice(j, min(j + SQUARE, size))
+
+
+def _edges(node: np.ndarray, trees: Forest) -> pa.Table:
+    hit = np.flatnonzero(node[trees.root] != node)
+    return pa.table({"a": node[trees.root[hit]], "b": node[hit]})
+
+
+def _meet(crowds: DataFrame, rows: DataFrame, tile: int, run) -> DataFrame:
+    """Edges (a, b) found by ``run`` among the nodes of each crowd (node, crowd), of which ``rows`` holds the columns."""
+    sizes = crowds.groupBy("crowd").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    dealt = crowds.join(sizes, "crowd").withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    met = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.struct(F.least("own", u).alias("first"), F.greatest("own", u).alias("second")))
+    sent = dealt.select("node", "crowd", "own", F.explode(met).alias("m")).select("node", "crowd", "own", "m.*").join(rows, "node")
+    return spread(sent, "crowd", "first", "second").groupBy("crowd", "first", "second").applyInArrow(run, "a long, b long")
+
+
+def crowd_links(rest: DataFrame, features: DataFrame, texts: DataFrame, scratch: Scratch, setting: Setting) -> DataFrame:
+    """All links (a, b), or as good ones, among nodes of different components in one bucket.
 
-    A pair's common shingles can't be more than what the two have beside their own, which shuts out most
-    pairs of a crowd of copies that were each edited in several places.  n is null for an id with several sets.
+    ``rest`` holds key, node, comp; ``features`` node, n, keys, sig; ``texts`` node, text.
     """
-    rows = texts.join(nodes, "node").select("node", "text").mapInArrow(_shingle_rows(setting), "node long, shingle long")
-    single = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
-    own = single.groupBy("node").agg(F.count("*").alias("own"))
-    sizes = signatures.groupBy("node").agg(F.when(F.count("*") == 1, F.max("n")).alias("n"))
-    return nodes.join(sizes, "node").join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    named = lambda edges: components(edges, scratch).withColumnRenamed("comp", "crowd")
+    stars = rest.groupBy("key").agg(F.min("node").alias("a")).join(rest.select("key", "node"), "key").select("a", F.col("node").alias("b"))
+    nodes = scratch.keep(rest.select("node", "comp").distinct())
+    near = scratch.keep(_meet(named(stars), nodes.join(features, "node"), SIGNATURES, _survivors(setting)))
+    return near if near.isEmpty() else _meet(named(near), nodes.join(texts, "node"), TEXTS, _linked(setting))
 
 
 def duplicates(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) -> DataFrame:
@@ -258,41 +356,51 @@ def duplicates(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) -> D
     shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
     buckets = scratch.keep(bands.join(shared, "key"))
     nodes = scratch.keep(buckets.select("node").distinct())
-    signatures = scratch.keep(reps.join(nodes, "node").select("node", "sig", F.col("n_shingles").alias("n")))
+    features = scratch.keep(reps.join(nodes, "node").select("node", F.col("n_shingles").alias("n"), "keys", "sig"))
+    signatures = features.select("node", "sig", "n")
     texts = scratch.keep(texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("doc_id").alias("node"), "text"))
 
     labels = scratch.keep(nodes.select("node", F.col("node").alias("comp")))
     for turn in range(ROUNDS + 1):
         members = buckets.join(labels, "node")
         open_keys = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.xxhash64("node", "key", F.lit(turn)) if turn else F.col("node")).alias("order"), F.col("node").alias("centre"), F.col("comp").alias("of"))).alias("c")).filter("lo < hi")
+        spent = []
         if turn < ROUNDS:
             pairs = members.join(open_keys.select("key", "c.centre", "c.of"), "key").filter("comp <> of").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
             pairs = scratch.keep(pairs)
             if pairs.isEmpty():  # every bucket lies in one component
                 break
             best = likely(pairs, signatures, setting).groupBy("b").agg(F.max(F.struct("matches", (-F.col("a")).alias("a"))).alias("x")).select((-F.col("x.a")).alias("a"), "b")
+            best = scratch.keep(best)
+            links = scratch.keep(confirmed(best, texts, setting))
+            spent = [pairs, best]
         else:  # all pairs of different components in a bucket
-            rest = scratch.keep(members.join(open_keys.select("key"), "key"))
-            rest = scratch.keep(rest.join(own_shingles(rest.select("node").distinct(), signatures, texts, setting), "node"))
-            groups = rest.select("key", "comp").distinct()
-            two = groups.withColumnRenamed("comp", "comp_a").join(groups.withColumnRenamed("comp", "comp_b"), "key").filter("comp_a < comp_b")
-            of = lambda end: rest.select("key", *[F.col(c).alias(f"{c}_{end}") for c in ("comp", "n", "own")], F.col("node").alias(end))
-            shared = F.least(F.col("n_a") - F.col("own_a"), F.col("n_b") - F.col("own_b"))  # at most
-            fits = (100 + setting.threshold) * shared >= setting.threshold * (F.col("n_a") + F.col("n_b"))
-            pairs = two.join(of("a"), ["key", "comp_a"]).join(of("b"), ["key", "comp_b"]).filter(F.coalesce(fits, F.lit(True))).select("a", "b").distinct()
-            best = likely(pairs, signatures, setting).select("a", "b")
-        links = scratch.keep(confirmed(scratch.keep(best), texts, setting))
-        if links.isEmpty():
-            continue
-        comp = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
-        joined = links.join(comp("a"), "a").join(comp("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-        merged = components(joined, scratch).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
-        labels = scratch.keep(labels.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")))
-
-    known = reps.select(*same, "node").join(labels, "node", "left").select(*same, F.coalesce("comp", "node").alias("component"))
-    out = feats.select("doc_id", *same).join(known, same, "left")
+            rest = scratch.keep(members.join(open_keys.select("key"), "key").select("key", "node", "comp"))
+            links = scratch.keep(crowd_links(rest, features, texts, scratch, setting))
+            spent = [rest]
+        if not links.isEmpty():
+            comp = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+            joined = links.join(comp("a"), "a").join(comp("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+            merged = components(joined, scratch).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+            before, labels = labels, scratch.keep(labels.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")))
+            spent.append(before)
+        scratch.drop(links, *spent)
+    scratch.drop(buckets, features, texts, nodes)
+
+    placed = reps.join(labels, "node", "left").select(*same, F.coalesce("comp", "node").alias("component"))
+    ids = feats.select("doc_id", *same)
+    repeated = ids.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")
+    repeated = scratch.keep(repeated)
+    out = ids.join(placed, same, "left")
+    if not repeated.isEmpty():  # all sets of one id are one component, which is that of its rows without words, too
+        placed = scratch.keep(placed)
+        holders = scratch.keep(ids.join(repeated, "doc_id").distinct().join(placed, same).select("doc_id", "component"))
+        hubs = holders.groupBy("doc_id").agg(F.min("component").alias("a"))
+        into = components(hubs.join(holders, "doc_id").select("a", F.col("component").alias("b")), scratch).select(F.col("node").alias("component"), F.col("comp").alias("into"))
+        moved = lambda rows: rows.join(into, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into")
+        of_id = moved(holders).groupBy("doc_id").agg(F.min("component").alias("of_id"))
+        out = ids.join(moved(placed), same, "left").join(of_id, "doc_id", "left").withColumn("component", F.coalesce("component", "of_id"))
     component = F.coalesce("component", "doc_id")
-    # Rows that repeat an id have one component: that of all sets of the id.
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
@@ -301,8 +409,10 @@ def one_of_each(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) ->
 
     Of rows that repeat both id and text one stays; rows without an id stay.
     """
-    kept = duplicates(docs, scratch, setting).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("__kept")).drop("__kept")
-    before = F.lag(F.struct("text")).over(Window.partitionBy("doc_id").orderBy("text"))
-    rows = rows.withColumn("__before", before).filter(F.col("__before").isNull() | ~F.col("__before.text").eqNullSafe(F.col("text")))
-    return rows.drop("__before").union(docs.filter("doc_id IS NULL"))
+    kept = duplicates(docs, scratch, setting).filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count("*").alias("__kept_rows"))
+    rows = docs.join(kept, F.col("doc_id") == F.col("__kept_id"))
+    once = rows.filter("__kept_rows = 1").drop("__kept_id", "__kept_rows")
+    # Rows of an id that repeats: a text is told by 128 bits; grouping keeps one of each before anything is sent.
+    texts = rows.filter("__kept_rows > 1").withColumn("__kept_text", F.md5(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")).cast("binary")))
+    several = texts.dropDuplicates(["doc_id", "__kept_text"]).drop("__kept_id", "__kept_rows", "__kept_text")
+    return once.union(several).union(docs.filter("doc_id IS NULL"))

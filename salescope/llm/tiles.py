@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.components import components
+from salescope.llm.components import Forest, components
 from salescope.llm.scratch import Scratch
 from salescope.session import spread
 
@@ -72,7 +72,7 @@ class Links:
         self.v, self.n, self.threshold, self.square = v, n, threshold, square
         self.q, self.s, self.length, self.error = quantised(v)
         self.count = np.zeros(len(v), np.int64)
-        self.root = np.arange(len(v))
+        self.trees = Forest(len(v))
         self.recomputed = 0
 
     def _square(self, a: slice, b: slice, same: bool) -> np.ndarray:
@@ -93,22 +93,6 @@ class Links:
         self.recomputed += len(i)
         return linked
 
-    def _join(self, linked: np.ndarray, a: slice, b: slice) -> None:
-        """Each turn every row hooks to the first of its partners in another tree, until all links lie within trees."""
-        while True:
-            apart = linked & (self.root[a, None] != self.root[None, b])
-            rows = np.flatnonzero(apart.any(axis=1))
-            if not len(rows):
-                return
-            for x, y in zip(self.root[a][rows].tolist(), self.root[b][apart[rows].argmax(axis=1)].tolist()):
-                while self.root[x] != x:
-                    x = self.root[x]
-                while self.root[y] != y:
-                    y = self.root[y]
-                self.root[max(x, y)] = min(x, y)
-            while not np.array_equal(up := self.root[self.root], self.root):
-                self.root = up
-
     def between(self, a: range, b: range) -> None:
         """All links of rows in ``a`` with rows in ``b``, which is the same range or a later one."""
         for i in range(a.start, a.stop, self.square):
@@ -119,7 +103,7 @@ class Links:
                 if linked.any():
                     self.count[rows] += linked @ self.n[columns]
                     self.count[columns] += self.n[rows] @ linked
-                    self._join(linked, rows, columns)
+                    self.trees.join(linked, rows, columns)
 
 
 def _meet(threshold: float, dim: int):
@@ -134,7 +118,7 @@ def _meet(threshold: float, dim: int):
         else:
             links.between(range(0, cut), range(cut, len(node)))
         hit = np.flatnonzero(links.count)
-        return pa.table({"node": node[hit], "root": node[links.root[hit]], "links": links.count[hit]})
+        return pa.table({"node": node[hit], "root": node[links.trees.root[hit]], "links": links.count[hit]})
 
     return run
 

@@ -104,8 +104,29 @@ def test_near_duplicates(spark, docs, rows, none, setting):
     assert sorted(i for i in ids if i is not None) == sorted(i for i in sets if want[i] == i) and ids.count(None) == 2
 
 
-def test_near_copies_in_a_large_group(spark):
+def test_rows_of_one_id_are_one_component(spark):
+    """Id 5 holds a copy of 3 and a text near 9, and a row without words; 9 and 5 go to 3, and only 3 stays."""
+    one, two = ([f"{k}{i}" for i in range(60)] for k in "ab")
+    near = two[:59] + ["x"]
+    docs = spark.createDataFrame([(3, " ".join(one)), (5, " ".join(one)), (5, " ".join(two)), (5, " "), (9, " ".join(near)), (10, "alone it is")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.duplicates(docs, Scratch(spark, "t")).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 3, False), (5, 3, False), (9, 3, False), (10, 10, True)]
+    assert sorted(r.doc_id for r in neardup.one_of_each(docs, Scratch(spark, "t")).collect()) == [3, 10]
+
+
+def test_common_shingles_of_all_pairs(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    rng = np.random.default_rng(8)
+    left, right = ([np.unique(rng.integers(0, 90, int(k)).astype(np.uint64)) for k in rng.integers(1, 60, n)] for n in (9, 5))
+    assert neardup.common(left, right).tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+
+
+@pytest.mark.parametrize("tile", [None, 50])
+def test_near_copies_in_a_large_group(spark, tile, monkeypatch):
     """A chain of edits and a crowd around one text: pairs of the crowd are under the threshold, links go by way of others."""
+    if tile:
+        monkeypatch.setattr(neardup, "SIGNATURES", tile)
+        monkeypatch.setattr(neardup, "TEXTS", tile)
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(4000)]
     text = list(rng.choice(vocabulary, 400))
