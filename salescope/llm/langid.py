@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salescope.llm.words import released
+
 UNDETERMINED = "und"
 PROFILE_SIZE = 300
 MAX_LANGUAGES = 1_000  # more distinct names than this are an error in the labels, and are raised as one
@@ -90,7 +92,7 @@ def learn(docs: DataFrame, text: Column | None = None, lang: Column | None = Non
     """
     text, lang = F.col("text") if text is None else text, F.col("lang") if lang is None else lang
     rows = docs.select(text.alias("text"), lang.alias("lang")).filter("lang IS NOT NULL")
-    counts = rows.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(released(_counts), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("place", place).filter(F.col("place") <= size).limit(MAX_LANGUAGES * size + 1).toArrow()
     if top.num_rows > MAX_LANGUAGES * size:
@@ -142,7 +144,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], keys: dict[str, Col
                 [*batch.schema.names[:width], "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(released(score), schema)
 
 
 def accepted(docs: DataFrame, profiles: dict[str, list[int]], least: float, size: int = PROFILE_SIZE) -> DataFrame:
@@ -158,4 +160,4 @@ def accepted(docs: DataFrame, profiles: dict[str, list[int]], least: float, size
             got = [scorer(x.as_py()) for x in batch.column(place)]
             yield batch.filter(pa.array([lang != UNDETERMINED and s >= least for lang, s in got], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(released(keep), docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.llm.scratch import Scratch
-from salescope.llm.words import text_blocks, word_blocks
+from salescope.llm.words import released, text_blocks, word_blocks
 
 BUCKETS = 4096  # of words, and as many of pairs of bytes
 SAMPLE = 20_000  # bound of the labelled documents that the classifier is fitted on
@@ -94,7 +94,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> Classifier:
                 )
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("text", "__domain")
-    sums = rows.mapInArrow(count, "domain string, feature long, n long").groupBy("domain", "feature").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(released(count), "domain string, feature long, n long").groupBy("domain", "feature").agg(F.sum("n").alias("n"))
     got = sums.limit(MAX_DOMAINS * (2 * BUCKETS + 1) + 1).toArrow().to_pylist()
     domains = sorted({r["domain"] for r in got})
     if len(domains) > MAX_DOMAINS:
@@ -122,7 +122,7 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
                 n.append(words)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(p, pa.list_(pa.float64()))], ["doc_id", "n_tokens", "posterior"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, "doc_id long, n_tokens long, posterior array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(predict), "doc_id long, n_tokens long, posterior array<double>")
 
 
 def rates(p: np.ndarray, steps: list[np.ndarray], low: float, high: float, keep: int | None = None) -> np.ndarray:
@@ -293,4 +293,4 @@ def remixed(docs: DataFrame, labels: DataFrame, domain: Column, scratch: Scratch
             copies = _copies(rates(p, found.steps, found.low, found.high, found.keep), batch.column(len(batch.columns) - 1).to_numpy())
             yield batch.select(batch.schema.names[:-1]).filter(pa.array(copies > 0))
 
-    return rows.mapInArrow(thin, docs.schema)
+    return rows.mapInArrow(released(thin), docs.schema)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from salescope.llm.components import Forest, components
 from salescope.llm.scratch import Scratch
-from salescope.llm.words import mix, shingles, word_blocks
+from salescope.llm.words import mix, released, shingles, word_blocks
 from salescope.session import spread
 
 
@@ -347,7 +347,7 @@ def crowd_links(rest: DataFrame, features: DataFrame, texts: DataFrame, scratch:
 def duplicates(docs: DataFrame, scratch: Scratch, setting: Setting = QUERY) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable), kept."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = scratch.keep(texts.mapInArrow(_features(setting), "doc_id long, n_shingles long, fp1 long, fp2 long, keys binary, sig binary"))
+    feats = scratch.keep(texts.mapInArrow(released(_features(setting)), "doc_id long, n_shingles long, fp1 long, fp2 long, keys binary, sig binary"))
     same = ["fp1", "fp2", "n_shingles"]
     full = feats.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = scratch.keep(full.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").alias("node"), "keys", "sig")).alias("r")).select(*same, "r.*"))

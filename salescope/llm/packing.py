@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.llm.scratch import Scratch
+from salescope.llm.words import released
 
 CAPACITY = 2048
 GROUPS = 40
 SMALL = 8  # lengths up to this part of the capacity are small
 SALT_ROWS = 50_000  # pieces of one length that are ranked in one group, about
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_encoders: dict[tuple, Encoder] = {}
 # Texts of these characters are split alike by both libraries; special tokens are the tokenizer's own business.
 _OTHER = re.compile("[^\t\n\r -~\xa1-\u024f\u2010-\u2027\u2030-\u203a]|<\\|").search
 
@@ -67,12 +67,6 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def encoder(*files: str | None) -> Encoder:
-    if files not in _encoders:
-        _encoders[files] = Encoder(*files)
-    return _encoders[files]
-
-
 def pieces(docs: DataFrame, files: tuple[str | None, ...], capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every row of ``docs``; with ``ids`` also their ids, as bytes.
 
@@ -80,7 +74,7 @@ def pieces(docs: DataFrame, files: tuple[str | None, ...], capacity: int = CAPAC
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*files)
+        encode = Encoder(*files)  # for this task only: a worker that is kept would hold on to it
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * ids]
         for batch in batches:
             rows: list[tuple] = []
@@ -97,7 +91,7 @@ def pieces(docs: DataFrame, files: tuple[str | None, ...], capacity: int = CAPAC
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES + ", ids binary" * ids)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(cut), PIECES + ", ids binary" * ids)
 
 
 def best_configuration(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -7,7 +7,8 @@ goes in blocks of about ``BLOCK`` bytes, so memory doesn't follow the size of a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,23 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
 
 
+def released(run: Callable) -> Callable:
+    """``run`` over a task's batches; at its end the worker, which Spark keeps for other tasks, gives free memory back."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library: it keeps what it has
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit values."""
     x = x.astype(np.uint64)
