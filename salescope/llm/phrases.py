@@ -45,7 +45,7 @@ TOP = 2_000
 BLOCK = 1 << 22  # bytes of text in a block, about
 FILTER = 1 << 27  # bits of a bitmap
 CHUNK = 1 << 16  # bits of it that one group sets
-PHRASES = 1 << 20  # in a trie, about
+PHRASES = 1 << 19  # in a trie, about
 HELD = 1 << 21  # distinct pairs that a task merges before it sends them on
 PLACES = ["h1", "h2", "h3", "h4"]
 KEY = ["lang", "k", *PLACES]
@@ -236,21 +236,25 @@ def _placed(parent: np.ndarray, code: np.ndarray, nodes: int, codes: int) -> tup
     """
     base, place = np.zeros(nodes, np.int64), np.zeros(len(parent), np.int64)
     owners, begin, size = np.unique(parent, return_index=True, return_counts=True)
-    used, low = np.zeros(len(parent) + 2 * codes + 2, dtype=bool), 0
+    used, low, at, last = np.zeros(len(parent) + 2 * codes + 2, dtype=bool), 0, 0, 0
     for i in np.argsort(-size, kind="stable")[: int((size > 1).sum())].tolist():
         own = code[begin[i] : begin[i] + size[i]]
-        at, step = low, max(1, 65_536 // len(own))
+        # Bases rise, so a search goes on where the last one ended; nodes with few children also fill the gaps left before.
+        if len(own) != last and len(own) <= 8:
+            at = low
+        last = len(own)
+        step = 64
         while True:
             while at + step + codes + 1 > len(used):
                 used = np.concatenate([used, np.zeros(len(used), dtype=bool)])
             fits = ~used[np.arange(at, at + step)[:, None] + own].any(axis=1)
             if fits.any():
-                b = at + int(fits.argmax())
+                at += int(fits.argmax())
                 break
-            at += step
-        used[b + own] = True
-        place[begin[i] : begin[i] + size[i]] = b + own
-        base[owners[i]] = b
+            at, step = at + step, min(4 * step, max(64, 65_536 // len(own)))
+        used[at + own] = True
+        place[begin[i] : begin[i] + size[i]] = at + own
+        base[owners[i]] = at
         if i % 64 == 0:  # bases below the first gap can't fit any more
             low = max(0, int((~used).argmax()) - codes)
     single = begin[size == 1]
