@@ -14,6 +14,7 @@ from salescope.operators.modeling import Candidate, boosting, forest, linear
 from salescope.plans import jobs
 from salescope.plans.catalog import SALES, query, r, rounded, with_raw, with_sales
 from salescope.plans.queries_cleaning import FEATURE_COLUMNS_SQL, RATIO_SQL, REMOVAL, _sequential_sql
+from salescope.plans.queries_drift import HALF, halves
 from salescope.plans.queries_grouped import ROW_KEY, ROW_KEY_SQL
 from salescope.session import shared_folder
 from salescope.sources import readers, sinks
@@ -199,12 +200,8 @@ def quality_of_model(spark, sf):
     return jobs.quality_job(scored, "SALES", "PRICEEACH", "PRICEEACH * 1.05D", result.best.model_name)
 
 
-def _halves(spark, sf):
-    view = sales_view(spark, sf, [*SALES_SCHEMA.features, "SALES"])
-    return view.where("YEAR_ID < 1998").drop("YEAR_ID"), view.where("YEAR_ID >= 1998").drop("YEAR_ID")
-
-
 JOB_FEATURES = ["QUANTITYORDERED", "PRICEEACH", "MSRP", "MONTH_ID"]
+JOB_COLUMNS = [*(c for c in SALES_SCHEMA.features if c != "YEAR_ID"), "SALES"]
 
 
 @query(
@@ -212,7 +209,7 @@ JOB_FEATURES = ["QUANTITYORDERED", "PRICEEACH", "MSRP", "MONTH_ID"]
     with_sales(
         ", long AS ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, CASE WHEN YEAR_ID >= 1998 THEN 1 ELSE 0 END AS is_current FROM sales"
+            f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, CASE WHEN YEAR_ID > {HALF} THEN 1 ELSE 0 END AS is_current FROM sales"
             for c in JOB_FEATURES
         )
         + """), edges AS (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q
@@ -233,14 +230,14 @@ JOB_FEATURES = ["QUANTITYORDERED", "PRICEEACH", "MSRP", "MONTH_ID"]
     ),
 )
 def daily_drift_alert(spark, sf):
-    reference, current = _halves(spark, sf)
+    reference, current = halves(spark, sf, JOB_COLUMNS)
     reports = jobs.drift_job(reference, current, SALES_SCHEMA, "sales", numeric=JOB_FEATURES)
     return rounded(reports["drift_alert"].drop("generated_at"), drift_ratio=8)
 
 
 @query("m24_daily_schema_alert")
 def daily_schema_alert(spark, sf):
-    reference, current = _halves(spark, sf)
+    reference, current = halves(spark, sf, JOB_COLUMNS)
     changes = contracts.schema_changes(current.drop("SALES"), list(SALES_SCHEMA.features))
     return contracts.schema_alert(changes, "sales").drop("generated_at")
 
