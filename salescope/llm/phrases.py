@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.llm.scratch import Scratch
-from salescope.llm.words import _SPACE, hash_words, mix, text_blocks
+from salescope.llm.words import _SPACE, hash_words, mix, released, text_blocks
 
 LEAST = 30
 LONGEST = 4
@@ -47,6 +47,7 @@ FILTER = 1 << 27  # bits of a bitmap
 CHUNK = 1 << 16  # bits of it that one group sets
 PHRASES = 1 << 19  # in a trie, about
 HELD = 1 << 21  # distinct pairs that a task merges before it sends them on
+ROWS = 1 << 16  # in a batch that a task sends on, at most
 PLACES = ["h1", "h2", "h3", "h4"]
 KEY = ["lang", "k", *PLACES]
 PHRASE = "lang string, k int, h1 long, h2 long, h3 long, h4 long"
@@ -101,7 +102,7 @@ def encoded(docs: DataFrame, scratch: Scratch, size: int = BLOCK, hasher: Callab
     seed = 0
     while True:
         schema = "lang string, hashes array<long>, second array<long>, counts array<long>, words array<string>, tokens binary, clash boolean"
-        blocks = scratch.keep(texts.mapInArrow(partial(_blocks, seed, size, hasher), schema))
+        blocks = scratch.keep(texts.mapInArrow(released(partial(_blocks, seed, size, hasher)), schema))
         listed = blocks.select("lang", "clash", F.inline(F.arrays_zip(F.col("hashes").alias("h1"), F.col("second").alias("second"), F.col("counts").alias("n"))))
         words = scratch.keep(listed.groupBy("lang", "h1").agg(F.sum("n").alias("n"), F.min("second").alias("least"), F.max("second").alias("most"), F.bool_or("clash").alias("clash")))
         # Words of different languages never meet: a trie has a root for each.
@@ -132,7 +133,7 @@ def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_keys(words: DataFrame) -> DataFrame:
     """The key of every word (lang, h1)."""
-    return words.select("lang", "h1").mapInArrow(_word_keys, "key long")
+    return words.select("lang", "h1").mapInArrow(released(_word_keys), "key long")
 
 
 def _set_bits(table: pa.Table) -> pa.Table:
@@ -194,7 +195,10 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 def _pairs(words: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets of pairs of frequent words, with the sums of a task, or of a part of it that holds ``HELD`` buckets."""
     parts, held = [], 0
-    row = lambda keys, n: pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
+    def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(keys), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + ROWS].view(np.int64)), pa.array(n[i : i + ROWS])], ["key", "n"])
+
     for lang, hashes, tokens in _opened(batches):
         at = _pair_places(lang, hashes, tokens, words())
         first, _, n = _counted(tokens[at].astype(np.int64) * (len(hashes) + 1) + tokens[at + 1])
@@ -205,10 +209,10 @@ def _pairs(words: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -
             parts = [_merged(parts)]
             held = len(parts[0][0])
             if held > HELD:
-                yield row(*parts[0])
+                yield from rows(*parts[0])
                 parts, held = [], 0
     if parts:
-        yield row(*_merged(parts))
+        yield from rows(*_merged(parts))
 
 
 def _longer(words: Callable[[], np.ndarray], pairs: Callable[[], np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,18 +341,20 @@ class Trie:
 
     def found(self, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         """The phrases counted at least once, with their counts."""
-        nodes = np.flatnonzero(self.accepts & (counts > 0))
-        length, hashes, at = np.zeros(len(nodes), np.int32), np.zeros((len(nodes), LONGEST), np.int64), nodes.copy()
-        paths = []
-        while (inner := self.parent[at] >= 0).any():
-            paths.append(np.where(inner, self.code[at], 0))
-            length += inner
-            at = np.where(inner, self.parent[at], at)
-        for back, code in enumerate(paths):
-            rows = np.flatnonzero(code)
-            hashes[rows, length[rows] - 1 - back] = self.words[code[rows] - 1].view(np.int64)
-        langs = pa.array(self.langs, pa.string()).take(pa.array(at))
-        yield pa.RecordBatch.from_arrays([langs, pa.array(length), *[pa.array(np.ascontiguousarray(h)) for h in hashes.T], pa.array(counts[nodes])], [*KEY, "n"])
+        every = np.flatnonzero(self.accepts & (counts > 0))
+        for begin in range(0, len(every), ROWS):
+            nodes = every[begin : begin + ROWS]
+            length, hashes, at = np.zeros(len(nodes), np.int32), np.zeros((len(nodes), LONGEST), np.int64), nodes.copy()
+            paths = []
+            while (inner := self.parent[at] >= 0).any():
+                paths.append(np.where(inner, self.code[at], 0))
+                length += inner
+                at = np.where(inner, self.parent[at], at)
+            for back, code in enumerate(paths):
+                rows = np.flatnonzero(code)
+                hashes[rows, length[rows] - 1 - back] = self.words[code[rows] - 1].view(np.int64)
+            langs = pa.array(self.langs, pa.string()).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([langs, pa.array(length), *[pa.array(np.ascontiguousarray(h)) for h in hashes.T], pa.array(counts[nodes])], [*KEY, "n"])
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -374,7 +380,7 @@ class _Sent:
 
 
 def _summed(blocks: DataFrame, run, least: int) -> DataFrame:
-    rows = blocks.select("lang", "hashes", "tokens").mapInArrow(run, f"{PHRASE}, n long")
+    rows = blocks.select("lang", "hashes", "tokens").mapInArrow(released(run), f"{PHRASE}, n long")
     return rows.groupBy(*KEY).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
@@ -382,7 +388,7 @@ def candidates(blocks: DataFrame, words: DataFrame, scratch: Scratch, least: int
     """Phrases of two words and more whose parts and sums allow the least count."""
     spark = blocks.sparkSession
     common = _Sent(spark, bitmap(word_keys(words.filter(F.col("n") >= least))))
-    buckets = blocks.select("lang", "hashes", "tokens").mapInArrow(partial(_pairs, common), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    buckets = blocks.select("lang", "hashes", "tokens").mapInArrow(released(partial(_pairs, common)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     pairs = _Sent(spark, bitmap(buckets.filter(F.col("n") >= least)))
     found = scratch.keep(_summed(blocks, partial(_longer, common, pairs), least).drop("n"))
     common.sent.unpersist()
@@ -464,7 +470,7 @@ def spelled(phrases: DataFrame, blocks: DataFrame) -> DataFrame:
     parts = phrases.select(*KEY, F.posexplode(F.slice(F.array(*PLACES), 1, F.col("k"))).alias("place", "h"))
     own = parts.select("lang", F.col("h").alias("h1")).distinct()
     needed = _Sent(blocks.sparkSession, bitmap(word_keys(own)))
-    words = blocks.select("lang", "hashes", "words").mapInArrow(partial(_spelled, needed), "lang string, h1 long, word string").distinct()
+    words = blocks.select("lang", "hashes", "words").mapInArrow(released(partial(_spelled, needed)), "lang string, h1 long, word string").distinct()
     whole = parts.join(words.withColumnRenamed("h1", "h"), ["lang", "h"])
     return whole.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w")).select(*KEY, F.array_join("w.word", " ").alias("phrase"))
 
