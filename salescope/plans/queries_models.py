@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
 from salescope.functions.scalar import finite
@@ -576,3 +577,37 @@ def stream_intervals(spark, sf):
     return found.groupBy("features.PRODUCTLINE", "interval_method").agg(F.count(F.lit(1)).alias("n"), inside.alias("with_interval")).select(
         "PRODUCTLINE", "n", "with_interval", "interval_method"
     )
+
+
+@query(
+    "r01_stream_three_logs",
+    with_raw(
+        """, seen AS (SELECT DEALSIZE, CAST(QUANTITYORDERED AS INT) * MSRP AS prediction,
+            QUANTITY_TEXT = 'n/a' OR MSRP IS NULL OR PRODUCTLINE IS NULL AS rejected FROM raw)
+        SELECT DEALSIZE, count(*) FILTER (NOT rejected) AS predicted, count(*) FILTER (rejected) AS rejected, count(*) FILTER (NOT rejected) AS compared,
+          round(sum(prediction) FILTER (NOT rejected), 2) AS prediction, round(sum(prediction - 100) FILTER (NOT rejected), 2) AS p10,
+          round(sum(prediction * 0.25) FILTER (NOT rejected), 2) AS delta FROM seen GROUP BY 1"""
+    ),
+)
+def stream_three_logs(spark, sf):
+    """Arriving raw records read once for three logs, by deal size. Models are formulas, so that SQL can state every number."""
+    schema = FeatureSchema(("QUANTITYORDERED", "MSRP"), ("PRODUCTLINE", "DEALSIZE"), "SALES")
+    formula = lambda f: PipelineModel([SQLTransformer(statement=f"SELECT *, {f} AS prediction FROM __THIS__")])
+    raw = raw_sales(spark, sf, ["QUANTITY_TEXT", "MSRP", "PRODUCTLINE", "DEALSIZE"]).withColumnRenamed("QUANTITY_TEXT", "QUANTITYORDERED")
+    feed, root = new_folder(spark, "feed"), new_folder(spark, "logs")
+    raw.write.parquet(feed)
+    records = spark.readStream.schema(raw.schema).parquet(feed)
+    primary, shadow = formula("QUANTITYORDERED * MSRP"), formula("QUANTITYORDERED * MSRP * 1.25D")
+    stream_scoring.write_logs(records, primary, schema, root, new_folder(spark, "logs-checkpoint"), shadow, 100.0, available_now=True).awaitTermination()
+    logs = None
+    for log, size, numbers in (
+        ("predicted", "features.DEALSIZE", ("prediction", "p10", "NULL")),
+        ("rejected", "DEALSIZE", ("NULL", "NULL", "NULL")),
+        ("compared", "features.DEALSIZE", ("NULL", "NULL", "prediction_delta")),
+    ):
+        folder = {"predicted": stream_scoring.PREDICTIONS, "rejected": stream_scoring.REJECTS, "compared": stream_scoring.COMPARED}[log]
+        values = [F.expr(f"CAST({e} AS DOUBLE)").alias(c) for e, c in zip(numbers, ("prediction", "p10", "delta"))]
+        rows = spark.read.parquet(f"{root}/{folder}").select(F.lit(log).alias("log"), F.expr(size).alias("DEALSIZE"), *values)
+        logs = rows if logs is None else logs.union(rows)
+    counts = [F.count_if(F.col("log") == c).alias(c) for c in ("predicted", "rejected", "compared")]
+    return logs.groupBy("DEALSIZE").agg(*counts, *[r(F.sum(c), 2).alias(c) for c in ("prediction", "p10", "delta")])

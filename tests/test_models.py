@@ -11,7 +11,7 @@ from salescope.operators import explain, modeling, scoring
 from salescope.operators.contracts import FeatureSchema
 from salescope.operators.modeling import Candidate, boosting, forest, linear
 from salescope.sources import sinks
-from salescope.streaming.scoring import score_stream, write_scored
+from salescope.streaming.scoring import compare_batch, log_batch, score_stream, write_logs, write_scored
 
 SCHEMA = FeatureSchema(("x1", "x2"), ("cat",), "y")
 
@@ -182,3 +182,61 @@ def test_stream_equals_batch(spark, rows, fitted, tmp_path):
     want = scoring.score(rows, model, SCHEMA)[0].agg(F.sum("prediction")).first()[0]
     assert log.agg(F.sum("primary_prediction")).first()[0] == pytest.approx(want)
     assert log.where("abs(prediction_delta - (shadow_prediction - primary_prediction)) > 1e-9").count() == 0
+
+
+class _Broken:
+    def transform(self, df):
+        raise RuntimeError("no shadow today\nsecond line")
+
+
+def test_one_read_three_logs_and_a_batch_that_runs_again(spark, rows, fitted, tmp_path):
+    model, _ = fitted
+    other = modeling.train(rows, SCHEMA, SMALL[:1], "baseline").pipeline
+    feed, root, ck = str(tmp_path / "feed"), str(tmp_path / "logs"), tmp_path / "ck"
+    bad = spark.createDataFrame([(None, 1.0, "a"), (None, 2.0, None)], "x1 double, x2 double, cat string")
+    rows.select("x1", "x2", "cat").unionByName(bad).repartition(3).write.json(feed)
+    run = lambda: write_logs(
+        spark.readStream.schema("x1 double, x2 double, cat string").option("maxFilesPerTrigger", 1).json(feed), model, SCHEMA, root, str(ck), other, 1.5,
+        available_now=True,
+    ).awaitTermination()
+
+    def check():
+        predictions, log = spark.read.parquet(f"{root}/predictions"), spark.read.parquet(f"{root}/compared")
+        assert predictions.select("batch_id").distinct().count() == 3
+        assert (predictions.count(), log.count()) == (600, 600)
+        assert sorted(tuple(r["reasons"]) for r in spark.read.parquet(f"{root}/rejects").collect()) == [("x1",), ("x1", "cat")]
+        want = scoring.score(rows, model, SCHEMA)[0].agg(F.sum("prediction")).first()[0]
+        assert predictions.agg(F.sum("prediction")).first()[0] == pytest.approx(want)
+        assert log.agg(F.sum("primary_prediction")).first()[0] == pytest.approx(want)
+        want = scoring.score(rows, other, SCHEMA)[0].agg(F.sum("prediction")).first()[0]
+        assert log.agg(F.sum("shadow_prediction")).first()[0] == pytest.approx(want)
+        assert predictions.where("abs(p10 - prediction + 1.5) > 1e-9 OR interval_method <> 'conformal_intervals'").count() == 0
+        state = spark.read.parquet(f"{root}/batches").agg(*[F.sum(c) for c in ("records", "predicted", "rejected", "compared")], F.count("shadow_error")).first()
+        assert tuple(state) == (602, 600, 2, 600, 0)
+
+    run()
+    check()
+    # The run is taken back before its last commit: the batch runs again and overwrites its folders.
+    for name in ("2", ".2.crc"):
+        (ck / "commits" / name).unlink(missing_ok=True)
+    run()
+    check()
+
+
+def test_a_failing_shadow_leaves_predictions(spark, rows, fitted, tmp_path):
+    model, _ = fitted
+    root, batch = str(tmp_path / "logs"), rows.select("x1", "x2", "cat")
+    log_batch(batch, 7, model, _Broken(), SCHEMA, root, residual=(-1.0, 1.0))
+    state = spark.read.parquet(f"{root}/batches").first()
+    assert (state["records"], state["predicted"], state["compared"], state["shadow_error"]) == (600, 600, None, "no shadow today")
+    assert spark.read.parquet(f"{root}/predictions").where("interval_method = 'residual_quantiles'").count() == 600
+    compare_batch(spark, root, 7, model, SCHEMA)  # later, from the predictions
+    assert spark.read.parquet(f"{root}/compared").where("prediction_delta = 0").count() == 600
+
+
+def test_logs_of_an_empty_batch(spark, rows, fitted, tmp_path):
+    model, _ = fitted
+    root = str(tmp_path / "logs")
+    log_batch(rows.select("x1", "x2", "cat").limit(0), 0, model, model, SCHEMA, root)
+    state = spark.read.parquet(f"{root}/batches").first()
+    assert (state["records"], state["predicted"], state["rejected"], state["compared"], state["shadow_error"]) == (0, 0, 0, 0, None)
