@@ -9,7 +9,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
 from salescope.functions.scalar import finite
-from salescope.operators import cleaning, contracts, drift, evaluation, explain, modeling, profiling, scoring
+from salescope.operators import artifact, cleaning, contracts, drift, evaluation, explain, modeling, profiling, scoring
 from salescope.operators.contracts import SALES_SCHEMA, FeatureSchema
 from salescope.operators.modeling import Candidate, boosting, forest, linear
 from salescope.plans import jobs
@@ -488,6 +488,32 @@ def model_round_trip(spark, sf):
     return pair.agg(F.max(F.abs("prediction_delta")).alias("max_gap"), F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "a17_saved_raw_scorer",
+    with_raw(
+        """, med AS (SELECT median(try_cast(QUANTITY_TEXT AS DOUBLE)) AS q, median(MSRP) AS m, median(PRICEEACH / nullif(MSRP, 0)) AS share FROM raw),
+        filled AS (SELECT DEALSIZE, coalesce(try_cast(QUANTITY_TEXT AS DOUBLE), q) AS q, coalesce(MSRP, m) AS m,
+            coalesce(PRICEEACH / nullif(MSRP, 0), share) AS share, coalesce(PRODUCTLINE, 'Unknown') AS line FROM raw, med),
+        scored AS (SELECT DEALSIZE, q * m * share + CASE WHEN line = 'Unknown' THEN 10 ELSE 0 END AS prediction FROM filled)
+        SELECT DEALSIZE, 'conformal_intervals' AS interval_method, count(*) AS n, round(sum(prediction), 1) AS prediction,
+          round(sum(prediction - 50), 1) AS p10, round(sum(prediction + 50), 1) AS p90 FROM scored GROUP BY 1"""
+    ),
+)
+def saved_raw_scorer(spark, sf):
+    """Raw rows scored by one loaded pipeline: numbers as text, missing values, a ratio, a formula model, intervals."""
+    schema = FeatureSchema(("QUANTITYORDERED", "MSRP", "PRICE_SHARE"), ("PRODUCTLINE", "DEALSIZE"), "SALES")
+    derived = {"PRICE_SHARE": "try_divide(PRICEEACH, MSRP)"}
+    raw = raw_sales(spark, sf, ["QUANTITY_TEXT", "PRICEEACH", "MSRP", "PRODUCTLINE", "DEALSIZE"]).withColumnRenamed("QUANTITY_TEXT", "QUANTITYORDERED")
+    formula = "QUANTITYORDERED * MSRP * PRICE_SHARE + IF(PRODUCTLINE = 'Unknown', 10D, 0D)"
+    model = PipelineModel([SQLTransformer(statement=f"SELECT *, {formula} AS prediction FROM __THIS__")])
+    whole = artifact.scoring_pipeline(model, schema, artifact.training_medians(raw, schema, derived), 50.0, derived=derived)
+    path = new_folder(spark, "raw-scorer")
+    whole.write().overwrite().save(path)
+    scored = PipelineModel.load(path).transform(raw)
+    sums = [r(F.sum(c), 1).alias(c) for c in ("prediction", "p10", "p90")]
+    return scored.groupBy("DEALSIZE", "interval_method").agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
 # --- streams ---------------------------------------------------------------------------
 
 

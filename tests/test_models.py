@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salescope.operators import explain, modeling, scoring
-from salescope.operators.contracts import FeatureSchema
+from salescope.operators import artifact, explain, modeling, scoring
+from salescope.operators.contracts import ContractError, FeatureSchema
 from salescope.operators.modeling import Candidate, boosting, forest, linear
 from salescope.sources import sinks
 from salescope.streaming.scoring import compare_batch, log_batch, score_stream, write_logs, write_scored
@@ -240,3 +240,33 @@ def test_logs_of_an_empty_batch(spark, rows, fitted, tmp_path):
     log_batch(rows.select("x1", "x2", "cat").limit(0), 0, model, model, SCHEMA, root)
     state = spark.read.parquet(f"{root}/batches").first()
     assert (state["records"], state["predicted"], state["rejected"], state["compared"], state["shadow_error"]) == (0, 0, 0, 0, None)
+
+
+@pytest.mark.parametrize("intervals", [{"q_hat": 1.5}, {"q_hat": math.nan, "residual": (3.0, -2.0)}, {"residual": (math.nan, 1.0)}, {"q_hat": -1.0}])
+def test_a_saved_pipeline_scores_raw_rows(spark, rows, fitted, tmp_path, intervals):
+    model, _ = fitted
+    train = rows.where("split = 'train'")
+    medians = artifact.training_medians(train, SCHEMA)
+    assert medians == {c: pytest.approx(np.median([r[c] for r in train.collect()])) for c in SCHEMA.numeric}
+    artifact.scoring_pipeline(model, SCHEMA, medians, **intervals).write().overwrite().save(str(tmp_path / "m"))
+    raw = spark.createDataFrame(
+        [(1, "0.5", 1.0, "a", "kept"), (2, "n/a", None, "b", None), (3, None, float("nan"), None, "x"), (4, "1e999", 2.0, "new", "y")],
+        "id long, x1 string, x2 double, cat string, `odd name` string",
+    )
+    clean = spark.createDataFrame(
+        [(1, 0.5, 1.0, "a"), (2, medians["x1"], medians["x2"], "b"), (3, medians["x1"], medians["x2"], "Unknown"), (4, medians["x1"], 2.0, "new")],
+        "id long, x1 double, x2 double, cat string",
+    )
+    got = type(model).load(str(tmp_path / "m")).transform(raw)
+    assert got.columns == ["id", "odd name", "x1", "x2", "cat", "prediction", "p10", "p90", "interval_method"]
+    known = {k: v for k, v in intervals.items() if k == "q_hat" or not any(map(math.isnan, v))}  # a NaN residual gives no interval
+    want = scoring.interval_cascade(model.transform(clean), **known).select("id", "prediction", "p10", "p90", "interval_method")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_saved_pipeline_needs_its_columns_and_medians(spark, fitted):
+    with pytest.raises(ContractError):
+        artifact.scoring_pipeline(fitted[0], SCHEMA, {"x1": 1.0})
+    whole = artifact.scoring_pipeline(fitted[0], SCHEMA, {"x1": 1.0, "x2": 2.0})
+    with pytest.raises(Exception, match="x2"):
+        whole.transform(spark.createDataFrame([("a", 1.0)], "cat string, x1 double"))
