@@ -608,11 +608,11 @@ def stream_intervals(spark, sf):
 @query(
     "r01_stream_three_logs",
     with_raw(
-        """, seen AS (SELECT DEALSIZE, CAST(QUANTITYORDERED AS INT) * MSRP AS prediction,
+        """, seen AS (SELECT DEALSIZE, CAST(QUANTITYORDERED AS INT) * MSRP AS prediction, QUANTITYORDERED AS quantity,
             QUANTITY_TEXT = 'n/a' OR MSRP IS NULL OR PRODUCTLINE IS NULL AS rejected FROM raw)
         SELECT DEALSIZE, count(*) FILTER (NOT rejected) AS predicted, count(*) FILTER (rejected) AS rejected, count(*) FILTER (NOT rejected) AS compared,
           round(sum(prediction) FILTER (NOT rejected), 2) AS prediction, round(sum(prediction - 100) FILTER (NOT rejected), 2) AS p10,
-          round(sum(prediction * 0.25) FILTER (NOT rejected), 2) AS delta FROM seen GROUP BY 1"""
+          round(sum(quantity) FILTER (NOT rejected), 2) AS delta FROM seen GROUP BY 1"""
     ),
 )
 def stream_three_logs(spark, sf):
@@ -623,7 +623,7 @@ def stream_three_logs(spark, sf):
     feed, root = new_folder(spark, "feed"), new_folder(spark, "logs")
     raw.write.parquet(feed)
     records = spark.readStream.schema(raw.schema).parquet(feed)
-    primary, shadow = formula("QUANTITYORDERED * MSRP"), formula("QUANTITYORDERED * MSRP * 1.25D")
+    primary, shadow = formula("QUANTITYORDERED * MSRP"), formula("QUANTITYORDERED * (MSRP + 1)")
     stream_scoring.write_logs(records, primary, schema, root, new_folder(spark, "logs-checkpoint"), shadow, 100.0, available_now=True).awaitTermination()
     logs = None
     for log, size, numbers in (
