@@ -117,9 +117,10 @@ def test_shap_equals_brute_force(fitted, rows):
     model, ensemble = fitted
     scored = model.transform(rows.limit(6)).collect()
     x = np.array([r["features"].toArray() for r in scored])
-    phi, base = explain.shap_values(explain.leaf_paths(ensemble), x)
+    trees = ensemble.block(range(8))
+    phi, base = explain.shap_values(trees, x)
     for row, got in zip(x, phi):
-        want, want_base = brute_force_shap(ensemble, row)
+        want, want_base = brute_force_shap(trees, row)
         assert np.allclose(got, want, atol=1e-9) and base == pytest.approx(want_base)
 
 
@@ -143,11 +144,35 @@ def test_contributions_add_up(spark, rows, fitted, which):
 def test_member_quantiles(spark, rows, fitted):
     model, ensemble = fitted
     row = explain.member_intervals(model.transform(rows), ensemble).select("features", "prediction", "ensemble").first()
-    members = explain.member_values(ensemble, row["features"].toArray()[None, :])[0]
+    members = explain.member_values(ensemble.block(range(8)), row["features"].toArray()[None, :])[0]
     assert members.mean() == pytest.approx(row["prediction"])
     assert (row["ensemble"]["lower"], row["ensemble"]["upper"]) == pytest.approx(tuple(np.quantile(members, [0.1, 0.9])))
 
 
+def test_blocks_of_trees_change_nothing(spark, rows, fitted):
+    model, whole = fitted
+    cut = explain.ensemble_of(spark, model)
+    cut = explain.Trees(cut.nodes, cut.weights, [[0, 1, 2], [3], [4, 5, 6, 7]], cut.is_forest)
+    scored = model.transform(rows).select("id", "prediction", "features")
+    explained = [explain.explain_rows(scored, m, SCHEMA, ["id"]).orderBy("id").toPandas() for m in (whole, cut)]
+    assert explained[0]["id"].tolist() == explained[1]["id"].tolist()
+    values = [np.array([[r[f] for f in SCHEMA.features] for r in e["contributions"]]) for e in explained]
+    assert np.allclose(*values, atol=1e-9) and np.allclose(explained[0]["base_value"], explained[1]["base_value"])
+    ends = [explain.member_intervals(scored, m).select("id", "ensemble.*").orderBy("id").toPandas() for m in (whole, cut)]
+    assert np.allclose(ends[0].to_numpy(), ends[1].to_numpy(), atol=1e-9)
+    assert explain.explain_rows(scored.limit(0), cut, SCHEMA, ["id"]).count() == 0
+
+
+def test_full_forest_is_explained(spark, rows):
+    """The default forest: 180 trees, depth 30."""
+    model = modeling.train(rows, SCHEMA, [Candidate("forest", forest)], "baseline").pipeline
+    trees = explain.ensemble_of(spark, model)
+    assert len(trees.weights) == 180
+    out = explain.explain_rows(model.transform(rows.limit(40)), trees, SCHEMA)
+    gap = F.abs(F.col("prediction") - F.col("base_value") - F.expr("aggregate(map_values(contributions), 0D, (a, b) -> a + b)"))
+    assert out.agg(F.max(gap)).first()[0] < 1e-9
+
+
 def test_interval_branches(spark):
     df = spark.createDataFrame([(10.0,)], "prediction double")
     get = lambda **k: scoring.interval_cascade(df, **k).first().asDict()
