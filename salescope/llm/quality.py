@@ -2,7 +2,8 @@
 
 Base rules hold everywhere: too few words, or more than half of the words inside repeated three-word
 windows.  Beyond them, each of a few rates is compared with bounds learned from all documents of the
-same language and source.  The bounds come from quantile sketches: counts in buckets whose width
+same language and source: the median and its distance from a quantile of the tail and one bucket more, which the sketch
+leaves open, times a factor.  Nothing is fixed in units of a rate.  The quantiles come from sketches: counts in buckets whose width
 is a fixed share of the value, so that sketches of any parts merge by addition, whatever the order.
 A group with few documents uses the sketch of its language, and a small language that of everything,
 which are sums of the same buckets.  The documents are then joined with the bounds of their group.
@@ -29,15 +30,14 @@ SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 200
-# A rate is out of bounds when it is further from the median than REACH times the distance of the
-# nearer quartile, or than a floor below which a difference says nothing about quality.
-REACH = 8
-RATES = {  # name: (expression in whole numbers, floor of the distance, bounded below, bounded above)
-    "word_length": ("word_chars * 1000 div nullif(n_words, 0)", 1_000, True, True),
-    "symbols": ("n_symbols * 10000 div nullif(n_words, 0)", 300, False, True),
-    "dup_lines": ("n_dup_lines * 10000 div nullif(n_lines, 0)", 4_500, False, True),
-    "repeats": ("n_repeat_words * 10000 div nullif(n_words, 0)", 3_500, False, True),
+# Lengths spread on both sides, so quartiles tell their width; the other rates are 0 in most texts and need a tail.
+RATES = {  # name: (expression in whole numbers, (percentile below, factor) or None, (percentile above, factor))
+    "word_length": ("word_chars * 1000 div nullif(n_words, 0)", (25, 8), (75, 8)),
+    "symbols": ("n_symbols * 10000 div nullif(n_words, 0)", None, (90, 2)),
+    "dup_lines": ("n_dup_lines * 10000 div nullif(n_lines, 0)", None, (99, 2)),
+    "repeats": ("n_repeat_words * 10000 div nullif(n_words, 0)", None, (99, 2)),
 }
+PERCENTILES = (25, 50, 75, 90, 99)
 
 
 def _repeated(h: np.ndarray) -> int:
@@ -109,11 +109,11 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def _quantiles(counts: DataFrame, by: list[str]) -> DataFrame:
-    """The quartiles of every rate; ``counts`` has a row for each bucket, of which a group has few hundred."""
+    """The percentiles of every rate; ``counts`` has a row for each bucket, of which a group has few hundred."""
     group = Window.partitionBy(*by, "rate")
     upto = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = counts.groupBy(*by, "rate", "bucket").agg(F.sum("n").alias("n")).select(*by, "rate", "bucket", upto.alias("upto"), F.sum("n").over(group).alias("size"))
-    at = [F.min(F.when(F.col("upto") * 100 >= F.col("size") * p, F.col("bucket"))).alias(f"p{p}") for p in (25, 50, 75)]
+    at = [F.min(F.when(F.col("upto") * 100 >= F.col("size") * p, F.col("bucket"))).alias(f"p{p}") for p in PERCENTILES]
     return ranked.groupBy(*by, "rate").agg(F.max("size").alias("size"), *at)
 
 
@@ -122,7 +122,7 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     levels = [("lang", "source"), ("lang",), ()]
     groups = counts.select("lang", "source", "rate").distinct()
     for depth, level in enumerate(levels):
-        q = _quantiles(counts, list(level)).select(*[F.col(c).alias(f"__{c}") for c in level], F.col("rate").alias("__rate"), F.struct("size", "p25", "p50", "p75").alias(f"q{depth}"))
+        q = _quantiles(counts, list(level)).select(*[F.col(c).alias(f"__{c}") for c in level], F.col("rate").alias("__rate"), F.struct("size", *[f"p{p}" for p in PERCENTILES]).alias(f"q{depth}"))
         same = F.col("rate") == F.col("__rate")
         for c in level:
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
@@ -131,11 +131,13 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     q = F.when(big(0), F.col("q0")).when(big(1), F.col("q1")).otherwise(F.col("q2"))
     groups = groups.select("lang", "source", "rate", q.alias("q"))
     out = []
-    for rate, (_, floor, below, above) in RATES.items():
-        here = F.col("rate") == rate
-        low = F.col("q.p50") - F.greatest(REACH * (F.col("q.p50") - F.col("q.p25")), F.lit(floor))
-        high = F.col("q.p50") + F.greatest(REACH * (F.col("q.p75") - F.col("q.p50")), F.lit(floor))
-        out += [F.max(F.when(here, low)).alias(f"low_{rate}")] * below + [F.max(F.when(here, high)).alias(f"high_{rate}")] * above
+    middle = F.col("q.p50")
+    for rate, (_, *ends) in RATES.items():
+        for name, end in zip(("low", "high"), ends):
+            if end:
+                tail, factor = F.col(f"q.p{end[0]}"), end[1]
+                bucket_width = F.call_function("shiftright", tail, F.lit(6)) * (-1 if name == "low" else 1)
+                out.append(F.max(F.when(F.col("rate") == rate, middle + factor * (tail - middle + bucket_width))).alias(f"{name}_{rate}"))
     return groups.groupBy("lang", "source").agg(*out)
 
 
@@ -148,11 +150,10 @@ def verdicts(docs: DataFrame, scratch: Scratch, min_group: int = MIN_GROUP) -> D
     joined = measured.join(bounds, same, "left").drop("__lang", "__source")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     fine = F.lit(True)
-    for rate, (e, _, below, above) in RATES.items():
+    for rate, (e, below, _) in RATES.items():
         if below:
             fine = fine & (F.expr(e) >= F.col(f"low_{rate}"))
-        if above:
-            fine = fine & (F.expr(e) <= F.col(f"high_{rate}"))
+        fine = fine & (F.expr(e) <= F.col(f"high_{rate}"))
     limits = [c for c in joined.columns if c.startswith(("low_", "high_"))]
     return joined.withColumn("base_failed", base).select(
         "doc_id", *MEASURES, "base_failed", (~F.col("base_failed") & F.coalesce(fine, F.lit(False))).alias("kept"), "lang", "source", *limits

@@ -31,11 +31,11 @@ SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256
 """
 
 
-def _quartiles(by: str, depth: int) -> str:
+def _percentiles(by: str, depth: int) -> str:
     keys = f"{by}, " if by else ""
     return f"""q{depth} AS (
   SELECT {keys}rate, any_value(size) AS size, min(bucket) FILTER (upto * 100 >= size * 25) AS p25, min(bucket) FILTER (upto * 100 >= size * 50) AS p50,
-    min(bucket) FILTER (upto * 100 >= size * 75) AS p75
+    min(bucket) FILTER (upto * 100 >= size * 75) AS p75, min(bucket) FILTER (upto * 100 >= size * 90) AS p90, min(bucket) FILTER (upto * 100 >= size * 99) AS p99
   FROM (SELECT {keys}rate, bucket, sum(n) OVER (PARTITION BY {keys}rate ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}rate) AS size
     FROM (SELECT {keys}rate, bucket, count(*) AS n FROM rates GROUP BY ALL)) GROUP BY {keys}rate)"""
 
@@ -58,15 +58,15 @@ m AS (
 rates AS (
   SELECT lang, source, rate, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS bucket
   FROM (UNPIVOT r ON word_length, symbols, dup_lines, repeats INTO NAME rate VALUE v) WHERE n_words > 0
-), {_quartiles("lang, source", 0)}, {_quartiles("lang", 1)}, {_quartiles("", 2)},
+), {_percentiles("lang, source", 0)}, {_percentiles("lang", 1)}, {_percentiles("", 2)},
 q AS (
-  SELECT q0.lang, q0.source, q0.rate, CASE WHEN q0.size >= 200 THEN q0 WHEN q1.size >= 200 THEN {{'size': q1.size, 'p25': q1.p25, 'p50': q1.p50, 'p75': q1.p75}}
-    ELSE {{'size': q2.size, 'p25': q2.p25, 'p50': q2.p50, 'p75': q2.p75}} END AS q
-  FROM (SELECT lang, source, rate, {{'size': size, 'p25': p25, 'p50': p50, 'p75': p75}} AS q0, size FROM q0) q0
+  SELECT q0.lang, q0.source, q0.rate, CASE WHEN q0.size >= 200 THEN q0 WHEN q1.size >= 200 THEN {{'size': q1.size, 'p25': q1.p25, 'p50': q1.p50, 'p75': q1.p75, 'p90': q1.p90, 'p99': q1.p99}}
+    ELSE {{'size': q2.size, 'p25': q2.p25, 'p50': q2.p50, 'p75': q2.p75, 'p90': q2.p90, 'p99': q2.p99}} END AS q
+  FROM (SELECT lang, source, rate, {{'size': size, 'p25': p25, 'p50': p50, 'p75': p75, 'p90': p90, 'p99': p99}} AS q0, size FROM q0) q0
   LEFT JOIN q1 ON q1.rate = q0.rate AND q1.lang IS NOT DISTINCT FROM q0.lang LEFT JOIN q2 ON q2.rate = q0.rate
 ), ends AS (
-  SELECT *, q.p50 - greatest(8 * (q.p50 - q.p25), floor) AS low, q.p50 + greatest(8 * (q.p75 - q.p50), floor) AS high
-  FROM q JOIN (VALUES ('word_length', 1000), ('symbols', 300), ('dup_lines', 4500), ('repeats', 3500)) f(rate, floor) USING (rate)
+  SELECT *, q.p50 - 8 * (q.p50 - q.p25 + (q.p25 >> 6)) AS low, q.p50 + factor * (tail - q.p50 + (tail >> 6)) AS high
+  FROM (SELECT *, CASE rate WHEN 'word_length' THEN 8 ELSE 2 END AS factor, CASE rate WHEN 'word_length' THEN q.p75 WHEN 'symbols' THEN q.p90 ELSE q.p99 END AS tail FROM q)
 ), bounds AS (
   SELECT lang, source, max(low) FILTER (rate = 'word_length') AS low_word_length, max(high) FILTER (rate = 'word_length') AS high_word_length,
     max(high) FILTER (rate = 'symbols') AS high_symbols, max(high) FILTER (rate = 'dup_lines') AS high_dup_lines, max(high) FILTER (rate = 'repeats') AS high_repeats

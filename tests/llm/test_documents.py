@@ -205,6 +205,28 @@ def test_quality_bounds(spark):
     assert not got[900].kept and got[901].kept and all(got[i].kept for i in range(400))
 
 
+def test_quality_bounds_of_every_rate(spark):
+    """Groups built to differ in a rate get different bounds for it, and nothing but their quantiles sets them."""
+    rng, rows = np.random.default_rng(3), []
+    for i in range(600):
+        b = i % 2
+        words = [f"{'abcdefgh' if b else 'ab'}{k}" for k in rng.integers(0, 10**4, 70)]
+        words[:3] = words[10:13] = words[20:23] if b else words[:3]
+        words[5] = "#" * (1 + i % 7) * (1 + b)
+        lines = [" ".join(words[k : k + 7]) for k in range(0, 70, 7)] + ["same line"] * (1 + i % 3 + 4 * b)
+        rows.append((i, "\n".join(lines), "en", "b" if b else "a"))
+    got = quality.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), Scratch(spark, "t"), 100).collect()
+    bounds = {r.source: {k: v for k, v in r.asDict().items() if k.startswith(("low_", "high_"))} for r in got}
+    assert all(bounds["a"][k] < bounds["b"][k] for k in bounds["a"])
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        rates = sorted(r.n_symbols * 10_000 // r.n_words for r in mine)
+        rank = lambda p: int(rates[-(-len(rates) * p // 100) - 1])
+        low = lambda v: v >> max(v.bit_length() - 7, 0) << max(v.bit_length() - 7, 0)
+        middle, tail = low(rank(50)), low(rank(90))
+        assert bounds[source]["high_symbols"] == middle + 2 * (tail - middle + (tail >> 6))
+
+
 def test_sketch_buckets(spark):
     values = [0, 1, 63, 64, 65, 127, 128, 129, 1000, 12345, 10**12]
     got = spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.bucket(F.col("v")).alias("b")).collect()
