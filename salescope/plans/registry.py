@@ -4,6 +4,7 @@ from salescope.plans import (  # noqa: F401
     queries_cleaning,
     queries_drift,
     queries_extra,
+    queries_files,
     queries_grouped,
     queries_models,
     queries_profile,
