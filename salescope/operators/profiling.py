@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,11 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[finite(F.col(c)).alias(c) for c in columns])
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson's correlation; NULL where a column is constant, where ``corr`` divides by zero under ANSI rules."""
+    return F.signum(F.covar_pop(a, b)) * F.sqrt(F.regr_r2(a, b))
+
+
 def _basic(numbers: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One pass: counts, missing share, moments and range per column."""
     parts = [
@@ -210,7 +217,7 @@ def distribution_log(reference: DataFrame, current: DataFrame, features: Sequenc
 def target_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Pearson correlation with the target over complete pairs; undefined ones left out."""
     d = _numbers(df, list(dict.fromkeys([*features, target])))
-    wide = d.agg(*[F.corr(f, target).alias(f"c_{i}") for i, f in enumerate(features)])
+    wide = d.agg(*[_corr(f, target).alias(f"c_{i}") for i, f in enumerate(features)])
     rows = [F.struct(F.lit(f).alias("feature"), F.col(f"c_{i}").alias("correlation")) for i, f in enumerate(features)]
     return wide.select(F.inline(F.array(*rows))).where(finite(F.col("correlation")).isNotNull())
 
@@ -219,14 +226,20 @@ def sorted_correlations(df: DataFrame, features: Sequence[str], target: str) ->
     return target_correlations(df, features, target).orderBy(F.desc(F.abs("correlation")), "feature")
 
 
+PAIR_LIMIT = 2_000  # pairs that are one aggregate each; wider tables go by blocks
+BLOCK_COLUMNS = 256
+
+
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Long matrix ``feature_a, feature_b, correlation``; undefined entries are 0.
 
-    One pass, each pair once.
+    One pass, each pair once; many columns by ``gram_correlations``.
     """
+    if len(features) * (len(features) + 1) // 2 > PAIR_LIMIT:
+        return gram_correlations(df, features)
     d = _numbers(df, features)
     pairs = [*combinations(range(len(features)), 2), *[(i, i) for i in range(len(features))]]
-    wide = d.agg(*[F.corr(features[i], features[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    wide = d.agg(*[_corr(features[i], features[j]).alias(f"c_{i}_{j}") for i, j in pairs])
     rows = []
     for i, j in pairs:
         value = F.coalesce(finite(F.col(f"c_{i}_{j}")), F.lit(0.0)).alias("correlation")
@@ -235,8 +248,58 @@ def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def gram_correlations(df: DataFrame, features: Sequence[str], block: int = BLOCK_COLUMNS) -> DataFrame:
+    """``correlation_matrix`` of many columns by blocked Gram matrices.
+
+    A task keeps, for every pair of column blocks, sums over the rows that have both values: their number, both sums,
+    both sums of squares and the products, six matrix products of values and presence masks.  It sends them once,
+    a row per column and block of partners, and they are added by place.  Values are taken relative to the column's
+    mean, which a first pass finds, so that sums of squares don't cancel.  A task's memory is 48 bytes a pair; a
+    row's is 48 times ``block``.
+    """
+    d, names = _numbers(df, features), list(features)
+    row = d.agg(*[F.coalesce(finite(F.avg(c)), F.lit(0.0)).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    means, n = np.array(list(row), dtype=float), len(names)
+    cuts = list(range(0, n, block))
+    pairs = [(a, b) for k, a in enumerate(cuts) for b in cuts[k:]]
+    stats = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    schema = "a int, first int, " + ", ".join(f"{k} array<double>" for k in stats)
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float) - means
+            there = np.isfinite(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            square = x * x
+            if held is None:
+                held = {p: np.zeros((6, min(block, n - p[0]), min(block, n - p[1]))) for p in pairs}
+            for (a, b), h in held.items():
+                xa, ta, qa = (v[:, a : a + block].T for v in (x, there, square))
+                xb, tb, qb = (v[:, b : b + block] for v in (x, there, square))
+                h += np.stack([ta @ tb, xa @ tb, ta @ xb, qa @ tb, ta @ qb, xa @ xb])
+        for (a, b), h in (held or {}).items():
+            yield pd.DataFrame({"a": np.arange(a, a + h.shape[1]), "first": b, **{k: list(h[i]) for i, k in enumerate(stats)}})
+
+    parts = d.select(*[F.col(c).alias(f"v{i}") for i, c in enumerate(names)]).mapInPandas(sums, schema)
+    entries = parts.select("a", "first", F.posexplode(F.arrays_zip(*stats)).alias("k", "s"))
+    total = entries.groupBy("a", (F.col("first") + F.col("k")).alias("b")).agg(*[F.sum(f"s.{k}").alias(k) for k in stats])
+    both = total.where("a <= b")
+    covariance = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    spread = lambda q, s: F.greatest(F.col("n") * F.col(q) - F.col(s) * F.col(s), F.lit(0.0))
+    # A spread within the rounding of its sums is none: the column is constant where both have values.
+    has = lambda q, s: spread(q, s) > 1e-12 * F.col("n") * F.col(q)
+    value = F.when(has("sxx", "sx") & has("syy", "sy"), F.greatest(F.least(covariance / F.sqrt(spread("sxx", "sx")) / F.sqrt(spread("syy", "sy")), F.lit(1.0)), F.lit(-1.0)))
+    both = both.select("a", "b", F.coalesce(finite(value), F.lit(0.0)).alias("correlation"))
+    label = F.array(*[F.lit(c) for c in names])
+    sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")))).otherwise(
+        F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")), F.struct(F.col("b").alias("i"), F.col("a").alias("j")))
+    )
+    return both.select("correlation", F.inline(sides)).select(F.get(label, F.col("i")).alias("feature_a"), F.get(label, F.col("j")).alias("feature_b"), "correlation")
+
+
 def pair_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    return _numbers(df, [x, y]).agg(F.corr(x, y).alias("correlation"))
+    return _numbers(df, [x, y]).agg(_corr(x, y).alias("correlation"))
 
 
 def value_range(df: DataFrame, column: str) -> tuple[float, float] | None:

@@ -152,13 +152,22 @@ def _lagged(x: np.ndarray, lags: Sequence[int], rows: range) -> np.ndarray:
     return np.column_stack([x[[t - k for t in rows]] for k in lags]) if lags else np.empty((len(rows), 0))
 
 
-def _fit_arma(z: np.ndarray, ar: list[int], ma: list[int]):
+def _long_lag(n: int, ar: list[int], ma: list[int]) -> int:
+    return min(max([*ar, *ma, 2]) + 1, n // 3)
+
+
+def _first_row(n: int, ar: list[int], ma: list[int]) -> int:
+    """The first of ``n`` values that has all lags of a model."""
+    return max([*ar, *(m + _long_lag(n, ar, ma) for m in ma), 0])
+
+
+def _fit_arma(z: np.ndarray, ar: list[int], ma: list[int], judged: int):
     """Long autoregression for the innovations, then regression on lags of both.
 
-    All lagged models of a segment use their own longest lag as the first row.
-    Returns coefficients, innovations and AIC, or None when there are too few rows.
+    Coefficients come from all rows that have the model's lags; AIC is taken over the last ``judged`` values,
+    the same months for every model that is compared. Returns coefficients, innovations and AIC, or None when there are too few rows.
     """
-    long = min(max([*ar, *ma, 2]) + 1, len(z) // 3)
+    long = _long_lag(len(z), ar, ma)
     innovations = np.zeros_like(z)
     if ma:
         rows = range(long, len(z))
@@ -167,7 +176,7 @@ def _fit_arma(z: np.ndarray, ar: list[int], ma: list[int]):
             return None
         x = _lagged(z, lags, rows)
         innovations[long:] = z[long:] - x @ np.linalg.lstsq(x, z[long:], rcond=None)[0]
-    start = max([*ar, *(m + long for m in ma), 0])
+    start = _first_row(len(z), ar, ma)
     rows = range(start, len(z))
     k = len(ar) + len(ma)
     if len(rows) <= k + 1:
@@ -176,8 +185,8 @@ def _fit_arma(z: np.ndarray, ar: list[int], ma: list[int]):
     coef = np.linalg.lstsq(x, z[start:], rcond=None)[0]
     fitted = innovations.copy()
     fitted[start:] = z[start:] - x @ coef
-    sse = float(np.sum(fitted[start:] ** 2))
-    n = len(rows)
+    n = min(judged, len(rows))
+    sse = float(np.sum(fitted[len(z) - n :] ** 2))
     if sse <= 0 or not np.isfinite(sse):
         return None
     return coef, fitted, n * np.log(sse / n) + 2 * (k + 1)
@@ -208,21 +217,26 @@ def _extend(y: np.ndarray, d: int, seasonal_d: int, s: int, ar, ma, coef, innova
 
 def best_arima(y: np.ndarray, horizon: int) -> dict | None:
     """Lowest-AIC model of the grid and its forecast; None when nothing could be fitted."""
-    best = None
+    candidates = []
     for p, d, q in ORDERS:
         for sp, sd, sq, s in SEASONAL_LONG if len(y) >= MIN_SEASONAL else SEASONAL_SHORT:
             z = _difference(y, d, sd, s)
             ar = [*range(1, p + 1), *(s * k for k in range(1, sp + 1))]
             ma = [*range(1, q + 1), *(s * k for k in range(1, sq + 1))]
-            if len(z) < max([*ar, *ma]) + 3:
-                continue
-            fit = _fit_arma(z, ar, ma)
-            if fit is None or not np.isfinite(fit[2]):
-                continue
-            if best is None or fit[2] < best["aic"]:
-                ahead = _extend(y, d, sd, s, ar, ma, fit[0], fit[1], horizon)
-                if np.all(np.isfinite(ahead)):
-                    best = {"aic": float(fit[2]), "order": [p, d, q], "seasonal": [sp, sd, sq, s], "forecast": ahead}
+            rows = len(z) - _first_row(len(z), ar, ma)
+            if len(z) >= max([*ar, *ma]) + 3 and rows > len(ar) + len(ma) + 1:
+                candidates.append((rows, [p, d, q], [sp, sd, sq, s], z, ar, ma))
+    # Months that all models have are few if one has few: those with less than MIN_HISTORY stand back.
+    candidates = [c for c in candidates if c[0] >= MIN_HISTORY] or candidates
+    best, judged = None, min((c[0] for c in candidates), default=0)
+    for _, order, seasonal, z, ar, ma in candidates:
+        fit = _fit_arma(z, ar, ma, judged)
+        if fit is None or not np.isfinite(fit[2]):
+            continue
+        if best is None or fit[2] < best["aic"]:
+            ahead = _extend(y, order[1], seasonal[1], seasonal[3], ar, ma, fit[0], fit[1], horizon)
+            if np.all(np.isfinite(ahead)):
+                best = {"aic": float(fit[2]), "order": order, "seasonal": seasonal, "forecast": ahead}
     return best
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from salescope.operators import drift
+from salescope.operators import drift, profiling
 from salescope.streaming.drift import daily_psi
 
 
@@ -212,3 +212,27 @@ def test_stream_and_batch_skip_the_same_values(spark):
     batch = drift.psi_per_period(rows, F.to_date("ts"), "value", [2.0], [0.5, 0.5]).first()
     stream = daily_psi(rows, "value", [2.0], [0.5, 0.5]).first()
     assert batch["rows"] == stream["rows"] == 2 and batch["psi"] == stream["psi"] == 0.0
+
+
+def test_correlations_of_many_columns(spark, tmp_path):
+    """Blocked Gram matrices against DuckDB's corr, with missing values, a constant column and a large offset."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 12))
+    x[:, 1] = 1e7 + 0.5 * x[:, 0] + x[:, 1]
+    x[:, 2] = 4.25
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = np.nan
+    names = [f"c{i}" for i in range(12)]
+    table = pa.table({n: pa.array(x[:, i], from_pandas=True) for i, n in enumerate(names)})
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r.feature_a, r.feature_b): r.correlation for r in profiling.gram_correlations(df, names, block=5).collect()}
+    assert len(got) == 144
+    con = duckdb.connect()
+    con.register("t", table)
+    for a in names:
+        for b in names:
+            want = 0.0 if {a, b} & {"c2", "c3"} else con.execute(f"SELECT corr({a}, {b}) FROM t").fetchone()[0]
+            assert got[a, b] == pytest.approx(want, abs=1e-9), (a, b)
+    plain = {(r.feature_a, r.feature_b): r.correlation for r in profiling.correlation_matrix(df, names).collect()}
+    assert plain.keys() == got.keys() and all(abs(plain[k] - got[k]) < 1e-9 for k in got)
+    assert all(r.correlation == 0 for r in profiling.gram_correlations(df.limit(0), names, block=5).collect())

@@ -98,3 +98,16 @@ def test_invalid_arguments(spark):
         ts.split_holdout(series, ["seg"], 0)
     with pytest.raises(ValueError):
         ts.naive_forecast(series, ["seg"], 0)
+
+
+def test_models_are_compared_over_the_same_months(monkeypatch):
+    judged, fit = [], ts._fit_arma
+
+    def watched(z, ar, ma, months):
+        judged.append((months, len(z) - ts._first_row(len(z), ar, ma)))
+        return fit(z, ar, ma, months)
+
+    monkeypatch.setattr(ts, "_fit_arma", watched)
+    rng = np.random.default_rng(2)
+    assert ts.best_arima(100 + 10 * np.sin(np.arange(60) * np.pi / 6) + rng.normal(size=60), 3) is not None
+    assert len({m for m, _ in judged}) == 1 and judged[0][0] == min(own for _, own in judged) < max(own for _, own in judged)
