@@ -84,19 +84,18 @@ class Layout:
         return n, self._input[place], self._target[place], self._doc[place], self._fresh[place]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def _output(p: Params, h: np.ndarray, target: np.ndarray, learn: Params | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural logarithms of the targets' probabilities after states ``h``; with ``learn``, gradients are added there, and those of ``h`` returned."""
     n = len(target)
     rows = np.arange(n)
     kind = np.where(target > 0, (target - 1) // MEMBERS + 1, 0)
-    x = np.minimum(h @ p["wc"] + p["bc"], 80)  # states are within 1, so only a runaway weight is cut
-    e = np.exp(x)
-    total = e.sum(axis=1)
-    out = x[rows, kind] - np.log(total)
+    x = h @ p["wc"]
+    x += p["bc"]
+    np.minimum(x, 80, out=x)  # states are within 1, so only a runaway weight is cut
+    out = x[rows, kind]
+    e = np.exp(x, out=x)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    out -= np.log(total)
     back = None
     if learn is not None:
         e /= total[:, None]
@@ -106,22 +105,29 @@ def _output(p: Params, h: np.ndarray, target: np.ndarray, learn: Params | None)
         back = e @ p["wc"].T
     order = np.argsort(kind, kind="stable")
     stops = np.searchsorted(kind[order], np.arange(1, p["wo"].shape[0] + 2))
-    for c, (a, b) in enumerate(zip(stops[:-1], stops[1:])):
-        if a < b:
-            own = order[a:b]
-            place = (target[own] - 1) % MEMBERS
-            at = np.arange(len(own))
-            hs = h[own]
-            y = np.minimum(hs @ p["wo"][c] + p["bo"][c], 80)
-            e = np.exp(y)
-            total = e.sum(axis=1)
-            out[own] += y[at, place] - np.log(total)
-            if learn is not None:
-                e /= total[:, None]
-                e[at, place] -= 1
-                learn["wo"][c] += hs.T @ e
-                learn["bo"][c] += e.sum(axis=0)
-                back[own] += e @ p["wo"][c].T
+    order, stops = order[stops[0] :], stops - stops[0]  # words of a class lie side by side
+    hs, place, inside = h.take(order, axis=0), (target[order] - 1) % MEMBERS, np.zeros(len(order))
+    ones = np.ones(MEMBERS, h.dtype)
+    behind = np.zeros_like(hs) if learn is not None else None
+    for c in np.flatnonzero(np.diff(stops)).tolist():
+        own = slice(stops[c], stops[c + 1])
+        at = rows[: own.stop - own.start]
+        y = hs[own] @ p["wo"][c]
+        y += p["bo"][c]
+        np.minimum(y, 80, out=y)
+        inside[own] = y[at, place[own]]
+        e = np.exp(y, out=y)
+        total = e @ ones
+        inside[own] -= np.log(total)
+        if learn is not None:
+            e /= total[:, None]
+            e[at, place[own]] -= 1
+            learn["wo"][c] += hs[own].T @ e
+            learn["bo"][c] += e.sum(axis=0)
+            behind[own] = e @ p["wo"][c].T
+    out[order] += inside
+    if learn is not None:
+        back[order] += behind
     return out, back
 
 
@@ -129,26 +135,33 @@ def score(p: Params, layout: Layout, docs: int) -> np.ndarray:
     """Natural log-likelihood of each document."""
     out = np.zeros(docs)
     state = np.zeros((layout.width, HIDDEN), dtype=np.float32)
-    project = p["emb"] @ p["wx"] + p["b"]
+    project, half = p["emb"] @ p["wx"] + p["b"], p["u"].copy()
+    for x in (project, half):
+        x[:, : 2 * HIDDEN] *= 0.5  # a sigmoid is a hyperbolic tangent of half its argument
     for at in range(0, layout.steps, WINDOW):
-        stop = min(at + WINDOW, layout.steps)
-        hs, targets, docs_of = [], [], []
-        for t in range(at, stop):
-            n, inputs, target, doc, fresh = layout.at(t)
-            h = state[:n]
+        steps = [layout.at(t) for t in range(at, min(at + WINDOW, layout.steps))]
+        inputs, targets, docs_of = (np.concatenate([s[i] for s in steps]) for i in (1, 2, 3))
+        xs, hs, end = project.take(inputs, axis=0), np.empty((len(inputs), HIDDEN), project.dtype), 0
+        for n, _, _, _, fresh in steps:
+            own, end = slice(end, end + n), end + n
+            h, x = state[:n], xs[own]
             h[fresh] = 0
-            x = project[inputs]
-            g = h @ p["u"]
-            zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            new = np.tanh(x[:, 2 * HIDDEN :] + r * g[:, 2 * HIDDEN :])
+            g = h @ half
+            zr = g[:, : 2 * HIDDEN]
+            zr += x[:, : 2 * HIDDEN]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            new = zr[:, HIDDEN:] * g[:, 2 * HIDDEN :]
+            new += x[:, 2 * HIDDEN :]
+            np.tanh(new, out=new)
             # The state before a token's input predicts nothing; the one after it predicts the target.
-            h += (1 - z) * (new - h)
-            hs.append(h.copy())
-            targets.append(target)
-            docs_of.append(doc)
-        got, _ = _output(p, np.concatenate(hs), np.concatenate(targets), None)
-        out += np.bincount(np.concatenate(docs_of), got, minlength=docs)
+            h -= new
+            h *= zr[:, :HIDDEN]
+            h += new
+            hs[own] = h
+        got, _ = _output(p, hs, targets, None)
+        out += np.bincount(docs_of, got, minlength=docs)
     return out
 
 
@@ -167,39 +180,61 @@ class Trainer:
         for at in range(0, layout.steps, WINDOW):
             self._window(layout, at, min(at + WINDOW, layout.steps), state)
 
+    def finish(self) -> None:
+        """The step for tokens that didn't fill one."""
+        if self.held:
+            self._step()
+
     def _window(self, layout: Layout, at: int, stop: int, state: np.ndarray) -> None:
         p, grad = self.p, self.grad
-        kept, hs, targets = [], [], []
-        for t in range(at, stop):
-            n, inputs, target, _, fresh = layout.at(t)
-            h = np.where(fresh[:, None], 0, state[:n]).astype(np.float32)
-            e = p["emb"][inputs]
-            x = e @ p["wx"] + p["b"]
-            g = h @ p["u"]
-            zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            inner = g[:, 2 * HIDDEN :]
-            new = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
-            state[:n] = z * h + (1 - z) * new
-            kept.append((n, h, e, z, r, inner, new, inputs, fresh))
-            hs.append(state[:n].copy())
-            targets.append(target)
-        _, back = _output(p, np.concatenate(hs), np.concatenate(targets), grad)
-        ends = np.cumsum([len(h) for h in hs])
-        ahead = np.zeros((layout.width, HIDDEN), dtype=np.float32)
-        for i in range(stop - at - 1, -1, -1):
-            n, h, e, z, r, inner, new, inputs, fresh = kept[i]
-            d = back[ends[i] - n : ends[i]] + ahead[:n]
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (h - new) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            to_g = np.concatenate([dz, dr, dn * r], axis=1)
-            to_x = np.concatenate([dz, dr, dn], axis=1)
-            grad["u"] += h.T @ to_g
-            grad["wx"] += e.T @ to_x
-            grad["b"] += to_x.sum(axis=0)
-            np.add.at(grad["emb"], inputs, to_x @ p["wx"].T)
-            ahead[:n] = np.where(fresh[:, None], 0, d * z + to_g @ p["u"].T)
+        steps = [layout.at(t) for t in range(at, stop)]
+        ends = np.cumsum([s[0] for s in steps])
+        inputs, targets = (np.concatenate([s[i] for s in steps]) for i in (1, 2))
+        e = p["emb"].take(inputs, axis=0)
+        x = e @ p["wx"] + p["b"]
+        x[:, : 2 * HIDDEN] *= 0.5
+        half = p["u"].copy()
+        half[:, : 2 * HIDDEN] *= 0.5  # a sigmoid is a hyperbolic tangent of half its argument
+        h, new, hs = (np.empty((len(inputs), HIDDEN), x.dtype) for _ in range(3))
+        g = np.empty_like(x)  # update and reset gates, and the recurrent part of the new state
+        for (n, _, _, _, fresh), end in zip(steps, ends.tolist()):
+            own = slice(end - n, end)
+            h[own] = state[:n]
+            h[own][fresh] = 0
+            step = h[own] @ half
+            zr = step[:, : 2 * HIDDEN]
+            zr += x[own, : 2 * HIDDEN]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            g[own] = step
+            np.tanh(x[own, 2 * HIDDEN :] + zr[:, HIDDEN:] * step[:, 2 * HIDDEN :], out=new[own])
+            np.add(new[own], zr[:, :HIDDEN] * (h[own] - new[own]), out=hs[own])
+            state[:n] = hs[own]
+        _, back = _output(p, hs, targets, grad)
+        z, r, inner = g[:, :HIDDEN].copy(), g[:, HIDDEN : 2 * HIDDEN].copy(), g[:, 2 * HIDDEN :]
+        by_new = (1 - z) * (1 - new * new)
+        # Gradients at the gates per unit of the state's.
+        unit = np.concatenate([(h - new) * z * (1 - z), by_new * inner * r * (1 - r), by_new * r], axis=1).reshape(-1, 3, HIDDEN)
+        to_g = np.empty_like(unit)
+        ahead = np.zeros((layout.width, HIDDEN), dtype=back.dtype)
+        turned = p["u"].T.copy()
+        for (n, _, _, _, fresh), end in zip(steps[::-1], ends[::-1].tolist()):
+            own = slice(end - n, end)
+            d = back[own]
+            d += ahead[:n]
+            np.multiply(unit[own], d[:, None, :], out=to_g[own])
+            to = to_g[own].reshape(n, -1) @ turned
+            to += d * z[own]
+            to[fresh] = 0
+            ahead[:n] = to
+        to_g = to_g.reshape(len(inputs), -1)
+        grad["u"] += h.T @ to_g
+        to_g[:, 2 * HIDDEN :] = back * by_new  # now at the input's side
+        grad["wx"] += e.T @ to_g
+        grad["b"] += to_g.sum(axis=0)
+        at_emb = inputs[:, None].astype(np.int64) * EMBED + np.arange(EMBED)
+        grad["emb"] += np.bincount(at_emb.ravel(), (to_g @ p["wx"].T).ravel(), grad["emb"].size).reshape(grad["emb"].shape).astype(grad["emb"].dtype)
         self.tokens += int(ends[-1])
         self.held += int(ends[-1])
         if self.held >= STEP:

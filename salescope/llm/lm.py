@@ -6,8 +6,8 @@ with the table, each once per document.  The network knows the ``VOCABULARY`` mo
 the end of a text; for any other word it gives the probability of an unknown word, which is multiplied by
 the word's smoothed share among unknown words, so that probabilities of all texts add up to one.
 
-The network is trained on a fixed share of the training documents, chosen by the id's hash, in
-rounds: each task trains a copy on its documents, from the same start, and the copies are averaged, by tokens,
+The network is trained on all training documents, each once, in rounds; the id's hash tells in which.  In a
+round each task trains a copy on its documents, from the same start, and the copies are averaged, by tokens,
 as a distributed aggregate of parts of the parameter vector.  Only the mean comes to the driver.
 
 Defined results: a null or empty text is its end alone.  A document without an id is not trained on, and
@@ -32,9 +32,9 @@ from salescope.llm.words import BLOCK, word_blocks
 FREQUENT = 65_536
 VOCABULARY = 1_023
 END = 1
-ROUNDS = 2
-SHARE = 16  # one in so many training documents is trained on in a round
-LANES, TRAIN_LANES = 512, 32
+ROUNDS = 2  # each trains on another one in so many training documents, together on all
+LANES, TRAIN_LANES = 256, (32, 128)  # little text is trained on in few lanes, so that it makes enough steps
+LANE = 4096  # tokens in a lane, between these bounds
 RATE = 0.015
 BLOCK_BYTES = 12 * BLOCK
 CHUNK = 16_384
@@ -95,18 +95,19 @@ def with_ends(tokens: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.insert(tokens, begin[1:], END), begin + np.arange(len(begin))
 
 
-def train(docs: DataFrame, words: np.ndarray, counts: np.ndarray, first: gru.Params, share: int = SHARE, rounds: int = ROUNDS) -> gru.Params:
-    """The network after ``rounds``; each looks at another one in ``share`` of ``docs``, all if that is 1."""
+def train(docs: DataFrame, words: np.ndarray, counts: np.ndarray, first: gru.Params, share: int = ROUNDS) -> gru.Params:
+    """The network after ``share`` rounds; each looks at another one in ``share`` of ``docs``, so every one is looked at once."""
     params = first
     pick = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(share))
-    for turn in range(rounds):
+    for turn in range(share):
 
         def learn(batches: Iterator[pa.RecordBatch], now: gru.Params = params) -> Iterator[pa.RecordBatch]:
             lexicon, trainer = Lexicon(words, counts), gru.Trainer(now, RATE)
             for batch in batches:
                 for _, _, hashes, begin in word_blocks(batch.column(0), lower=True, size=BLOCK_BYTES):
                     tokens, begin = with_ends(lexicon(hashes)[2], begin)
-                    trainer.run(gru.Layout(tokens, begin, TRAIN_LANES, END))
+                    trainer.run(gru.Layout(tokens, begin, int(np.clip(len(tokens) // LANE, *TRAIN_LANES)), END))
+            trainer.finish()
             if trainer.tokens:
                 values = np.frombuffer(gru.to_bytes(trainer.p), dtype=np.float32)
                 parts = [values[a : a + CHUNK].tobytes() for a in range(0, len(values), CHUNK)]
@@ -119,7 +120,7 @@ def train(docs: DataFrame, words: np.ndarray, counts: np.ndarray, first: gru.Par
                 n += k
             return pa.table({"part": table.column("part").slice(0, 1), "v": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
 
-        rows = docs.filter(pick == turn % share).select("text").mapInArrow(learn, "part int, n long, v binary")
+        rows = docs.filter(pick == turn).select("text").mapInArrow(learn, "part int, n long, v binary")
         got = rows.groupBy("part").applyInArrow(mean, "part int, v binary").collect()
         if got:
             values = np.frombuffer(b"".join(bytes(r["v"]) for r in sorted(got, key=lambda r: r["part"])), dtype=np.float32)
@@ -167,7 +168,7 @@ def _features(params: gru.Params, words: np.ndarray, counts: np.ndarray, ends: i
     return run
 
 
-def scores(docs: DataFrame, trains: Column, held_out: Column, scratch: Scratch, share: int = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def scores(docs: DataFrame, trains: Column, held_out: Column, scratch: Scratch, share: int = ROUNDS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10)."""
     learned = docs.filter(F.coalesce(trains, F.lit(False)))
     counts = scratch.keep(word_counts(learned))
@@ -178,7 +179,7 @@ def scores(docs: DataFrame, trains: Column, held_out: Column, scratch: Scratch,
     vocabulary = c[:VOCABULARY]
     unknown = n_words - int(vocabulary.sum())
     first = gru.start(np.concatenate([[unknown, n_docs], vocabulary]))
-    params = train(learned, words, c, first, share, rounds)
+    params = train(learned, words, c, first, share)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, unknown long, unknown_logs double, likely double, words array<long>, times array<long>"

@@ -393,6 +393,16 @@ def test_language_model_beats_unigrams(spark):
     assert r[0] > r[1]
 
 
+def test_language_model_learns_from_every_document(spark):
+    docs = spark.createDataFrame([(i, "a b a c b a") for i in range(5)], "doc_id long, text string").coalesce(1)
+    words, c = lm.frequent(lm.word_counts(docs))
+    first = lm.gru.start(np.concatenate([[0, 5], c]))
+    untrained = lm.gru.to_bytes(lm.gru.Trainer(first).p)
+    for i in range(5):
+        alone = lm.train(docs.filter(F.col("doc_id") == i), words, c, first)
+        assert lm.gru.to_bytes(alone) != untrained
+
+
 def test_packing(spark, docs, rows, none):
     from tokenizers import Tokenizer
 
