@@ -21,10 +21,10 @@ class Scratch:
         self.count = 0
         self.paths: dict[int, str] = {}
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, **options: str) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out

@@ -27,16 +27,21 @@ def released(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            _powers.clear()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):
-                pass  # another C library: it keeps what it has
+            give_back()
 
     return whole
 
 
+def give_back() -> None:
+    """Free memory of this worker goes back to the system."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps what it has
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit values."""
     x = x.astype(np.uint64)

@@ -195,6 +195,43 @@ def test_collocations(spark, rows, least, percent, top, size):
     assert sorted(tuple(r) for r in got.collect()) == plain_phrases(rows, least, percent, top)
 
 
+def test_tasks_send_nodes_and_take_several_parts_of_the_blocks(spark, rows):
+    scratch = Scratch(spark, "t")
+    blocks, _ = phrases.encoded(spark.createDataFrame(rows, plain.SCHEMA).repartition(40), scratch)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        parts = blocks.rdd.getNumPartitions()
+        with phrases._scanned(blocks) as scan:
+            assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == phrases.BATCH
+            assert parts > 48 and scan.rdd.getNumPartitions() == -(-parts // phrases.JOINED)
+            assert scan.count() == blocks.count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    trie = phrases.Trie.build(pa.table({"lang": ["en"], "k": pa.array([2], pa.int32()), "h1": [5], "h2": [7], "h3": [0], "h4": [0]}))
+    one = pa.RecordBatch.from_pydict({"lang": ["en"], "hashes": [[5, 7]], "tokens": pa.array([np.array([1, 2, 1, 2, 0, 2], np.int32).tobytes()], pa.binary())})
+    sent = list(phrases._advance(trie.dump, iter([one, one])))
+    assert [b.schema.names for b in sent] == [["node", "n"]] and sent[0].column("n").to_pylist() == [4]
+    assert [tuple(r.values()) for b in phrases._phrases_of(trie.dump, iter(sent)) for r in b.to_pylist()] == [("en", 2, 5, 7, 0, 0, 4)]
+
+
+def test_runs_are_summed_in_the_task(monkeypatch):
+    block = pa.RecordBatch.from_pydict({"lang": ["en"], "hashes": [[5, 7]], "tokens": pa.array([np.array([1, 2, 1, 0, 1, 2], np.int32).tobytes()], pa.binary())})
+    every = np.full(phrases.FILTER // 8, 255, np.uint8)
+    want = {(2, 5, 7, 0, 0): 2, (2, 7, 5, 0, 0): 1, (3, 5, 7, 5, 0): 1}
+    for held, batches in ((phrases.HELD_RUNS, 1), (2, 3)):
+        monkeypatch.setattr(phrases, "HELD_RUNS", held)
+        sent = [b.to_pylist() for b in phrases._longer(lambda: every, lambda: every, iter([block] * 4))]
+        total = collections.Counter()
+        for row in [r for b in sent for r in b]:
+            lang, *phrase, n = row.values()
+            total[tuple(phrase)] += n
+        assert len(sent) <= batches and total == {p: 4 * n for p, n in want.items()}
+
+
 def test_collocations_of_none(spark):
     assert phrases.collocations(spark.createDataFrame([], plain.SCHEMA), Scratch(spark, "t")).count() == 0
 
