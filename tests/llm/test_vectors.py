@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,38 @@ def test_runs_are_summed_in_the_task(monkeypatch):
         assert len(sent) <= batches and total == {p: 4 * n for p, n in want.items()}
 
 
+def test_rare_runs_of_frequent_pairs_are_not_sent_with_their_words(spark, monkeypatch):
+    """Every pair occurs twice and every run of three once."""
+    rows = [(20 * step + a, " ".join(f"w{(a + i * step) % 20}" for i in range(3)), "en") for step in range(1, 20) for a in range(20)]
+    scratch, sent, sums = Scratch(spark, "t"), [], phrases._sums
+
+    def counting(found, *keys):
+        if "k" in keys:
+            sent.append(found.groupBy("k").count().orderBy("k").collect())
+        return sums(found, *keys)
+
+    monkeypatch.setattr(phrases, "_sums", counting)
+    blocks, known = phrases.encoded(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1), scratch)
+    found = phrases.candidates(blocks, known, scratch, 2)
+    assert [tuple(r) for r in found.groupBy("k").count().collect()] == [(2, 380)]
+    assert [[tuple(r) for r in own] for own in sent] == [[(2, 380)]]
+
+
+def test_buckets_are_sent_in_few_bytes():
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 32, 200_000), [0, (1 << 32) - 1]])).astype(np.uint32)
+    n = rng.geometric(0.7, len(keys))
+    n[[0, -1]] = 1 << 40
+    for ranges in (1, 7):
+        tables = [pa.Table.from_batches(phrases._packed(keys[i:], n[i:], ranges)) for i in (0, 100_000)]
+        assert len(tables[0]) == ranges and tables[0].nbytes < 4 * len(keys)
+        both = pa.concat_tables(tables)
+        got = [phrases._frequent(4, both.filter(pc.equal(both.column("range"), r))).column("key").to_numpy().view(np.uint32) for r in range(ranges)]
+        want = n + np.where(np.arange(len(n)) < 100_000, 0, n)
+        assert np.array_equal(np.concatenate(got), keys[want >= 4])
+    assert not list(phrases._packed(keys[:0], n[:0], 7))
+
+
 def test_collocations_of_none(spark):
     assert phrases.collocations(spark.createDataFrame([], plain.SCHEMA), Scratch(spark, "t")).count() == 0
 
