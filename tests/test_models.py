@@ -5,11 +5,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from salescope.operators import artifact, explain, modeling, scoring
 from salescope.operators.contracts import ContractError, FeatureSchema
 from salescope.operators.modeling import Candidate, boosting, forest, linear
+from salescope.plans import jobs
 from salescope.sources import sinks
 from salescope.streaming.scoring import compare_batch, log_batch, score_stream, write_logs, write_scored
 
@@ -87,6 +89,55 @@ def test_preprocessing_learns_from_train_only(spark):
     assert list(scored["cat__hot"].toArray()) == [0.0, 0.0] and math.isfinite(scored["prediction"])
 
 
+def test_preprocessing_of_all_folds_at_once(spark):
+    """Scans don't grow with the folds; every model is the one that its own fit gives."""
+    schema = FeatureSchema(("x", "k"), ("cat", "odd"), "y")
+    rng = np.random.default_rng(5)
+    data = [(float(x) * 1e3 + 7e8, int(k), [None, "b", "a", "\U0001f600", "\uffee", "B"][c], "uv"[i % 2] if i != 9 else "only", i % 3 if i else None)
+            for i, (x, k, c) in enumerate(zip(rng.normal(size=400), rng.integers(0, 9, 400), rng.integers(0, 6, 400)))]
+    df = spark.createDataFrame(data, "x double, k int, cat string, odd string, fold int").repartition(3).cache()
+    whole, folds = modeling.fit_preprocessors(df, schema, [0, 1, 2])
+    for got, rows in [(whole, df), *((folds[k], df.where(F.col("fold") != k)) for k in range(3))]:
+        want = Pipeline(stages=modeling.preprocessor_stages(schema)).fit(rows)
+        assert [type(s) for s in got.stages] == [type(s) for s in want.stages]
+        assert np.allclose(got.stages[1].mean, want.stages[1].mean, rtol=1e-12) and np.allclose(got.stages[1].std, want.stages[1].std, rtol=1e-9)
+        assert got.stages[2].labelsArray == want.stages[2].labelsArray
+        one, other = (m.transform(df) for m in (got, want))
+        same = [np.array([r[0].toArray() for r in t.select("features").collect()]) for t in (one, other)]
+        assert np.allclose(*same, atol=1e-9)
+        names = [explain.slot_features(t, schema) for t in (one, other)]
+        assert names[0] == names[1]
+    with pytest.raises(ValueError):
+        modeling.fit_preprocessors(df.limit(0), schema)
+
+
+def test_training_joins_its_input_once(spark, rows):
+    """Preparation, folds and fits scan a copy of the input, not the input."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = rows.select("x1", "x2", "cat", "y", "split", "fold").mapInArrow(count, "x1 double, x2 double, cat string, y double, split string, fold int")
+    assert len(modeling.train(watched, SCHEMA, SMALL, "both").scores) == 3
+    assert seen.value == 600
+
+
+def test_a_training_job_reads_its_input_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = rows.select("id", "x1", "x2", "cat", "y").mapInArrow(count, "id long, x1 double, x2 double, cat string, y double")
+    job = jobs.train_job(watched, SCHEMA, ["id"], SMALL[:1], mode="baseline")
+    assert job.reports["leaderboard"].count() == 1 and seen.value == 600
+
+
 def brute_force_shap(model, x):
     """All subsets, by walking each tree with unknown features averaged by cover."""
     d = len(x)
