@@ -12,7 +12,7 @@ from salescope.operators.contracts import SALES_SCHEMA
 from salescope.operators.modeling import Candidate
 from salescope.plans.catalog import query, r, rounded, with_raw, with_sales
 from salescope.plans.queries_grouped import ROW_KEY, ROW_KEY_SQL
-from salescope.plans.queries_models import forest_bundle, split_sales, trained
+from salescope.plans.queries_models import forest_bundle, split_sales, split_table, trained
 from salescope.sources import sinks
 from salescope.sources.tables import raw_sales
 
@@ -62,8 +62,9 @@ def interval_order(spark, sf):
 @query("m20_additivity", with_sales("SELECT count(*) AS n, count(*) AS additive FROM sales"))
 def additivity(spark, sf):
     """Base value and contributions add up to the prediction of every line."""
-    model, ensemble = forest_bundle(spark, sf)
-    explained = explain.explain_rows(model.transform(split_sales(spark, sf)), ensemble, SALES_SCHEMA)
+    rows = split_table(spark, sf)
+    model, ensemble = forest_bundle(spark, sf, rows)
+    explained = explain.explain_rows(model.transform(rows), ensemble, SALES_SCHEMA)
     total = F.aggregate(F.map_values("contributions"), F.col("base_value"), lambda a, x: a + x)
     close = F.abs(total - F.col("prediction")) <= 1e-6 * (1 + F.abs(F.col("prediction")))
     return explained.agg(F.count("*").alias("n"), F.count_if(close).alias("additive"))

@@ -175,6 +175,38 @@ def test_shap_equals_brute_force(fitted, rows):
         assert np.allclose(got, want, atol=1e-9) and base == pytest.approx(want_base)
 
 
+def random_trees(rng, trees, depth, features):
+    """Full trees with repeated features on their paths, parents first."""
+    left, right, feature, threshold, value, cover, roots = [], [], [], [], [], [], []
+
+    def grow(level, size):
+        at = len(left)
+        for column, x in zip((left, right, feature, threshold, value, cover), (-1, -1, -1, 0.0, float(rng.normal()), float(size))):
+            column.append(x)
+        if level < depth and size > 1:
+            part = int(rng.integers(1, size))
+            feature[at], threshold[at] = int(rng.integers(features)), float(rng.integers(-3, 4)) / 2
+            left[at], right[at] = grow(level + 1, part), grow(level + 1, size - part)
+        return at
+
+    for _ in range(trees):
+        roots.append(grow(0, 10_000))
+    return explain.Ensemble(*map(np.array, (roots, left, right, feature, threshold, value, cover)), np.full(trees, 1 / trees))
+
+
+@pytest.mark.parametrize("depth,features,tabulated", [(4, 3, 5), (7, 2, 5), (7, 7, 5), (0, 3, 0), (13, 40, 0)])
+def test_tables_of_shap_values(depth, features, tabulated):
+    rng = np.random.default_rng(3)
+    trees = random_trees(rng, 5, depth, features)
+    tables = explain.tabulate(trees)
+    assert sum(t is not None for t in tables.steps) == tabulated
+    x = rng.integers(-4, 5, (3_000, features)) / 2  # values right on the thresholds too
+    (want, want_base), (got, base) = explain.shap_values(trees, x), explain.shap_values(trees, x, tables)
+    assert np.allclose(got, want, atol=1e-12) and base == want_base
+    none = explain.tabulate(trees, cells=1)  # no room: every tree is walked
+    assert none.steps == [None] * 5 and np.allclose(explain.shap_values(trees, x, none)[0], want, atol=1e-12)
+
+
 @pytest.mark.parametrize("which", ["forest", "boosting"])
 def test_contributions_add_up(spark, rows, fitted, which):
     if which == "forest":
